@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,24 +28,14 @@ def range_bucket(key: str, width: int) -> Column:
     return F.floor(F.col(key) / width).cast("int")
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None while nothing has been written there."""
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None while nothing has been written there."""
+    return spark.read.option("mergeSchema", True).parquet(path) if path_exists(spark, path) else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:

@@ -13,15 +13,12 @@ from strata.operators.dedup import dedup_latest as keep_latest
 from strata.operators.quantiles import exact_median, exact_quantile
 from strata.operators.spine import densify
 from strata.plans import gold, kpis, rules, silver, staging, validated
-from strata.session import scratch_dir
+from strata.session import scratch_dir, written
 from strata.sources import tables
 from verification import analogues as a
 from verification.analogues import A_ISSUES, A_PRS, A_RELEASES, A_REPOS, A_REPOSITORIES, STAR, Tables, failing
 from verification.registry import query
 
-AS_OF = F.lit
-
-
 def as_of():
     return F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
 
@@ -68,13 +65,21 @@ class Star:
         rows = quality.clean(self.prs_validated)
         return scd2.scd2_apply(None, rows, ["pull_request_id"], "timestamp", updated_at="updated_at")
 
+    def build_fact_issues(self) -> DataFrame:
+        return gold.fact_issues(self.issue_history, self.repos_current, as_of())
+
+    def build_fact_prs(self) -> DataFrame:
+        return gold.fact_pull_requests(self.pr_history, self.repos_current, as_of())
+
+    # the KPIs read the facts several times: like the daily run, they read them as written tables
+
     @cached_property
     def fact_issues(self) -> DataFrame:
-        return gold.fact_issues(self.issue_history, self.repos_current, as_of())
+        return written(self.build_fact_issues(), "fact-issues")
 
     @cached_property
     def fact_prs(self) -> DataFrame:
-        return gold.fact_pull_requests(self.pr_history, self.repos_current, as_of())
+        return written(self.build_fact_prs(), "fact-prs")
 
     @cached_property
     def dim_users(self) -> DataFrame:
@@ -489,13 +494,13 @@ def dim_users(t: Tables) -> DataFrame:
 
 @query(f"with {STAR} select * from fact_issues")
 def fact_issues(t: Tables) -> DataFrame:
-    fact = Star(t).fact_issues.drop("_bronze_ingest_ts", "_extraction_run_id", "_gold_update_ts")
+    fact = Star(t).build_fact_issues().drop("_bronze_ingest_ts", "_extraction_run_id", "_gold_update_ts")
     return fact.withColumns({"time_to_close_hours": hours("time_to_close_hours")[0]})
 
 
 @query(f"with {STAR} select * from fact_prs")
 def fact_pull_requests(t: Tables) -> DataFrame:
-    fact = Star(t).fact_prs.drop("_bronze_ingest_ts", "_extraction_run_id", "_gold_update_ts")
+    fact = Star(t).build_fact_prs().drop("_bronze_ingest_ts", "_extraction_run_id", "_gold_update_ts")
     merge, close = hours("time_to_merge_hours", "time_to_close_hours")
     return fact.withColumns({"time_to_merge_hours": merge, "time_to_close_hours": close})
 
