@@ -14,19 +14,21 @@ def surrogate_key(col: str | Column) -> Column:
 
 
 def date_key(ts: str | Column) -> Column:
-    """Calendar day as a yyyyMMdd integer."""
-    return F.date_format(F.to_date(_col(ts)), "yyyyMMdd").cast("int")
+    """Calendar day as a yyyyMMdd integer (date arithmetic, no text formatting)."""
+    ts = _col(ts)
+    return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
 
 
 def day_of_key(key: str | Column) -> Column:
     """Inverse of :func:`date_key`."""
-    return F.to_date(_col(key).cast("string"), "yyyyMMdd")
+    key = _col(key)
+    return F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
 
 
 def month_of_key(key: str | Column) -> Column:
-    """``yyyy-MM`` text of a yyyyMMdd key, by integer arithmetic (no parsing)."""
-    key = _col(key)
-    return F.format_string("%04d-%02d", (key / 10000).cast("int"), (key / 100).cast("int") % 100)
+    """``yyyy-MM`` text of a yyyyMMdd key."""
+    text = _col(key).cast("string")
+    return F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2))
 
 
 def hours_between(start: str | Column, end: str | Column) -> Column:

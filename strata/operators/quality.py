@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FAILED = "dq_failed_rules"
@@ -21,10 +22,15 @@ class Rule:
 
 
 def evaluate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the array of failed rule names and the quarantine flag. A map-only projection, no shuffle."""
+    """Add the array of failed rule names and the quarantine flag. A map-only projection, no shuffle.
+
+    The flag is a plain conjunction, so keeping the clean rows stays in generated code and stops at the first
+    failure; names are collected only for rows that fail.
+    """
+    passes = reduce(Column.__and__, [F.coalesce(F.expr(r.expr), F.lit(False)) for r in rules])
     verdicts = [F.when(F.expr(r.expr), F.lit(None)).otherwise(F.lit(r.name)) for r in rules]
-    checked = df.withColumn(FAILED, F.array_compact(F.array(*verdicts)))
-    return checked.withColumn(FLAG, F.size(FAILED) > 0)
+    names = F.when(passes, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*verdicts)))
+    return df.select("*", names.alias(FAILED), (~passes).alias(FLAG))
 
 
 def clean(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def exact_quantile(
@@ -23,11 +24,15 @@ def exact_quantile(
     The built-in exact percentile keeps every distinct value of a group in one task's memory. Here values are
     counted first (the large shuffle, spread by value and combined before it), then placed into ordered buckets:
     the bucket totals say which one or two buckets hold the wanted ranks, and only those are looked into. A task
-    sees at most the buckets of a group, or the distinct values of one bucket. ``value`` is used at ``digits``
-    decimal places. ``bucket_width`` fits a known unit; by default the range is cut into 65,536 buckets.
+    sees at most the buckets of a group, or the distinct values of one bucket. Integers are used as they are,
+    other numbers at ``digits`` decimal places. ``bucket_width`` fits a known unit; by default the range is cut
+    into 65,536 buckets.
     """
-    scale = 10**digits
-    exact = F.round(F.col(value).cast("decimal(38,10)") * scale).cast("long")
+    if isinstance(df.schema[value].dataType, IntegralType):
+        scale, exact = 1, F.col(value).cast("long")
+    else:
+        scale = 10**digits
+        exact = F.floor(F.col(value).cast("double") * scale + 0.5)
     counts = (
         df.filter(F.col(value).isNotNull())
         .select(*keys, exact.alias("__v"))

@@ -18,14 +18,27 @@ UPDATED = "_gold_update_ts"
 FALLBACK_START = "2024-01-01"
 
 
-def calendar_bounds(fact_issues: DataFrame, fact_prs: DataFrame, last_day: Column, legacy: bool = False) -> DataFrame:
-    """First and last calendar day as one row. The first is the earliest creation day of issues and pull
-    requests; ``legacy`` looks at issues only, which drops older pull requests from the monthly series."""
-    created = fact_issues.select("created_date_key")
-    if not legacy:
-        created = created.unionByName(fact_prs.select("created_date_key"))
-    first = F.coalesce(day_of_key(F.min("created_date_key")), F.lit(FALLBACK_START).cast("date"))
-    return created.agg(first.alias("start")).withColumn("end", last_day.cast("date"))
+def calendar_bounds(
+    fact_issues: DataFrame, fact_prs: DataFrame, last_day: Column | None = None, legacy: bool = False
+) -> DataFrame:
+    """First and last calendar day as one row, from one pass over the date keys.
+
+    The first is the earliest creation day of issues and pull requests; ``legacy`` looks at issues only, which
+    drops older pull requests from the monthly series. The last is ``last_day``, or the latest milestone.
+    """
+    none = F.lit(None).cast("int")
+    issues = fact_issues.select(
+        F.col("created_date_key").alias("k"), F.greatest("created_date_key", "closed_date_key").alias("latest")
+    )
+    prs = fact_prs.select(
+        (none if legacy else F.col("created_date_key")).alias("k"),
+        F.greatest("created_date_key", "merged_date_key", "closed_date_key").alias("latest"),
+    )
+    ends = issues.unionByName(prs).agg(F.min("k").alias("k"), F.max("latest").alias("latest"))
+    return ends.select(
+        F.coalesce(day_of_key("k"), F.lit(FALLBACK_START).cast("date")).alias("start"),
+        (day_of_key("latest") if last_day is None else last_day.cast("date")).alias("end"),
+    )
 
 
 def calendar(bounds: DataFrame) -> DataFrame:

@@ -99,6 +99,12 @@ def milestones(fact_issues: DataFrame, fact_prs: DataFrame) -> DataFrame:
 COUNTERS = ("issues_opened", "issues_closed", "prs_opened", "prs_merged")
 
 
+def limits(bounds: DataFrame) -> tuple[Column, Column]:
+    """Both ends of the one-row calendar frame, out of one scalar subquery."""
+    both = bounds.select(F.struct("start", "end").alias("range")).scalar()
+    return both.getField("start"), both.getField("end")
+
+
 def kpi_time_series(
     fact_issues: DataFrame, fact_prs: DataFrame, dim_repositories: DataFrame, bounds: DataFrame
 ) -> DataFrame:
@@ -107,7 +113,7 @@ def kpi_time_series(
     The calendar has no gaps, so belonging to it is a range test on the date key, and the month comes from the
     key by arithmetic: the facts are never joined to a calendar table.
     """
-    first, last = bounds.select("start").scalar(), bounds.select("end").scalar()
+    first, last = limits(bounds)
     dated = (
         milestones(fact_issues, fact_prs)
         .filter(F.col("day_key").between(date_key(first), date_key(last)))

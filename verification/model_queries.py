@@ -88,11 +88,7 @@ class Star:
 
     @cached_property
     def bounds(self) -> DataFrame:
-        """Calendar over both facts: first creation to last milestone."""
-        keys = self.fact_issues.select(F.greatest("created_date_key", "closed_date_key").alias("k")).unionByName(
-            self.fact_prs.select(F.greatest("created_date_key", "merged_date_key", "closed_date_key").alias("k"))
-        )
-        return gold.calendar_bounds(self.fact_issues, self.fact_prs, scalars.day_of_key(keys.agg(F.max("k")).scalar()))
+        return gold.calendar_bounds(self.fact_issues, self.fact_prs)
 
     @cached_property
     def health(self) -> DataFrame:
@@ -432,7 +428,8 @@ select cast(strftime(day, '%Y%m%d') as int) as date_key, strftime(day, '%Y-%m-%d
        cast(year(day) as int) as year, cast(quarter(day) as int) as quarter, cast(month(day) as int) as month,
        cast(weekofyear(day) as int) as week_of_year, cast(dayofweek(day) + 1 as int) as day_of_week from d""")
 def dim_date(t: Tables) -> DataFrame:
-    days = gold.calendar(Star(t).bounds)
+    star = Star(t)
+    days = gold.calendar(gold.calendar_bounds(star.build_fact_issues(), star.build_fact_prs()))
     return days.withColumn("date_actual", F.date_format("date_actual", "yyyy-MM-dd"))
 
 
@@ -581,8 +578,8 @@ def kpi_time_series(t: Tables) -> DataFrame:
 @query(f"with {STAR},{SERIES} select repo_id, repo_name, month_year from series")
 def date_spine_densify(t: Tables) -> DataFrame:
     star = Star(t)
-    first, last = star.bounds.select("start").scalar(), star.bounds.select("end").scalar()
-    return densify(kpis.current_repos(star.dim_repositories), first, last)
+    bounds = gold.calendar_bounds(star.build_fact_issues(), star.build_fact_prs())
+    return densify(kpis.current_repos(star.dim_repositories), *kpis.limits(bounds))
 
 
 CONTRIBUTIONS = """
