@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None while nothing has been written there."""
-    return spark.read.option("mergeSchema", True).parquet(path) if path_exists(spark, path) else None
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # only empty batches so far
+            return None
+        raise
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
