@@ -94,8 +94,10 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     seen = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("__x"))
     low, high = seen.agg(F.min("__x")).scalar(), seen.agg(F.max("__x")).scalar()
     step = (high - low) / F.lit(bins)
-    nth = F.least(F.floor((F.col("__x") - low) / F.nullif(step, F.lit(0.0))), F.lit(bins - 1))
-    counted = seen.groupBy(F.coalesce(nth, F.lit(0)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    # a constant column has no width: everything is in the first bin; the maximum belongs to the last
+    nth = F.coalesce(F.floor((F.col("__x") - low) / F.nullif(step, F.lit(0.0))), F.lit(0))
+    nth = F.least(nth, F.lit(bins - 1)).cast("int")
+    counted = seen.groupBy(nth.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.select(
         "bin",
         (low + F.col("bin") * step).alias("bin_from"),

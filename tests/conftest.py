@@ -12,11 +12,11 @@ from strata.session import build_session  # noqa: E402
 def spark():
     s = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.driver.memory": "6g",
         },
     )
