@@ -51,6 +51,12 @@ class Warehouse:
         at = self.path(f"bronze/{resource}")
         return bronze.read_bronze(self.spark, at) if tables.path_exists(self.spark, at) else None
 
+    def newest_date(self, resource: str) -> str | None:
+        return bronze.newest_partition(self.spark, self.path(f"bronze/{resource}"), "_ingestion_date")
+
+    def read_open(self, history: str) -> DataFrame | None:
+        return tables.read_open(self.spark, self.path(history))
+
     def bucket(self, key: str) -> Column:
         width = self.options.id_width
         return tables.range_bucket(key, width) if width else hash_bucket([key], self.options.buckets)
@@ -103,7 +109,8 @@ def commit_watermarks(w: Warehouse, boundaries: DataFrame) -> None:
 
 def refresh_repositories(w: Warehouse, as_of: Column, run_id: str) -> DataFrame:
     """Newest repository population, its history by business columns; returns the staged repositories."""
-    staged = w.overwrite("staged/repositories", staging.stage_repositories(w.bronze("repositories")))
+    newest = staging.stage_repositories(w.bronze("repositories"), w.newest_date("repositories"))
+    staged = w.overwrite("staged/repositories", newest)
     judged = w.overwrite("validated/repositories", validated.validate_repositories(staged))
     tables.snapshot_by_check(
         w.spark, w.path("history/repositories"), clean(judged), ["repository_id"],
@@ -161,14 +168,15 @@ def refresh_pull_requests(w: Warehouse, repos: DataFrame, ingestion_date: str) -
 def refresh_releases(w: Warehouse, repos: DataFrame) -> None:
     lines = w.bronze("releases")
     if lines is not None:
-        judged = validated.validate_releases(staging.stage_releases(lines), repos)
+        judged = validated.validate_releases(staging.stage_releases(lines, w.newest_date("releases")), repos)
         w.upsert("silver/releases", judged.select(*silver.RELEASE_COLUMNS), "release_id")
 
 
 def refresh_languages(w: Warehouse, repos: DataFrame) -> None:
     lines = w.bronze("languages")
     if lines is not None:
-        judged = validated.validate_languages(staging.stage_languages(lines), repos)
+        rows = staging.stage_languages(lines, w.newest_date("languages"))
+        judged = validated.validate_languages(rows, repos)
         w.overwrite("silver/languages", judged.select(*silver.LANGUAGE_COLUMNS))
 
 
@@ -176,7 +184,7 @@ def snapshot(w: Warehouse, source: str, target: str, key: str, run_id: str) -> N
     """Type-2 history of the clean rows that changed since the last snapshot."""
     rows = w.read(source)
     if rows is not None:
-        changed = hwm_filter(clean(rows), w.read(target), INGEST)
+        changed = hwm_filter(clean(rows), w.read_open(target), INGEST)
         tables.snapshot_by_timestamp(w.spark, w.path(target), changed, [key], "updated_at", w.bucket(key), run_id)
 
 
@@ -189,10 +197,12 @@ def silver_views(w: Warehouse) -> dict[str, DataFrame]:
 
     return {
         "repositories_current": silver.repositories_current(
-            w.read("history/repositories"), w.read("validated/repositories")
+            w.read_open("history/repositories"), w.read("validated/repositories")
+        ),
+        "issues_current": silver.issues_current(w.read_open("history/issues"), judged("issues")),
+        "pull_requests_current": silver.pull_requests_current(
+            w.read_open("history/pull_requests"), judged("pull_requests")
         ),
-        "issues_current": silver.issues_current(w.read("history/issues"), judged("issues")),
-        "pull_requests_current": silver.pull_requests_current(w.read("history/pull_requests"), judged("pull_requests")),
         "releases": w.read("silver/releases"),
         "languages": w.read("silver/languages"),
     }
@@ -202,7 +212,7 @@ def refresh_gold(w: Warehouse, as_of: Column) -> None:
     opts, views = w.options, silver_views(w)
     w.overwrite("gold/dim_repositories", gold.dim_repositories(w.read("history/repositories"), as_of))
     repos = w.overwrite(
-        "gold/dim_repositories_current", gold.dim_repositories_current(w.read("history/repositories"), as_of)
+        "gold/dim_repositories_current", gold.dim_repositories_current(w.read_open("history/repositories"), as_of)
     )
     users = gold.dim_users(views["issues_current"], views["pull_requests_current"], views["releases"], as_of)
     w.overwrite("gold/dim_users", users)
@@ -211,9 +221,9 @@ def refresh_gold(w: Warehouse, as_of: Column) -> None:
     def recent(fact: DataFrame, name: str) -> DataFrame:
         return lookback_filter(fact, w.read(name), "updated_at", opts.lookback_days, scope)
 
-    issues = gold.fact_issues(w.read("history/issues"), repos, as_of)
+    issues = gold.fact_issues(w.read_open("history/issues"), repos, as_of)
     w.upsert("gold/fact_issues", recent(issues, "gold/fact_issues"), "issue_id")
-    prs = gold.fact_pull_requests(w.read("history/pull_requests"), repos, as_of)
+    prs = gold.fact_pull_requests(w.read_open("history/pull_requests"), repos, as_of)
     w.upsert("gold/fact_pull_requests", recent(prs, "gold/fact_pull_requests"), "pr_id")
     w.upsert("gold/fact_releases", gold.fact_releases(views["releases"], repos, as_of), "release_id")
 

@@ -86,11 +86,11 @@ RELEASE_FIELDS = {
 DETAIL_MEASURES = ("additions", "deletions", "commits_count", "changed_files", "review_comments_count")
 
 
-def stage_repositories(bronze: DataFrame) -> DataFrame:
+def stage_repositories(bronze: DataFrame, newest_date: str | None = None) -> DataFrame:
     """Newest full population; the envelope's repository name is the full name."""
     fields = {**REPOSITORY_FIELDS, **_ts("created_at", "updated_at", "pushed_at")}
     keep = [F.col("_repo_full_name").alias("full_name"), INGEST, RUN, "_ingestion_date"]
-    newest = latest_partition(bronze, "_ingestion_date")
+    newest = latest_partition(bronze, "_ingestion_date", newest_date)
     typed = flatten_json(newest, "data", schemas.REPOSITORY, fields, keep)
     return dedup_latest(typed, ["repository_id"], ["updated_at", INGEST])
 
@@ -150,15 +150,16 @@ def stage_pull_requests(pr_bronze: DataFrame, detail_bronze: DataFrame) -> DataF
     return enrich_pull_requests(stage_pull_request_heads(pr_bronze), stage_pr_details(detail_bronze))
 
 
-def stage_releases(bronze: DataFrame) -> DataFrame:
+def stage_releases(bronze: DataFrame, newest_date: str | None = None) -> DataFrame:
     fields = {**RELEASE_FIELDS, **_ts("created_at", "published_at")}
     keep = [INGEST, RUN, "_ingestion_date", "_repo_full_name"]
-    typed = flatten_json(latest_partition(bronze, "_ingestion_date"), "data", schemas.RELEASE, fields, keep)
+    newest = latest_partition(bronze, "_ingestion_date", newest_date)
+    typed = flatten_json(newest, "data", schemas.RELEASE, fields, keep)
     return dedup_latest(typed, ["release_id"], [INGEST])
 
 
-def stage_languages(bronze: DataFrame) -> DataFrame:
-    newest = latest_partition(bronze, "_ingestion_date")
+def stage_languages(bronze: DataFrame, newest_date: str | None = None) -> DataFrame:
+    newest = latest_partition(bronze, "_ingestion_date", newest_date)
     cols = newest.select(F.col("_repo_full_name").alias("repo_full_name"), INGEST, "_ingestion_date", "data")
     return explode_map(cols, "data", "language", "bytes").select(
         "repo_full_name", "language", "bytes", INGEST, "_ingestion_date"

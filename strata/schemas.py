@@ -9,6 +9,12 @@ LINEAGE = (
     "source_s3_uri string, repo_full_name string"
 )
 
+BRONZE = (
+    "_bronze_ingest_ts timestamp, _source_file string, _raw_s3_uri string, _source_endpoint string, "
+    "_ingestion_timestamp timestamp, _extraction_run_id string, _payload_checksum string, _repo_full_name string, "
+    "data string, _ingestion_date string"
+)
+
 REPOSITORY = (
     "id bigint, full_name string, owner struct<login:string>, name string, description string, language string, "
     "stargazers_count bigint, forks_count bigint, watchers_count bigint, open_issues_count bigint, "

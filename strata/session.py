@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +55,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like :func:`written`, for the time of one block; the files go when the block ends."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

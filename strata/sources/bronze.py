@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import LINEAGE, RESOURCES
+from strata.schemas import BRONZE, LINEAGE, RESOURCES
 
 SUMMARY = "resource string, location string, n_rows bigint, status string"
 
@@ -39,14 +39,17 @@ def parse_bronze(raw: DataFrame, ingest_ts: Column, ingestion_date: str | None =
     )
 
 
-def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> int:
+def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], gather: bool = False) -> int:
     """Overwrite exactly the partitions present in ``df``; a rerun replaces, never appends. Returns rows written.
 
-    The count comes from the write itself, not from a second pass.
+    The count comes from the write itself, not from a second pass. ``gather`` brings the rows of a partition
+    together first, so that every task does not leave a small file in every partition; it is a rebalance, so AQE
+    splits large partitions over several tasks and joins small ones.
     """
     seen = Observation()
+    rows = df.hint("rebalance", *partition_cols) if gather else df
     (
-        df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+        rows.observe(seen, F.count(F.lit(1)).alias("n_rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
@@ -63,15 +66,29 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
         spark.catalog.recoverPartitions(table)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze table with files of older and newer column sets merged, dates read as text."""
-    merged = spark.read.option("mergeSchema", True).parquet(path)
-    return merged.withColumn("_ingestion_date", F.col("_ingestion_date").cast("string"))
+def read_bronze(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """Bronze table by its declared columns: files written before a column existed give nulls, and no file has to
+    be opened to find the schema. ``merge_schema`` asks the files instead, for columns that are not declared."""
+    if merge_schema:
+        merged = spark.read.option("mergeSchema", True).parquet(path)
+        return merged.withColumn("_ingestion_date", F.col("_ingestion_date").cast("string"))
+    return spark.read.schema(BRONZE).parquet(path)
 
 
-def latest_partition(df: DataFrame, col: str) -> DataFrame:
-    """Rows of the newest value of a partition column, as a partition filter over a scalar subquery."""
-    return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
+def newest_partition(spark: SparkSession, path: str, col: str) -> str | None:
+    """Largest value of a partition column by the folder names alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return max((n.split("=", 1)[1] for n in names if n.startswith(f"{col}=")), default=None)
+
+
+def latest_partition(df: DataFrame, col: str, newest: str | None = None) -> DataFrame:
+    """Rows of the newest value of a partition column.
+
+    With ``newest`` known (see :func:`newest_partition`) the filter is a literal and prunes at planning time;
+    otherwise it is a scalar subquery, which prunes at run time after a pass over the partition column.
+    """
+    return df.filter(F.col(col) == (df.agg(F.max(col)).scalar() if newest is None else F.lit(newest)))
 
 
 def load_resource(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.incremental import merge_upsert
 from strata.operators.scd2 import scd2_apply
-from strata.session import written
+from strata.session import staged
 from strata.sources.bronze import replace_partitions
 
 BUCKET = "key_bucket"
@@ -39,7 +39,7 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     if not path_exists(spark, path):
         return None
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # only empty batches so far
             return None
@@ -52,6 +52,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return None if df is None else df.drop(BUCKET, STATE)
 
 
+def read_open(spark: SparkSession, path: str) -> DataFrame | None:
+    """Open versions of a type-2 table: closed history is pruned by its partition, its files are not opened."""
+    df = read_or_none(spark, path)
+    return None if df is None else df.filter(F.col(STATE) == OPEN).drop(BUCKET, STATE)
+
+
 def _touched(batch: DataFrame) -> list[int]:
     # bucket numbers, at most as many as the table has partitions
     return [r[0] for r in batch.select(BUCKET).distinct().collect()]
@@ -71,12 +77,11 @@ def upsert_table(
     this table. Rewriting goes through Spark's dynamic partition overwrite: partitions the batch does not touch
     are neither read nor written, and a lost executor only repeats tasks.
     """
-    batch = written(updates.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "upsert")
-    target = read_or_none(spark, path)
-    if target is not None:
-        target = target.filter(F.col(BUCKET).isin(_touched(batch)))
-    merged = merge_upsert(target, batch, keys, newer_by)
-    return replace_partitions(merged, path, [BUCKET])
+    with staged(updates.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "upsert") as batch:
+        target = read_or_none(spark, path)
+        if target is not None:
+            target = target.filter(F.col(BUCKET).isin(_touched(batch)))
+        return replace_partitions(merge_upsert(target, batch, keys, newer_by), path, [BUCKET], gather=True)
 
 
 def snapshot_table(
@@ -93,19 +98,19 @@ def snapshot_table(
     Open versions and each run's closed versions lie in partitions of their own. Only the open partitions of the
     touched buckets are read and rewritten; closed history is written once and never again.
     """
-    batch = written(source.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "snapshot")
-    table = read_or_none(spark, path)
-    if table is None:
-        after = apply(None, batch)
-    else:
-        mine = table.filter(F.col(BUCKET).isin(_touched(batch)))
-        after = apply(mine.filter(F.col(STATE) == OPEN).drop(STATE), batch)
-    state = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(F.lit(run_id))
-    after = after.withColumn(STATE, state)
-    if table is not None:
-        # a repeated run id keeps the versions it closed before
-        after = after.unionByName(mine.filter(F.col(STATE) == run_id))
-    return replace_partitions(after, path, [STATE, BUCKET])
+    with staged(source.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "snapshot") as batch:
+        table = read_or_none(spark, path)
+        if table is None:
+            after = apply(None, batch)
+        else:
+            mine = table.filter(F.col(BUCKET).isin(_touched(batch)))
+            after = apply(mine.filter(F.col(STATE) == OPEN).drop(STATE), batch)
+        state = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(F.lit(run_id))
+        after = after.withColumn(STATE, state)
+        if table is not None:
+            # a repeated run id keeps the versions it closed before
+            after = after.unionByName(mine.filter(F.col(STATE) == run_id))
+        return replace_partitions(after, path, [STATE, BUCKET], gather=True)
 
 
 def snapshot_by_timestamp(
