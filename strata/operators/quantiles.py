@@ -18,6 +18,7 @@ def exact_quantile(
     name: str,
     bucket_width: float | None = None,
     digits: int = 6,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantile of ``value`` per group (nulls skipped), as one row ``keys + [name]``.
 
@@ -26,18 +27,19 @@ def exact_quantile(
     the bucket totals say which one or two buckets hold the wanted ranks, and only those are looked into. A task
     sees at most the buckets of a group, or the distinct values of one bucket. Integers are used as they are,
     other numbers at ``digits`` decimal places. ``bucket_width`` fits a known unit; by default the range is cut
-    into 65,536 buckets.
+    into 65,536 buckets. ``weight`` names a column saying how often a row counts.
     """
     if isinstance(df.schema[value].dataType, IntegralType):
         scale, exact = 1, F.col(value).cast("long")
     else:
         scale = 10**digits
         exact = F.floor(F.col(value).cast("double") * scale + 0.5)
+    times = F.lit(1) if weight is None else F.col(weight)
     counts = (
         df.filter(F.col(value).isNotNull())
-        .select(*keys, exact.alias("__v"))
+        .select(*keys, exact.alias("__v"), times.cast("long").alias("__n"))
         .groupBy(*keys, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.sum("__n").alias("__n"))
     )
     if bucket_width is None:
         span = F.greatest(F.lit(1), F.expr("(max(__v) - min(__v)) div 65536 + 1")).cast("long")
@@ -89,18 +91,25 @@ def quantile_trim(df: DataFrame, col: str, p: float, **kw) -> DataFrame:
     return df.filter(F.col(col) <= exact_quantile(df, [], col, p, "bound", **kw).scalar())
 
 
-def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
+def value_counts(df: DataFrame, col: str) -> DataFrame:
+    """Distinct non-null values and how often they occur, as ``[col, "n_rows"]``."""
+    return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def histogram(df: DataFrame, col: str, bins: int, weight: str | None = None) -> DataFrame:
     """Fixed-width histogram of the non-null values over [min, max]: bin number, its edges and its count."""
-    seen = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("__x"))
-    low, high = seen.agg(F.min("__x")).scalar(), seen.agg(F.max("__x")).scalar()
-    step = (high - low) / F.lit(bins)
+    times = F.lit(1) if weight is None else F.col(weight)
+    seen = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("__x"), times.alias("__n"))
+    span = seen.agg(F.struct(F.min("__x").alias("low"), F.max("__x").alias("high")).alias("span")).scalar()
+    ranged = seen.withColumn("__span", span)
+    low, step = F.col("__span.low"), (F.col("__span.high") - F.col("__span.low")) / F.lit(bins)
     # a constant column has no width: everything is in the first bin; the maximum belongs to the last
     nth = F.coalesce(F.floor((F.col("__x") - low) / F.nullif(step, F.lit(0.0))), F.lit(0))
     nth = F.least(nth, F.lit(bins - 1)).cast("int")
-    counted = seen.groupBy(nth.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = ranged.groupBy(nth.alias("bin"), low.alias("low"), step.alias("step")).agg(F.sum("__n").alias("n_rows"))
     return counted.select(
         "bin",
-        (low + F.col("bin") * step).alias("bin_from"),
-        (low + (F.col("bin") + 1) * step).alias("bin_to"),
+        (F.col("low") + F.col("bin") * F.col("step")).alias("bin_from"),
+        (F.col("low") + (F.col("bin") + 1) * F.col("step")).alias("bin_to"),
         "n_rows",
     )

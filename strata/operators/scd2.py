@@ -81,25 +81,23 @@ def neighbour(
 ) -> DataFrame:
     """Previous (``back``) or next row's ``take`` values within a key, as ``prefix``-named columns.
 
-    Equal to lag/lead over the whole key, but the key is cut into time slices by its first order column: a slice
-    is one window group, and the value that crosses a slice border comes from a summary of one row per key and
-    slice. A key with a large share of the rows is spread over its slices. ``{prefix}exists`` tells whether
-    there is such a row.
+    Equal to lag/lead over the whole key, but no task holds a whole key: the key is cut into time slices by its
+    first order column. One window looks within slices. A second one looks across slice borders, where only the
+    first and last row of each slice matter: those of a key form one small group, all other rows stay in groups
+    of their slice. ``{prefix}exists`` tells whether there is such a row.
     """
-    # sliced by date_trunc on the leading order column, which is part of the data: reruns cut at the same places
+    # the cut depends on the data alone, so a repeated task cuts at the same places
     sliced = df.withColumn("__slice", F.date_trunc(slice_unit, F.col(order[0])))
-    ahead = [F.col(c).asc() for c in order] if back else [F.col(c).desc() for c in order]
+    direction = [F.col(c).asc() if back else F.col(c).desc() for c in order]
     value = F.struct(*[F.col(c) for c in take])
-    in_slice = sliced.withColumn(
-        "__near", F.lag(value).over(Window.partitionBy(*keys, "__slice").orderBy(*ahead))
+    within = Window.partitionBy(*keys, "__slice").orderBy(*direction)
+    near = sliced.withColumn("__near", F.lag(value).over(within)).withColumn(
+        "__last", F.lead(F.lit(1)).over(within).isNull()
     )
-    rank = F.struct(*[F.col(c) for c in order])
-    edge = F.max_by(value, rank) if back else F.min_by(value, rank)
-    edges = sliced.groupBy(*keys, "__slice").agg(edge.alias("__edge"))
-    slice_order = F.col("__slice").asc() if back else F.col("__slice").desc()
-    edges = edges.withColumn("__across", F.lag("__edge").over(Window.partitionBy(*keys).orderBy(slice_order)))
-    joined = in_slice.join(edges.select(*keys, "__slice", "__across"), [*keys, "__slice"])
-    got = joined.withColumn("__got", F.coalesce("__near", "__across"))
+    border = F.col("__near").isNull() | F.col("__last")
+    grouped = near.withColumn("__group", F.when(~border, F.col("__slice")))
+    across = Window.partitionBy(*keys, "__group").orderBy(*direction)
+    got = grouped.withColumn("__got", F.coalesce("__near", F.lag(value).over(across)))
     return got.select(
         *df.columns,
         F.col("__got").isNotNull().alias(f"{prefix}exists"),

@@ -99,10 +99,10 @@ def milestones(fact_issues: DataFrame, fact_prs: DataFrame) -> DataFrame:
 COUNTERS = ("issues_opened", "issues_closed", "prs_opened", "prs_merged")
 
 
-def limits(bounds: DataFrame) -> tuple[Column, Column]:
-    """Both ends of the one-row calendar frame, out of one scalar subquery."""
-    both = bounds.select(F.struct("start", "end").alias("range")).scalar()
-    return both.getField("start"), both.getField("end")
+def limits(bounds: DataFrame) -> Column:
+    """The one-row calendar frame as one scalar subquery: a struct of both days and both day keys."""
+    days = [F.col("start"), F.col("end"), date_key("start").alias("start_key"), date_key("end").alias("end_key")]
+    return bounds.select(F.struct(*days).alias("limits")).scalar()
 
 
 def kpi_time_series(
@@ -113,10 +113,10 @@ def kpi_time_series(
     The calendar has no gaps, so belonging to it is a range test on the date key, and the month comes from the
     key by arithmetic: the facts are never joined to a calendar table.
     """
-    first, last = limits(bounds)
+    calendar = limits(bounds)
     dated = (
         milestones(fact_issues, fact_prs)
-        .filter(F.col("day_key").between(date_key(first), date_key(last)))
+        .filter(F.col("day_key").between(calendar.getField("start_key"), calendar.getField("end_key")))
         .select("repo_id", month_of_key("day_key").alias("month_year"), "kind", "hours")
     )
     keys = ["repo_id", "month_year"]
@@ -127,7 +127,7 @@ def kpi_time_series(
         keys,
         {"issues_closed": "median_time_to_close_hours", "prs_merged": "median_time_to_merge_hours"},
     )
-    spine = densify(current_repos(dim_repositories), first, last)
+    spine = densify(current_repos(dim_repositories), calendar.getField("start"), calendar.getField("end"))
     return (
         spine.join(counts, keys, "left")
         .join(medians, keys, "left")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import contributor_label, short_name
-from strata.operators.quantiles import exact_quantile, histogram, quantile_trim
+from strata.operators.quantiles import exact_quantile, histogram, quantile_trim, value_counts
 from strata.operators.ranking import top_k
 from strata.operators.spine import zero_fill
 from strata.plans.kpis import COUNTERS, SIZE_ORDER
+from strata.session import written
 
 MEDIANS = ("median_time_to_close_hours", "median_time_to_merge_hours")
 
@@ -131,7 +132,13 @@ def lines_vs_merge_time(prs: DataFrame, repo: str | None = None, p: float = 0.99
 
 
 def files_histogram(prs: DataFrame, repo: str | None = None, p: float = 0.95, bins: int = 40) -> DataFrame:
-    return histogram(quantile_trim(for_repo(prs, repo), "changed_files", p, digits=0), "changed_files", bins)
+    """Changed files per pull request up to the ``p`` quantile.
+
+    Bound, range and bins only depend on how often each value occurs, so the pull requests are read once.
+    """
+    counts = written(value_counts(for_repo(prs, repo), "changed_files"), "file-counts")
+    kept = quantile_trim(counts, "changed_files", p, weight="n_rows")
+    return histogram(kept, "changed_files", bins, weight="n_rows")
 
 
 # -- community ------------------------------------------------------------------------------------------------

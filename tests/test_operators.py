@@ -238,7 +238,8 @@ def test_calendar_and_month_spine(spark):
     assert days.count() == 35
     first = days.orderBy("date_key").first()
     assert (first.date_key, first.quarter, first.week_of_year, first.day_of_week) == (20231230, 4, 52, 7)
-    months = spine.densify(spark.createDataFrame([(1,)], "r int"), *kpis.limits(bounds))
+    limits = kpis.limits(bounds)
+    months = spine.densify(spark.createDataFrame([(1,)], "r int"), limits.getField("start"), limits.getField("end"))
     assert rows(months) == [(1, "2023-12"), (1, "2024-01"), (1, "2024-02")]
 
 

@@ -579,7 +579,8 @@ def kpi_time_series(t: Tables) -> DataFrame:
 def date_spine_densify(t: Tables) -> DataFrame:
     star = Star(t)
     bounds = gold.calendar_bounds(star.build_fact_issues(), star.build_fact_prs())
-    return densify(kpis.current_repos(star.dim_repositories), *kpis.limits(bounds))
+    calendar = kpis.limits(bounds)
+    return densify(kpis.current_repos(star.dim_repositories), calendar.getField("start"), calendar.getField("end"))
 
 
 CONTRIBUTIONS = """
