@@ -12,6 +12,22 @@ from pyspark.sql import functions as F
 URL_PREFIX = "https://api.github.com/repos/"
 
 
+# column types of the given tables, so that reading one needs no look into its files
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class Tables:
     """The given Parquet tables by name, and the views built over them."""
 
@@ -19,7 +35,9 @@ class Tables:
         self.spark, self.dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
     def a_repos(self) -> DataFrame:
         joined = self.nation.join(self.region, F.col("n_regionkey") == F.col("r_regionkey"))
