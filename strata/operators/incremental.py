@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import dedup_latest
-from strata.operators.joins import salted_semi_join
 
 EPOCH_SENTINEL = "1900-01-01 00:00:00"
 
@@ -51,18 +51,22 @@ def lookback_filter(
 def dedup_since(
     df: DataFrame, target: DataFrame | None, keys: Sequence[str], order: Sequence[str], ts: str
 ) -> DataFrame:
-    """Newest row per key over the whole history, for keys whose newest row arrived after the watermark.
+    """Newest row per key over the whole history, where that row arrived after the watermark.
 
-    Same rows as deduplicating everything and filtering afterwards, but only the history of keys touched since
-    the watermark goes through the window.
+    Same rows as deduplicating everything and filtering afterwards (equal rows: the later arrival wins), but only
+    the fresh rows go through the window. Of the older history just keys and order columns are read, and one best
+    value per key and task is shuffled, so neither a long history nor a hot key reaches a single task whole.
     """
+    order = [*order, *([] if ts in order else [ts])]
+    best = dedup_latest(hwm_filter(df, target, ts), keys, order)
     if target is None:
-        return dedup_latest(df, keys, order)
-    fresh = hwm_filter(df, target, ts)
-    touched = fresh.select(*keys).distinct()
-    named = salted_semi_join(df, touched, keys)
-    unnamed = fresh.filter(" or ".join(f"{k} is null" for k in keys))
-    return hwm_filter(dedup_latest(named, keys, order), target, ts).unionByName(unnamed)
+        return best
+    rank = F.struct(*[F.col(c) for c in order])
+    older = df.filter(F.col(ts) <= high_watermark(target, ts)).dropna(subset=list(keys))
+    older = older.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max(rank).alias("__older"))
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"__{k}") for k in keys])
+    joined = best.join(older, same, "left")
+    return joined.filter(F.col("__older").isNull() | (rank > F.col("__older"))).select(*df.columns)
 
 
 def merge_upsert(

@@ -20,14 +20,3 @@ def resolve_reference(
     right = F.col(right) if isinstance(right, str) else right
     narrow = dim.select(right.alias("__ref"), *take)
     return df.withColumn("__key", left).join(narrow, F.col("__key") == F.col("__ref"), "left").drop("__key", "__ref")
-
-
-def salted_semi_join(df: DataFrame, wanted: DataFrame, keys: Sequence[str], salts: int = 16) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted`` (distinct keys), with every key spread over ``salts`` tasks.
-
-    ``wanted`` is copied once per salt, ``df`` is not copied at all: a key holding a third of ``df`` is joined in
-    ``salts`` pieces instead of one.
-    """
-    salt = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int")
-    spread = wanted.select(*keys).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn("__salt", salt).join(spread, [*keys, "__salt"], "left_semi").drop("__salt")

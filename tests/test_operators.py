@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions import payloads, scalars
-from strata.operators import checks, dedup, incremental, joins, quality, quantiles, ranking, scd2, spine
+from strata.operators import checks, dedup, incremental, quality, quantiles, ranking, scd2, spine
 from strata.operators.quality import Rule
 from strata.plans import kpis
 from strata.sources import tables
@@ -223,12 +223,6 @@ def test_dedup_since_equals_dedup_then_filter(spark):
     assert rows(got) == rows(want)
 
 
-def test_salted_semi_join_equals_semi_join(spark):
-    df = spark.range(500).select((F.col("id") % 7).alias("k"), "id")
-    wanted = spark.createDataFrame([(1,), (3,), (99,)], "k bigint")
-    assert rows(joins.salted_semi_join(df, wanted, ["k"], 4)) == rows(df.join(wanted, "k", "left_semi"))
-
-
 # -- spine, ranking, checks, payloads ---------------------------------------------------------------------------
 
 

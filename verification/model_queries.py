@@ -71,15 +71,18 @@ class Star:
     def build_fact_prs(self) -> DataFrame:
         return gold.fact_pull_requests(self.pr_history, self.repos_current, as_of())
 
-    # the KPIs read the facts several times: like the daily run, they read them as written tables
+    # health and series read the facts several times, so they read them as written tables of the columns they use
 
     @cached_property
     def fact_issues(self) -> DataFrame:
-        return written(self.build_fact_issues(), "fact-issues")
+        used = ["repo_id", "author_user_id", "state", "created_date_key", "closed_date_key", "time_to_close_hours"]
+        return written(self.build_fact_issues().select(*used), "fact-issues")
 
     @cached_property
     def fact_prs(self) -> DataFrame:
-        return written(self.build_fact_prs(), "fact-prs")
+        days = ["created_date_key", "merged_date_key", "closed_date_key"]
+        used = ["repo_id", "author_user_id", "state", *days, "time_to_merge_hours"]
+        return written(self.build_fact_prs().select(*used), "fact-prs")
 
     @cached_property
     def dim_users(self) -> DataFrame:
@@ -100,11 +103,18 @@ class Star:
 
     @cached_property
     def users(self) -> DataFrame:
-        return kpis.kpi_user_contributions(self.fact_issues, self.fact_prs, self.dim_repositories, self.dim_users)
+        issues, prs = self.build_fact_issues(), self.build_fact_prs()
+        return kpis.kpi_user_contributions(issues, prs, self.dim_repositories, self.dim_users)
 
     @cached_property
     def prs(self) -> DataFrame:
-        return kpis.kpi_pr_complexity(self.fact_prs, self.dim_repositories)
+        return kpis.kpi_pr_complexity(self.build_fact_prs(), self.dim_repositories)
+
+    @cached_property
+    def stored_prs(self) -> DataFrame:
+        """For reports that read the KPI table more than once."""
+        used = ["pr_id", "merged_date_key", "time_to_merge_hours", "total_lines_changed", "pr_size_bucket"]
+        return written(self.prs.select(*used, "changed_files", "commits_count"), "kpi-prs")
 
 
 def hours(*cols: str) -> list:

@@ -115,7 +115,7 @@ def dash_issues_by_repo(t: Tables) -> DataFrame:
   round(avg(total_lines_changed), 6) as avg_lines_changed,
   round(median(time_to_merge_hours) filter (where merged_date_key is not null), 6) as median_merge_hours from prs""")
 def dash_pr_summary(t: Tables) -> DataFrame:
-    return rounded(reports.pr_summary(Star(t).prs), "avg_lines_changed", "median_merge_hours")
+    return rounded(reports.pr_summary(Star(t).stored_prs), "avg_lines_changed", "median_merge_hours")
 
 
 @query(f"""{P}, c as (select unnest(['Small', 'Medium', 'Large', 'XL', 'Unknown']) as pr_size_bucket,
@@ -130,7 +130,7 @@ def dash_size_distribution(t: Tables) -> DataFrame:
   select pr_id, total_lines_changed, time_to_merge_hours, pr_size_bucket, changed_files, commits_count from m
   where time_to_merge_hours <= (select quantile_cont(time_to_merge_hours, 0.99) from m)""")
 def quantile_trim(t: Tables) -> DataFrame:
-    return rounded(reports.lines_vs_merge_time(Star(t).prs), "time_to_merge_hours")
+    return rounded(reports.lines_vs_merge_time(Star(t).stored_prs), "time_to_merge_hours")
 
 
 @query(f"""{P}, m as (select changed_files as x from prs
