@@ -6,17 +6,18 @@ A step takes what is newer than its own target, so a run that stopped half-way i
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import dedup_latest
-from strata.operators.incremental import advance_watermarks, hwm_filter, lookback_filter
+from strata.operators.incremental import hwm_filter, lookback_filter
 from strata.operators.quality import clean
 from strata.plans import gold, kpis, silver, staging, validated
 from strata.plans.staging import INGEST
-from strata.sources import bronze, tables
+from strata.sources import bronze, files, tables
 from strata.sources.tables import hash_bucket, read_table
 
 KPIS = ("kpi_repo_health", "kpi_time_series", "kpi_user_contributions", "kpi_pr_complexity")
@@ -49,10 +50,10 @@ class Warehouse:
 
     def bronze(self, resource: str) -> DataFrame | None:
         at = self.path(f"bronze/{resource}")
-        return bronze.read_bronze(self.spark, at) if tables.path_exists(self.spark, at) else None
+        return bronze.read_bronze(self.spark, at) if files.path_exists(self.spark, at) else None
 
     def newest_date(self, resource: str) -> str | None:
-        return bronze.newest_partition(self.spark, self.path(f"bronze/{resource}"), "_ingestion_date")
+        return files.newest_partition(self.spark, self.path(f"bronze/{resource}"), "_ingestion_date")
 
     def read_open(self, history: str) -> DataFrame | None:
         return tables.read_open(self.spark, self.path(history))
@@ -74,15 +75,19 @@ def run_day(
     raw_root: str,
     warehouse: Warehouse,
     ingestion_date: str,
-    as_of: Column,
+    as_of: str,
     boundaries: DataFrame | None = None,
     export_path: str | None = None,
 ) -> DataFrame:
-    """Process one ingestion date; returns the bronze load summary. ``as_of`` is the run's one moment in time."""
+    """Process one ingestion date; returns the bronze load summary.
+
+    ``as_of`` (``yyyy-MM-dd HH:mm:ss``, UTC) is the run's one moment in time and must be later than the last
+    run's. ``boundaries`` (repo, boundary) are committed once bronze holds the extracted records.
+    """
+    run_id, as_of = f"{ingestion_date}-{re.sub(r'[^0-9]', '', as_of)}", F.lit(as_of).cast("timestamp")
     loaded = bronze.load_all(spark, raw_root, warehouse.path("bronze"), ingestion_date, as_of)
     if boundaries is not None:
         commit_watermarks(warehouse, boundaries)
-    run_id = f"{ingestion_date}-{loaded_at(spark, as_of)}"
     repos = refresh_repositories(warehouse, as_of, run_id)
     refresh_issues(warehouse, repos, ingestion_date)
     refresh_pull_requests(warehouse, repos, ingestion_date)
@@ -97,14 +102,9 @@ def run_day(
     return loaded
 
 
-def loaded_at(spark: SparkSession, as_of: Column) -> str:
-    return spark.range(1).select(F.date_format(as_of, "yyyyMMddHHmmssSSS")).first()[0]
-
-
 def commit_watermarks(w: Warehouse, boundaries: DataFrame) -> None:
     """Extraction boundaries of a finished load; the next extraction starts from them."""
-    merged = advance_watermarks(w.read("watermarks"), boundaries)
-    tables.upsert_table(w.spark, w.path("watermarks"), merged, ["repo"], F.lit(0))
+    tables.upsert_table(w.spark, w.path("watermarks"), boundaries.select("repo", "boundary"), ["repo"], F.lit(0))
 
 
 def refresh_repositories(w: Warehouse, as_of: Column, run_id: str) -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources.files import delete_folder
+
 # Size-checked broadcasts, run-time skew splitting and UTC are all ordinary Spark settings: no join in this
 # package carries a broadcast hint, so a side is shipped whole only while Catalyst (or AQE, from real shuffle
 # sizes) sees it under autoBroadcastJoinThreshold; beyond it the join becomes a sort-merge join and AQE splits
@@ -65,5 +67,4 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)

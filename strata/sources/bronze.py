@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import BRONZE, LINEAGE, RESOURCES
+from strata.sources.files import path_exists
 
 SUMMARY = "resource string, location string, n_rows bigint, status string"
 
@@ -75,17 +76,10 @@ def read_bronze(spark: SparkSession, path: str, merge_schema: bool = False) -> D
     return spark.read.schema(BRONZE).parquet(path)
 
 
-def newest_partition(spark: SparkSession, path: str, col: str) -> str | None:
-    """Largest value of a partition column by the folder names alone."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    return max((n.split("=", 1)[1] for n in names if n.startswith(f"{col}=")), default=None)
-
-
 def latest_partition(df: DataFrame, col: str, newest: str | None = None) -> DataFrame:
     """Rows of the newest value of a partition column.
 
-    With ``newest`` known (see :func:`newest_partition`) the filter is a literal and prunes at planning time;
+    With ``newest`` known (see ``files.newest_partition``) the filter is a literal and prunes at planning time;
     otherwise it is a scalar subquery, which prunes at run time after a pass over the partition column.
     """
     return df.filter(F.col(col) == (df.agg(F.max(col)).scalar() if newest is None else F.lit(newest)))
@@ -111,8 +105,6 @@ def load_all(
     database: str | None = None,
 ) -> DataFrame:
     """Load every resource of a date, stop at the first failure, and return one summary row per resource."""
-    from strata.sources.tables import path_exists
-
     summary = []
     for resource in resources:
         source, target = f"{raw_root}/{resource}/ingestion_date={ingestion_date}", f"{bronze_root}/{resource}"

@@ -12,6 +12,7 @@ from strata.operators.incremental import merge_upsert
 from strata.operators.scd2 import scd2_apply
 from strata.session import staged
 from strata.sources.bronze import replace_partitions
+from strata.sources.files import path_exists
 
 BUCKET = "key_bucket"
 STATE = "closed_in"
@@ -29,11 +30,6 @@ def range_bucket(key: str, width: int) -> Column:
     return F.floor(F.col(key) / width).cast("int")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None while nothing has been written there."""
     if not path_exists(spark, path):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import staging
 from strata.session import scratch_dir, staged
-from strata.sources import bronze, raw, tables, volumes
+from strata.sources import bronze, files, raw, tables, volumes
 from strata.streaming.landing import follow_bronze, follow_raw
 
 
@@ -24,7 +24,7 @@ def test_bronze_reads_older_files_without_a_column(spark, tmp_path):
     df = bronze.read_bronze(spark, path)
     assert df.count() == 24 and df.filter("_source_endpoint is not null").count() == 10
     assert "extra" in bronze.read_bronze(spark, path, merge_schema=True).columns
-    assert bronze.newest_partition(spark, path, "_ingestion_date") == "2024-03-02"
+    assert files.newest_partition(spark, path, "_ingestion_date") == "2024-03-02"
     plan = bronze.latest_partition(df, "_ingestion_date", "2024-03-02")
     assert plan.count() == 12
     text = plan._jdf.queryExecution().executedPlan().toString()
@@ -91,8 +91,8 @@ def test_scratch_lies_in_the_shared_folder_and_staged_files_go(spark):
     with staged(spark.range(3), "x") as df:
         assert df.count() == 3
         folder = df.inputFiles()[0].rsplit("/", 1)[0]
-        assert tables.path_exists(spark, folder)
-    assert not tables.path_exists(spark, folder)
+        assert files.path_exists(spark, folder)
+    assert not files.path_exists(spark, folder)
 
 
 def test_stream_gives_the_batch_result(spark, tmp_path):
