@@ -4,8 +4,7 @@ import __spark_entry__ as entry_points
 import pytest
 
 from verification import compare
-
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+from verification.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
