@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.exact_dedup import SQL as EXACT_SQL
+from strata.llm.exact_dedup import exact_copies
+from strata.llm.near_dedup import near_components
 from strata.llm.packing import pack_documents
 from strata.llm.ship import documents
 from strata.llm.token_files import read_token_files, write_token_files
@@ -17,14 +20,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(fn, sql: str | None = None):
-    QUERIES[fn.__name__] = fn
-    if sql:
-        ORACLES[fn.__name__] = sql.strip()
-    return fn
+def register(sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = sql.strip()
+        return fn
 
+    return add
 
-@register
+
+@register()
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return near_components(documents(spark, sf_dir))
+
+
+@register()
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     folder = scratch_dir(spark, "token-files")
@@ -34,10 +46,16 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register
+@register()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     pieces = pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@register(EXACT_SQL)
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of exact copies among all documents."""
+    return exact_copies(documents(spark, sf_dir))
