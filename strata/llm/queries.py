@@ -11,9 +11,11 @@ from strata.llm.exact_dedup import SQL as EXACT_SQL
 from strata.llm.exact_dedup import exact_copies
 from strata.llm.near_dedup import near_components
 from strata.llm.packing import pack_documents
+from strata.llm.quality import score_quality
 from strata.llm.ship import documents
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.llm.tokens import tokenizer_path
+from strata.llm.toxicity import score_toxicity
 from strata.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +61,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of exact copies among all documents."""
     return exact_copies(documents(spark, sf_dir))
+
+
+@register()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labelled ones outside fold 0."""
+    return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labelled ones outside fold 0."""
+    scored = score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "n_tokens", F.size("segments").alias("n_segments"))
