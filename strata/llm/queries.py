@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import SQL as EXACT_SQL
 from strata.llm.exact_dedup import exact_copies
+from strata.llm.fingerprint import edited_likeness
+from strata.llm.mixing import SQL as MIXING_SQL
+from strata.llm.mixing import mixture
 from strata.llm.near_dedup import near_components
 from strata.llm.packing import pack_documents
 from strata.llm.quality import score_quality
@@ -69,6 +72,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@register()
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how near these and the next document are."""
+    return edited_likeness(documents(spark, sf_dir))
+
+
+@register(MIXING_SQL)
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is taken when no source is repeated more than twice."""
+    return mixture(documents(spark, sf_dir))
+
+
 @register()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labelled ones outside fold 0."""
