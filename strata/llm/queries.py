@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.llm.exact_dedup import SQL as EXACT_SQL
 from strata.llm.exact_dedup import exact_copies
 from strata.llm.fingerprint import edited_likeness
+from strata.llm.lm_score import score_documents
 from strata.llm.mixing import SQL as MIXING_SQL
 from strata.llm.mixing import mixture
 from strata.llm.near_dedup import near_components
@@ -41,6 +42,12 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir))
 
 
+@register()
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and word-frequency scores of all documents, learned outside fold 2 of 7."""
+    return score_documents(documents(spark, sf_dir))
+
+
 @register()
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
