@@ -17,6 +17,7 @@ from strata.llm.near_dedup import near_components
 from strata.llm.packing import pack_documents
 from strata.llm.quality import score_quality
 from strata.llm.ship import documents
+from strata.llm.substring_dedup import drop_repeats
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.llm.tokens import tokenizer_path
 from strata.llm.toxicity import score_toxicity
@@ -79,6 +80,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@register()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the sentences that repeat earlier passages."""
+    return drop_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @register()
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how near these and the next document are."""
