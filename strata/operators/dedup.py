@@ -26,17 +26,12 @@ def dedup_latest(
     if null_keys not in ("keep", "drop"):
         raise ValueError("null_keys is 'keep' or 'drop'")
     any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    parts: list[Column] = [F.col(k) for k in keys]
-    if null_keys == "drop":
-        df_in = df.filter(~any_null)
-    else:
-        # a distinct number per null-key row: its own group, spread over all tasks
-        df_in = df.withColumn("__lone", F.when(any_null, F.monotonically_increasing_id()))
-        parts.append(F.col("__lone"))
     if tie_break is None:
         hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
         ties = [F.xxhash64(*hashable).desc()]
     else:
         ties = [F.col(c).desc() for c in tie_break]
-    w = Window.partitionBy(*parts).orderBy(*[F.col(c).desc() for c in order], *ties)
-    return df_in.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "__lone")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order], *ties)
+    newest = df.filter(~any_null).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    # rows with a null key need no window and no shuffle
+    return newest if null_keys == "drop" else newest.unionByName(df.filter(any_null))

@@ -7,55 +7,42 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+
+from strata.session import written
 
 
 def exact_quantile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    p: float,
-    name: str,
-    bucket_width: float | None = None,
-    digits: int = 6,
-    weight: str | None = None,
+    df: DataFrame, keys: Sequence[str], value: str, p: float, name: str, weight: str | None = None
 ) -> DataFrame:
     """Linearly interpolated quantile of ``value`` per group (nulls skipped), as one row ``keys + [name]``.
 
-    The built-in exact percentile keeps every distinct value of a group in one task's memory. Here values are
-    counted first (the large shuffle, spread by value and combined before it), then placed into ordered buckets:
-    the bucket totals say which one or two buckets hold the wanted ranks, and only those are looked into. A task
-    sees at most the buckets of a group, or the distinct values of one bucket. Integers are used as they are,
-    other numbers at ``digits`` decimal places. ``bucket_width`` fits a known unit; by default the range is cut
-    into 65,536 buckets. ``weight`` names a column saying how often a row counts.
+    ``weight`` names a column saying how often a row counts. Reads ``df`` once; see :func:`quantile_of_counts`.
     """
-    if isinstance(df.schema[value].dataType, IntegralType):
-        scale, exact = 1, F.col(value).cast("long")
-    else:
-        scale = 10**digits
-        exact = F.floor(F.col(value).cast("double") * scale + 0.5)
-    times = F.lit(1) if weight is None else F.col(weight)
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .select(*keys, exact.alias("__v"), times.cast("long").alias("__n"))
-        .groupBy(*keys, "__v")
-        .agg(F.sum("__n").alias("__n"))
+    return quantile_of_counts(value_counts(df, value, keys, weight), keys, value, p, name)
+
+
+def quantile_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str, p: float, name: str, times: str = "n_rows"
+) -> DataFrame:
+    """The same from counted values (each value at most once per group).
+
+    The built-in exact percentile keeps every distinct value of a group in one task's memory. Here counted values
+    are put in order over all tasks by splitters that Spark samples from them, and written once with the number of
+    their partition: however the values are spread, and whatever share of the rows a group has, no partition is much
+    larger than the others. Partition totals say which one or two partitions of a group hold the wanted ranks, and
+    only those are looked into. Values are compared as they are: integers and decimals exactly, NaN above all others.
+    """
+    parts = [F.col(k) for k in keys]
+    rows = counts.filter(F.col(value).isNotNull() & (F.col(times) > 0)).select(
+        *keys, F.col(value).alias("__v"), F.col(times).cast("long").alias("__n")
     )
-    if bucket_width is None:
-        span = F.greatest(F.lit(1), F.expr("(max(__v) - min(__v)) div 65536 + 1")).cast("long")
-        width: Column = counts.agg(span.alias("width")).scalar()
-    else:
-        width = F.lit(max(1, int(bucket_width * scale)))
-    # floor division, so that negative values keep their order
-    counts = counts.withColumn("__b", F.floor(F.col("__v") / width))
-
-    group = [F.col(k) for k in keys]
-    running = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = written(rows.repartitionByRange(*keys, "__v").withColumn("__b", F.spark_partition_id()), "ordered-values")
+    running = Window.partitionBy(*parts).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = (
-        counts.groupBy(*keys, "__b")
+        placed.groupBy(*keys, "__b")
         .agg(F.sum("__n").alias("__in"))
         .withColumn("__upto", F.sum("__in").over(running))
-        .withColumn("__pos", (F.sum("__in").over(Window.partitionBy(*group)) - 1) * F.lit(float(p)))
+        .withColumn("__pos", (F.sum("__in").over(Window.partitionBy(*parts)) - 1) * F.lit(float(p)))
     )
     hit = (F.col("__upto") - F.col("__in") <= F.ceil("__pos")) & (F.floor("__pos") < F.col("__upto"))
     wanted = totals.filter(hit).select(
@@ -67,9 +54,9 @@ def exact_quantile(
     same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     on = reduce(Column.__and__, [*same, F.col("__b") == F.col("__wb")])
     within = (
-        Window.partitionBy(*group, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*parts, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = counts.join(wanted, on).withColumn("__end", F.col("__before") + F.sum("__n").over(within))
+    ranked = placed.join(wanted, on).withColumn("__end", F.col("__before") + F.sum("__n").over(within))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("__end") - F.col("__n") <= rank) & (rank < F.col("__end")), F.col("__v")))
@@ -77,23 +64,24 @@ def exact_quantile(
     found = ranked.groupBy(*keys).agg(
         at(F.floor("__pos")).alias("__lo"), at(F.ceil("__pos")).alias("__hi"), F.first("__pos").alias("__pos")
     )
-    part = F.col("__pos") - F.floor("__pos")
-    result = (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * part) / F.lit(float(scale))
-    return found.select(*keys, result.alias(name))
+    low, high, part = F.col("__lo").cast("double"), F.col("__hi").cast("double"), F.col("__pos") - F.floor("__pos")
+    between = low + (high - low) * part
+    return found.select(*keys, F.when(F.col("__lo") == F.col("__hi"), low).otherwise(between).alias(name))
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, **kw) -> DataFrame:
-    return exact_quantile(df, keys, value, 0.5, name, **kw)
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: str | None = None) -> DataFrame:
+    return exact_quantile(df, keys, value, 0.5, name, weight)
 
 
-def quantile_trim(df: DataFrame, col: str, p: float, **kw) -> DataFrame:
+def quantile_trim(df: DataFrame, col: str, p: float, weight: str | None = None) -> DataFrame:
     """Rows whose ``col`` is not null and not above its ``p`` quantile."""
-    return df.filter(F.col(col) <= exact_quantile(df, [], col, p, "bound", **kw).scalar())
+    return df.filter(F.col(col) <= exact_quantile(df, [], col, p, "bound", weight).scalar())
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """Distinct non-null values and how often they occur, as ``[col, "n_rows"]``."""
-    return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
+def value_counts(df: DataFrame, col: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Distinct non-null values (per ``keys``) and how often they occur, as ``[*keys, col, "n_rows"]``."""
+    times = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(times.alias("n_rows"))
 
 
 def histogram(df: DataFrame, col: str, bins: int, weight: str | None = None) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import date_key, month_of_key, ratio
-from strata.operators.quantiles import exact_median
+from strata.operators.quantiles import quantile_of_counts, value_counts
 from strata.operators.spine import densify
+from strata.session import written
 
 
 def current_repos(dim_repositories: DataFrame) -> DataFrame:
@@ -22,10 +23,9 @@ def _when(kind: str, value: Column) -> Column:
     return F.when(F.col("kind") == kind, value)
 
 
-def _medians(df: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
-    """Median hours per key and kind, one column per kind."""
-    # whole-hour buckets: at most 3,600 different whole-second durations fall into one
-    long = exact_median(df, [*keys, "kind"], "hours", "median_hours", bucket_width=1.0)
+def _medians(counts: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    """Median hours per key and kind, one column per kind, from how often each number of hours occurs."""
+    long = quantile_of_counts(counts, [*keys, "kind"], "hours", 0.5, "median_hours")
     return long.groupBy(*keys).agg(*[F.max(_when(k, F.col("median_hours"))).alias(n) for k, n in names.items()])
 
 
@@ -51,7 +51,9 @@ def kpi_repo_health(fact_issues: DataFrame, fact_prs: DataFrame, dim_repositorie
         F.count(_when("pr", F.col("author_user_id"))).alias("pr_authors"),
     )
     medians = _medians(
-        work, ["repo_id"], {"issue": "median_time_to_close_hours", "pr": "median_time_to_merge_hours"}
+        value_counts(work, "hours", ["repo_id", "kind"]),
+        ["repo_id"],
+        {"issue": "median_time_to_close_hours", "pr": "median_time_to_merge_hours"},
     )
 
     def zero(c: str) -> Column:
@@ -120,10 +122,11 @@ def kpi_time_series(
         .select("repo_id", month_of_key("day_key").alias("month_year"), "kind", "hours")
     )
     keys = ["repo_id", "month_year"]
-    counts = dated.groupBy(*keys).agg(*[F.count_if(F.col("kind") == k).alias(k) for k in COUNTERS])
-    finished = dated.filter(F.col("kind").isin("issues_closed", "prs_merged"))
+    # one pass over the facts: counters are sums over these counts, and the medians look into them
+    seen = written(dated.groupBy(*keys, "kind", "hours").agg(F.count(F.lit(1)).alias("n_rows")), "milestones")
+    counts = seen.groupBy(*keys).agg(*[F.sum(_when(k, F.col("n_rows"))).alias(k) for k in COUNTERS])
     medians = _medians(
-        finished,
+        seen.filter(F.col("kind").isin("issues_closed", "prs_merged")),
         keys,
         {"issues_closed": "median_time_to_close_hours", "prs_merged": "median_time_to_merge_hours"},
     )

@@ -110,7 +110,7 @@ def issues_by_repo(series: DataFrame) -> DataFrame:
 def pr_summary(prs: DataFrame, repo: str | None = None) -> DataFrame:
     chosen = for_repo(prs, repo)
     merged = chosen.filter(F.col("merged_date_key").isNotNull())
-    median = exact_quantile(merged, [], "time_to_merge_hours", 0.5, "m", bucket_width=1.0).scalar()
+    median = exact_quantile(merged, [], "time_to_merge_hours", 0.5, "m").scalar()
     return chosen.agg(
         F.count(F.lit(1)).alias("total_prs"),
         F.count("merged_date_key").alias("merged_prs"),
@@ -126,7 +126,7 @@ def size_distribution(prs: DataFrame, repo: str | None = None) -> DataFrame:
 def lines_vs_merge_time(prs: DataFrame, repo: str | None = None, p: float = 0.99) -> DataFrame:
     """Merged pull requests up to the ``p`` quantile of merge time."""
     merged = for_repo(prs, repo).filter(F.col("merged_date_key").isNotNull())
-    return quantile_trim(merged, "time_to_merge_hours", p, bucket_width=1.0).select(
+    return quantile_trim(merged, "time_to_merge_hours", p).select(
         "pr_id", "total_lines_changed", "time_to_merge_hours", "pr_size_bucket", "changed_files", "commits_count"
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -66,14 +67,13 @@ def test_rules_fail_on_false_and_on_null(spark):
 # -- quantiles ------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("width", [None, 0.5, 7.0])
-def test_exact_quantile_equals_numpy(spark, width):
+def test_exact_quantile_equals_numpy(spark):
     rng = np.random.default_rng(3)
     groups = {"hot": rng.normal(0, 50, 3000), "one": [4.25], "two": [-3.5, 10.0], "same": [2.0] * 50, None: [1.0, 5.0, 9.0]}
     data = [(g, round(float(v), 3)) for g, vs in groups.items() for v in vs] + [("hot", None), ("empty", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
     for p in (0.0, 0.5, 0.99, 1.0):
-        got = {r.g: r.q for r in quantiles.exact_quantile(df, ["g"], "v", p, "q", bucket_width=width).collect()}
+        got = {r.g: r.q for r in quantiles.exact_quantile(df, ["g"], "v", p, "q").collect()}
         want = {g: np.quantile([v for k, v in data if k == g and v is not None], p) for g in groups}
         assert set(got) == set(want)
         assert all(got[g] == pytest.approx(want[g], abs=1e-6) for g in want)
@@ -85,6 +85,37 @@ def test_exact_quantile_of_integers_without_groups(spark):
     assert got == pytest.approx(np.quantile(np.arange(1, 1001, dtype="int64") ** 2, 0.95))
 
 
+@pytest.mark.parametrize(
+    "values, kind",
+    [
+        ([1e-8, 2e-8, 3e-8], "double"),
+        ([1e15, 2e15, 3e15, 7e18], "double"),
+        ([1.0, 2.0, 3.0, float("nan"), float("nan")], "double"),
+        ([-5, 9_007_199_254_740_993, 9_007_199_254_740_995], "long"),
+        ([Decimal("0.0000000001"), Decimal("12345678901234567.5"), Decimal("12345678901234567.75")], "decimal(28, 10)"),
+    ],
+)
+def test_exact_quantile_over_every_range(spark, values, kind):
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    for p in (0.0, 0.5, 1.0):
+        got = quantiles.exact_quantile(df, [], "v", p, "q").first().q
+        at = sorted(map(float, values), key=lambda v: (np.isnan(v), v))
+        pos = p * (len(at) - 1)
+        low, high = at[int(np.floor(pos))], at[int(np.ceil(pos))]
+        assert got == pytest.approx(low + (high - low) * (pos % 1), rel=1e-15, nan_ok=True)
+
+
+def test_one_outlier_does_not_gather_a_group_in_one_partition(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 7, F.lit(1e18)).otherwise(F.col("id") / 3).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = quantiles.value_counts(df, "v").repartitionByRange(8, "v").withColumn("b", F.spark_partition_id())
+        assert counts.groupBy("b").count().agg(F.max("count")).first()[0] < 20_000 / 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert quantiles.exact_median(df, [], "v", "q").first().q == pytest.approx(np.median([1e18 if i == 7 else i / 3 for i in range(20_000)]))
+
+
 def test_trim_and_histogram(spark):
     df = spark.range(0, 101).select(F.col("id").alias("x"))
     kept = quantiles.quantile_trim(df, "x", 0.9)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions import scalars
 from strata.operators import checks, quality, scd2
 from strata.operators.dedup import dedup_latest as keep_latest
-from strata.operators.quantiles import exact_median, exact_quantile
+from strata.operators.quantiles import exact_median, exact_quantile, quantile_of_counts, value_counts
 from strata.operators.spine import densify
 from strata.plans import gold, kpis, rules, silver, staging, validated
 from strata.session import scratch_dir, written
@@ -641,15 +641,53 @@ select l_returnflag, l_linestatus, round(median(l_extendedprice), 4) as median_p
 def group_median(t: Tables) -> DataFrame:
     """Few, very large groups: the case the built-in exact median cannot split."""
     keys = ["l_returnflag", "l_linestatus"]
-    return exact_median(t.lineitem, keys, "l_extendedprice", "median_price", digits=2).withColumn(
-        "median_price", F.round("median_price", 4)
-    )
+    median = exact_median(t.lineitem, keys, "l_extendedprice", "median_price")
+    return median.withColumn("median_price", F.round("median_price", 4))
 
 
 @query("""
 select event_type, round(quantile_cont(value, 0.99), 6) as p99 from events group by 1""")
 def group_quantile(t: Tables) -> DataFrame:
-    return rounded(exact_quantile(t.events, ["event_type"], "value", 0.99, "p99", digits=2), "p99")
+    return rounded(exact_quantile(t.events, ["event_type"], "value", 0.99, "p99"), "p99")
+
+
+EXTREMES = {
+    "tiny": "o_totalprice * 1e-12",
+    "huge": "o_totalprice * 1e12",
+    "negative": "-o_totalprice",
+    "outlier": "case when o_orderkey = (select min(o_orderkey) from orders) then 1e15 else o_totalprice end",
+    "nan": "case when o_orderkey % 3 = 0 then cast('nan' as double) else o_totalprice end",
+    "decimal": "cast(cast(o_totalprice as decimal(28, 10)) / 1000 as decimal(28, 10))",
+}
+
+
+@query(
+    " union all ".join(
+        f"""select '{kind}' as kind, o_orderstatus, quantile_cont(cast({value} as double), 0.5) as median,
+        quantile_cont(cast({value} as double), 0.9) as p90 from orders group by all"""
+        for kind, value in EXTREMES.items()
+    )
+)
+def quantile_extremes(t: Tables) -> DataFrame:
+    """Values of every size and sign, one outlier, NaN above all others, and decimals."""
+    least = t.orders.agg(F.min("o_orderkey")).scalar()
+    price, key = F.col("o_totalprice"), F.col("o_orderkey")
+    values = {
+        "tiny": price * 1e-12,
+        "huge": price * 1e12,
+        "negative": -price,
+        "outlier": F.when(key == least, F.lit(1e15)).otherwise(price),
+        "nan": F.when(key % 3 == 0, F.lit(float("nan"))).otherwise(price),
+        "decimal": (price.cast("decimal(28, 10)") / 1000).cast("decimal(28, 10)"),
+    }
+    out = None
+    for kind, value in values.items():
+        counts = value_counts(t.orders.select("o_orderstatus", value.alias("v")), "v", ["o_orderstatus"])
+        median = quantile_of_counts(counts, ["o_orderstatus"], "v", 0.5, "median")
+        high = quantile_of_counts(counts, ["o_orderstatus"], "v", 0.9, "p90")
+        rows = median.join(high, "o_orderstatus").select(F.lit(kind).alias("kind"), "o_orderstatus", "median", "p90")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("""
