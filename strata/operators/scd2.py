@@ -24,13 +24,15 @@ def scd2_apply(
     check_cols: Sequence[str] = (),
     as_of: Column | None = None,
     hard_deletes: str = "ignore",
+    refresh: Sequence[str] = (),
 ) -> DataFrame:
     """History after one batch. ``source`` holds at most one row per key; null keys are left out.
 
     ``timestamp`` opens a version when ``updated_at`` is newer than the open one and dates it by ``updated_at``;
     ``check`` opens one when any of ``check_cols`` differs (null-safe) and dates it ``as_of``. Keys missing from
     the batch stay open unless ``hard_deletes="close"``. Closed rows pass through; only open rows meet the batch,
-    in a single full outer join.
+    in a single full outer join. ``refresh`` names columns that an open version takes from the batch without a new
+    version, when the batch holds the same ``valid_from`` (measures that arrive later than their record).
     """
     if strategy == "timestamp":
         if updated_at is None:
@@ -64,7 +66,11 @@ def scd2_apply(
     until = F.when(changed, F.col("n.valid_from"))
     if hard_deletes == "close":
         until = until.when(~has_new, as_of)
-    kept = F.when(has_old, F.col("o").withField("valid_to", until.cast(target.schema["valid_to"].dataType)))
+    kept = F.col("o").withField("valid_to", until.cast(target.schema["valid_to"].dataType))
+    same = has_new & F.col("n.valid_from").eqNullSafe(F.col("o.valid_from"))
+    for c in refresh:
+        kept = kept.withField(c, F.when(same, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")))
+    kept = F.when(has_old, kept)
     added = F.when(has_new & (~has_old | changed), F.col("n"))
     rows = paired.select(F.explode(F.array_compact(F.array(kept, added))).alias("v")).select("v.*")
     return target.filter(F.col("valid_to").isNotNull()).unionByName(rows.select(*columns))

@@ -20,17 +20,21 @@ from strata.plans.staging import INGEST
 from strata.sources import bronze, files, tables
 from strata.sources.tables import hash_bucket, read_table
 
+LOADS = "loads"  # ingestion dates and the moments they were loaded at
 KPIS = ("kpi_repo_health", "kpi_time_series", "kpi_user_contributions", "kpi_pr_complexity")
 
 
 @dataclass(frozen=True)
 class Options:
     """``buckets``: partitions of the keyed tables. ``id_width``: bucket by id range of this width instead, so that
-    a day's changes, mostly to recent ids, touch few partitions. ``per_repo_lookback``: let a newly followed
-    repository's old records into the facts. ``legacy_calendar``: start the calendar at the first issue."""
+    a day's changes, mostly to recent ids, touch few partitions. ``legacy_lookback``: facts take what was updated
+    within ``lookback_days`` of their newest row (with ``per_repo_lookback`` counted per repository) instead of what
+    arrived since; a backfill of old records then stays out. ``legacy_calendar``: start the calendar at the first
+    issue."""
 
     buckets: int = 16
     id_width: int | None = None
+    legacy_lookback: bool = False
     per_repo_lookback: bool = False
     legacy_calendar: bool = False
     lookback_days: int = 3
@@ -52,6 +56,20 @@ class Warehouse:
         at = self.path(f"bronze/{resource}")
         return bronze.read_bronze(self.spark, at) if files.path_exists(self.spark, at) else None
 
+    def fresh(self, lines: DataFrame, target: str) -> DataFrame:
+        """Bronze lines that arrived after all that ``target`` holds.
+
+        The load log says in which ingestion dates they are, so both filters are literals: other partitions are not
+        listed for the scan and their files not opened. A date that was loaded again counts by its newest load.
+        """
+        done = self.read(target)
+        newest = None if done is None else done.agg(F.max(INGEST)).first()[0]
+        if newest is None:
+            return lines
+        log = self.read(LOADS).filter(F.col(INGEST) > F.lit(newest))
+        dates = [r[0] for r in log.select("ingestion_date").distinct().collect()]  # dates since the last run
+        return lines.filter(F.col("_ingestion_date").isin(dates) & (F.col(INGEST) > F.lit(newest)))
+
     def newest_date(self, resource: str) -> str | None:
         return files.newest_partition(self.spark, self.path(f"bronze/{resource}"), "_ingestion_date")
 
@@ -81,20 +99,23 @@ def run_day(
 ) -> DataFrame:
     """Process one ingestion date; returns the bronze load summary.
 
-    ``as_of`` (``yyyy-MM-dd HH:mm:ss``, UTC) is the run's one moment in time and must be later than the last
-    run's. ``boundaries`` (repo, boundary) are committed once bronze holds the extracted records.
+    ``as_of`` (``yyyy-MM-dd HH:mm:ss``, UTC) is the run's one moment in time; one that is not later than every
+    earlier run's is refused before anything is written. ``boundaries`` (repo, boundary) are committed once bronze
+    holds the extracted records.
     """
     run_id, as_of = f"{ingestion_date}-{re.sub(r'[^0-9]', '', as_of)}", F.lit(as_of).cast("timestamp")
+    log_load(warehouse, ingestion_date, as_of)
     loaded = bronze.load_all(spark, raw_root, warehouse.path("bronze"), ingestion_date, as_of)
     if boundaries is not None:
         commit_watermarks(warehouse, boundaries)
     repos = refresh_repositories(warehouse, as_of, run_id)
     refresh_issues(warehouse, repos, ingestion_date)
     refresh_pull_requests(warehouse, repos, ingestion_date)
-    refresh_releases(warehouse, repos)
+    refresh_releases(warehouse, repos, ingestion_date)
     refresh_languages(warehouse, repos)
     snapshot(warehouse, "validated/issues", "history/issues", "issue_id", run_id)
-    snapshot(warehouse, "validated/pull_requests", "history/pull_requests", "pull_request_id", run_id)
+    late = [*staging.DETAIL_MEASURES, INGEST]  # details that come after their pull request open no version
+    snapshot(warehouse, "validated/pull_requests", "history/pull_requests", "pull_request_id", run_id, late)
     refresh_gold(warehouse, as_of)
     refresh_kpis(warehouse, as_of)
     if export_path:
@@ -102,6 +123,16 @@ def run_day(
     return loaded
 
 
+def log_load(w: Warehouse, ingestion_date: str, as_of: Column) -> None:
+    """Note the load before it begins, so that a run that stops half-way is still looked for by the next one."""
+    row = w.spark.range(1).select(F.lit(ingestion_date).alias("ingestion_date"), as_of.alias(INGEST))
+    log = w.read(LOADS)
+    late = log is not None and log.agg(F.max(INGEST)).join(row).filter(F.col(f"max({INGEST})") >= F.col(INGEST)).count()
+    if late:
+        raise ValueError("as_of must be later than that of every earlier run")
+    row.write.mode("append").parquet(w.path(LOADS))
+
+
 def commit_watermarks(w: Warehouse, boundaries: DataFrame) -> None:
     """Extraction boundaries of a finished load; the next extraction starts from them."""
     tables.upsert_table(w.spark, w.path("watermarks"), boundaries.select("repo", "boundary"), ["repo"], F.lit(0))
@@ -133,7 +164,7 @@ def refresh_issues(w: Warehouse, repos: DataFrame, ingestion_date: str) -> None:
     lines = w.bronze("issues")
     if lines is None:
         return
-    fresh = staging.type_issues(hwm_filter(lines, w.read("validated/issues"), INGEST))
+    fresh = staging.type_issues(w.fresh(lines, "validated/issues"))
     newest = dedup_latest(fresh, ["issue_id"], ["updated_at", INGEST], null_keys="drop")
     w.upsert("validated/issues", validated.validate_issues(newest, repos), "issue_id", ["updated_at", INGEST])
     today = staging.type_issues(of_date(lines, ingestion_date))
@@ -146,12 +177,14 @@ def refresh_pull_requests(w: Warehouse, repos: DataFrame, ingestion_date: str) -
     lines, detail_lines, key = w.bronze("pull_requests"), w.bronze("pr_details"), ["pull_request_id"]
     if lines is None:
         return
-    fresh = staging.type_pull_requests(hwm_filter(lines, w.read("staged/pull_requests"), INGEST))
+    fresh = staging.type_pull_requests(w.fresh(lines, "staged/pull_requests"))
     heads = dedup_latest(fresh, key, ["updated_at", INGEST], null_keys="drop")
     w.upsert("staged/pull_requests", heads, key[0], ["updated_at", INGEST])
     if detail_lines is not None:
-        fresh = hwm_filter(detail_lines, w.read("staged/pr_details"), INGEST)
+        fresh = w.fresh(detail_lines, "staged/pr_details")
         w.upsert("staged/pr_details", staging.stage_pr_details(fresh), key[0], [INGEST])
+        broken = staging.type_pr_details(of_date(detail_lines, ingestion_date))
+        keep_unkeyed(w, "pr_details", broken, key[0], ingestion_date)
 
     heads, details, done = w.read("staged/pull_requests"), w.read("staged/pr_details"), w.read("validated/pull_requests")
     if details is None:
@@ -165,11 +198,15 @@ def refresh_pull_requests(w: Warehouse, repos: DataFrame, ingestion_date: str) -
     keep_unkeyed(w, "pull_requests", validated.validate_pull_requests(today, repos), key[0], ingestion_date)
 
 
-def refresh_releases(w: Warehouse, repos: DataFrame) -> None:
+def refresh_releases(w: Warehouse, repos: DataFrame, ingestion_date: str) -> None:
     lines = w.bronze("releases")
     if lines is not None:
         judged = validated.validate_releases(staging.stage_releases(lines, w.newest_date("releases")), repos)
         w.upsert("silver/releases", judged.select(*silver.RELEASE_COLUMNS), "release_id")
+        today = validated.validate_releases(staging.type_releases(of_date(lines, ingestion_date)), repos)
+        # the folder's name brings its date back when it is read
+        today = today.select(*[c for c in silver.RELEASE_COLUMNS if c != "_ingestion_date"])
+        keep_unkeyed(w, "releases", today, "release_id", ingestion_date)
 
 
 def refresh_languages(w: Warehouse, repos: DataFrame) -> None:
@@ -180,12 +217,12 @@ def refresh_languages(w: Warehouse, repos: DataFrame) -> None:
         w.overwrite("silver/languages", judged.select(*silver.LANGUAGE_COLUMNS))
 
 
-def snapshot(w: Warehouse, source: str, target: str, key: str, run_id: str) -> None:
+def snapshot(w: Warehouse, source: str, target: str, key: str, run_id: str, refresh: list[str] | None = None) -> None:
     """Type-2 history of the clean rows that changed since the last snapshot."""
     rows = w.read(source)
     if rows is not None:
         changed = hwm_filter(clean(rows), w.read_open(target), INGEST)
-        tables.snapshot_by_timestamp(w.spark, w.path(target), changed, [key], "updated_at", w.bucket(key), run_id)
+        tables.snapshot_by_timestamp(w.spark, w.path(target), changed, [key], "updated_at", w.bucket(key), run_id, refresh or [])
 
 
 def silver_views(w: Warehouse) -> dict[str, DataFrame]:
@@ -195,6 +232,12 @@ def silver_views(w: Warehouse) -> dict[str, DataFrame]:
         rows, lone = w.read(f"validated/{name}"), tables.read_or_none(w.spark, w.path(f"unkeyed/{name}"))
         return rows if lone is None else rows.unionByName(lone.drop("_ingestion_date"))
 
+    def releases() -> DataFrame | None:
+        rows, lone = w.read("silver/releases"), tables.read_or_none(w.spark, w.path("unkeyed/releases"))
+        if rows is None or lone is None:
+            return rows
+        return rows.unionByName(lone.withColumn("_ingestion_date", F.col("_ingestion_date").cast("string")))
+
     return {
         "repositories_current": silver.repositories_current(
             w.read_open("history/repositories"), w.read("validated/repositories")
@@ -203,7 +246,7 @@ def silver_views(w: Warehouse) -> dict[str, DataFrame]:
         "pull_requests_current": silver.pull_requests_current(
             w.read_open("history/pull_requests"), judged("pull_requests")
         ),
-        "releases": w.read("silver/releases"),
+        "releases": releases(),
         "languages": w.read("silver/languages"),
     }
 
@@ -219,7 +262,9 @@ def refresh_gold(w: Warehouse, as_of: Column) -> None:
     scope = "repo_id" if opts.per_repo_lookback else None
 
     def recent(fact: DataFrame, name: str) -> DataFrame:
-        return lookback_filter(fact, w.read(name), "updated_at", opts.lookback_days, scope)
+        if opts.legacy_lookback:
+            return lookback_filter(fact, w.read(name), "updated_at", opts.lookback_days, scope)
+        return hwm_filter(fact, w.read(name), INGEST)
 
     issues = gold.fact_issues(w.read_open("history/issues"), repos, as_of)
     w.upsert("gold/fact_issues", recent(issues, "gold/fact_issues"), "issue_id")

@@ -129,10 +129,13 @@ def stage_pull_request_heads(bronze: DataFrame) -> DataFrame:
     return dedup_latest(type_pull_requests(bronze), ["pull_request_id"], ["updated_at", INGEST])
 
 
-def stage_pr_details(bronze: DataFrame) -> DataFrame:
+def type_pr_details(bronze: DataFrame) -> DataFrame:
     keep = [F.col("_ingestion_timestamp").alias("ingestion_timestamp"), INGEST, RUN]
-    typed = flatten_json(bronze, "data", schemas.PR_DETAIL, PR_DETAIL_FIELDS, keep)
-    return dedup_latest(typed, ["pull_request_id"], [INGEST])
+    return flatten_json(bronze, "data", schemas.PR_DETAIL, PR_DETAIL_FIELDS, keep)
+
+
+def stage_pr_details(bronze: DataFrame) -> DataFrame:
+    return dedup_latest(type_pr_details(bronze), ["pull_request_id"], [INGEST])
 
 
 def enrich_pull_requests(heads: DataFrame, details: DataFrame) -> DataFrame:
@@ -150,12 +153,14 @@ def stage_pull_requests(pr_bronze: DataFrame, detail_bronze: DataFrame) -> DataF
     return enrich_pull_requests(stage_pull_request_heads(pr_bronze), stage_pr_details(detail_bronze))
 
 
-def stage_releases(bronze: DataFrame, newest_date: str | None = None) -> DataFrame:
+def type_releases(bronze: DataFrame) -> DataFrame:
     fields = {**RELEASE_FIELDS, **_ts("created_at", "published_at")}
-    keep = [INGEST, RUN, "_ingestion_date", "_repo_full_name"]
+    return flatten_json(bronze, "data", schemas.RELEASE, fields, [INGEST, RUN, "_ingestion_date", "_repo_full_name"])
+
+
+def stage_releases(bronze: DataFrame, newest_date: str | None = None) -> DataFrame:
     newest = latest_partition(bronze, "_ingestion_date", newest_date)
-    typed = flatten_json(newest, "data", schemas.RELEASE, fields, keep)
-    return dedup_latest(typed, ["release_id"], [INGEST])
+    return dedup_latest(type_releases(newest), ["release_id"], [INGEST])
 
 
 def stage_languages(bronze: DataFrame, newest_date: str | None = None) -> DataFrame:

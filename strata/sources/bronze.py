@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import BRONZE, LINEAGE, RESOURCES
-from strata.sources.files import path_exists
+from strata.sources.files import folder_bytes, path_exists
 
-SUMMARY = "resource string, location string, n_rows bigint, status string"
+SUMMARY = "resource string, location string, n_rows bigint, n_bytes bigint, status string"
+COLUMNS = (
+    "_bronze_ingest_ts _source_file _raw_s3_uri _source_endpoint _ingestion_timestamp _extraction_run_id "
+    "_payload_checksum _repo_full_name data _ingestion_date"
+).split()
 
 
 def scan_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -19,25 +23,27 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_bronze(raw: DataFrame, ingest_ts: Column, ingestion_date: str | None = None) -> DataFrame:
-    """Bronze columns of landed lines. The lineage object is parsed once; the payload stays JSON text.
+    """Bronze columns of landed lines. Each line is parsed once; the payload stays JSON text.
 
-    A line that does not parse keeps its place: null columns, and the load's ``ingestion_date`` if given, so
-    that it lands in the partition being loaded and later fails its quality rules.
+    ``ingestion_date`` is the date being loaded: every line goes into its partition, whatever date its lineage names,
+    so that a stray line can't replace another date. Without it the partition is the lineage's date. A line that does
+    not parse keeps its place with null columns and later fails its quality rules.
     """
-    lineage = F.from_json("value", f"lineage struct<{LINEAGE}>").getField("lineage")
-    day = F.col("l.ingestion_date")
-    return raw.select(F.get_json_object("value", "$.data").alias("data"), lineage.alias("l")).select(
-        ingest_ts.alias("_bronze_ingest_ts"),
-        F.col("l.source_s3_uri").alias("_source_file"),
-        F.col("l.source_s3_uri").alias("_raw_s3_uri"),
-        F.col("l.source_endpoint").alias("_source_endpoint"),
-        F.col("l.ingestion_timestamp").try_cast("timestamp").alias("_ingestion_timestamp"),
-        F.col("l.extraction_run_id").alias("_extraction_run_id"),
-        F.col("l.payload_checksum").alias("_payload_checksum"),
-        F.col("l.repo_full_name").alias("_repo_full_name"),
-        "data",
-        (F.coalesce(day, F.lit(ingestion_date)) if ingestion_date else day).alias("_ingestion_date"),
-    )
+    line = F.from_json("value", f"data string, lineage struct<{LINEAGE}>").alias("line")
+    day = F.lit(ingestion_date) if ingestion_date else F.col("line.lineage.ingestion_date")
+    lineage = {
+        "_source_file": "source_s3_uri",
+        "_raw_s3_uri": "source_s3_uri",
+        "_source_endpoint": "source_endpoint",
+        "_extraction_run_id": "extraction_run_id",
+        "_payload_checksum": "payload_checksum",
+        "_repo_full_name": "repo_full_name",
+    }
+    taken = {name: F.col(f"line.lineage.{field}") for name, field in lineage.items()}
+    taken["_bronze_ingest_ts"] = ingest_ts
+    taken["_ingestion_timestamp"] = F.col("line.lineage.ingestion_timestamp").try_cast("timestamp")
+    taken["data"], taken["_ingestion_date"] = F.col("line.data"), day
+    return raw.select(line).select(*[taken[name].alias(name) for name in COLUMNS])
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], gather: bool = False) -> int:
@@ -111,5 +117,6 @@ def load_all(
         rows = load_resource(spark, source, target, ingestion_date, ingest_ts) if path_exists(spark, source) else None
         if rows is not None and database:
             register_external(spark, f"{database}.{resource}", target)
-        summary.append((resource, target, rows or 0, "SKIPPED" if rows is None else "OK"))
+        written = 0 if rows is None else folder_bytes(spark, f"{target}/_ingestion_date={ingestion_date}")
+        summary.append((resource, target, rows or 0, written, "SKIPPED" if rows is None else "OK"))
     return spark.createDataFrame(summary, SUMMARY)

@@ -20,6 +20,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 where there is none."""
+    fs, at = _folder(spark, path)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
 def newest_partition(spark: SparkSession, path: str, col: str) -> str | None:
     """Largest value of a partition column by the folder names alone."""
     fs, at = _folder(spark, path)

@@ -110,11 +110,18 @@ def snapshot_table(
 
 
 def snapshot_by_timestamp(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], updated_at: str, bucket: Column, run_id: str
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    updated_at: str,
+    bucket: Column,
+    run_id: str,
+    refresh: Sequence[str] = (),
 ) -> int:
     return snapshot_table(
         spark, path, source, keys, bucket, run_id,
-        lambda target, batch: scd2_apply(target, batch, keys, "timestamp", updated_at=updated_at),
+        lambda target, batch: scd2_apply(target, batch, keys, "timestamp", updated_at=updated_at, refresh=refresh),
     )
 
 

@@ -18,7 +18,11 @@ from strata.sources.tables import upsert_table
 
 
 def follow_raw(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str) -> StreamingQuery:
-    """Landed lines into a bronze table, each line once."""
+    """Landed lines into a bronze table, each line once.
+
+    A stream has no date of its own to load: lines go by their lineage's date, unparsable ones into the null partition.
+    Its folder belongs to the stream, whose log tells readers which files count; don't replace partitions in it.
+    """
     lines = spark.readStream.option("recursiveFileLookup", True).text(raw_path)
     return (
         parse_bronze(lines, F.current_timestamp())

@@ -81,10 +81,11 @@ def day_one():
             # merged but open
             ("octo/beta", pull(202, 2, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", merged="2024-01-02T00:00:00Z")),
         ],
-        "pr_details": [("octo/alpha", detail(200, 90, 20))],
+        "pr_details": [("octo/alpha", detail(200, 90, 20)), ("octo/alpha", "not a detail")],
         "releases": [
             ("octo/alpha", release(300, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")),
             ("octo/alpha", release(301, "2024-01-01T00:00:00Z", "2023-01-02T00:00:00Z")),
+            ("octo/alpha", "{ no release"),
         ],
         "languages": [("octo/alpha", {"Python": 5, "C++": 0}), ("octo/beta", {}), ("who/knows", {"Go": 1})],
     }

@@ -26,11 +26,17 @@ def stable(w, name, *drop):
 def warehouse(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("daily"))
     raw, w = f"{root}/raw", Warehouse(spark, f"{root}/wh", Options(buckets=3))
-    seen = {}
+    seen, after_two = {}, {}
     for day, content in zip(landing.DAYS, (landing.day_one(), landing.day_two(), landing.day_three())):
         landing.land(raw, day, content)
         marks = spark.createDataFrame([("octo/alpha", f"{day}T00:00:00Z")], "repo string, boundary string")
         seen[day] = run(spark, raw, w, day, boundaries=marks, export_path=f"{root}/export").collect()
+        if day == landing.DAYS[1]:
+            facts = w.read("gold/fact_pull_requests").select("pr_id", "additions")
+            sizes = w.read("gold/kpi_pr_complexity").select("pr_id", "pr_size_bucket")
+            versions = w.read("history/pull_requests").groupBy("pull_request_id").count()
+            after_two = {n: dict(rows(df, *df.columns)) for n, df in (("facts", facts), ("sizes", sizes), ("versions", versions))}
+    seen["after day two"] = after_two
     return w, seen, root
 
 
@@ -94,7 +100,11 @@ def test_repository_history_follows_business_columns_only(warehouse):
 
 
 def test_late_details_reach_an_unchanged_pull_request(warehouse):
-    w, *_ = warehouse
+    w, seen, _ = warehouse
+    # on day two only the details came
+    assert seen["after day two"] == {
+        "facts": {200: 90, 201: 700}, "sizes": {200: "Medium", 201: "Large"}, "versions": {200: 1, 201: 1},
+    }
     got = {r[0]: r[1] for r in rows(w.read("gold/fact_pull_requests"), "pr_id", "additions")}
     assert got == {200: 90, 201: 700}
     sizes = dict(rows(w.read("gold/kpi_pr_complexity"), "pr_id", "pr_size_bucket"))
@@ -115,17 +125,45 @@ def test_users_take_their_newest_login(warehouse):
     assert dict(rows(w.read("gold/dim_users"), "user_id", "user_login"))[7] == "ada2"
 
 
-def test_backfill_waits_for_the_per_repository_lookback(warehouse):
+def test_backfilled_issues_of_a_followed_repository_reach_the_facts(warehouse):
+    w, *_ = warehouse
+    assert w.read("gold/fact_issues").filter("issue_id = 109").count() == 1
+
+
+def test_legacy_lookback_leaves_a_backfill_out_unless_counted_per_repository(warehouse):
     w, *_ = warehouse
-    # the default lookback counts from the newest update of all repositories
-    stored = w.read("gold/fact_issues")
-    assert stored.filter("issue_id = 109").count() == 0
+    stored = w.read("gold/fact_issues").filter("issue_id <> 109")
     fact = gold.fact_issues(w.read_open("history/issues"), w.read("gold/dim_repositories_current"), F.lit(None))
     assert lookback_filter(fact, stored, "updated_at", 3).filter("issue_id = 109").count() == 0
     per_repo = lookback_filter(fact, stored.filter("repo_id <> 3"), "updated_at", 3, scope="repo_id")
     assert per_repo.filter("issue_id = 109").count() == 1
 
 
+def test_broken_release_and_detail_lines_are_kept(warehouse):
+    w, *_ = warehouse
+    lone = daily.silver_views(w)["releases"].filter("release_id is null")
+    assert rows(lone, "is_quarantined", "_ingestion_date") == [(True, "2024-03-01")]
+    assert daily.tables.read_or_none(w.spark, w.path("unkeyed/pr_details")).count() == 1
+
+
+def test_an_early_moment_is_refused_before_anything_is_written(spark, warehouse):
+    w, _, root = warehouse
+    before = w.bronze("issues").count()
+    with pytest.raises(ValueError, match="later"):
+        run(spark, f"{root}/raw", w, landing.DAYS[0])
+    assert w.bronze("issues").count() == before
+
+
+def test_increments_read_only_the_dates_loaded_since(warehouse):
+    w, *_ = warehouse
+    assert w.fresh(w.bronze("issues"), "validated/issues").count() == 0
+    # as seen from a table that took its last rows on day one
+    lines = w.fresh(w.bronze("issues"), "silver/releases")
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_ingestion_date" in plan
+    assert rows(lines.select("_ingestion_date").distinct(), "_ingestion_date") == [(d,) for d in landing.DAYS[1:]]
+
+
 def test_watermarks_and_export(spark, warehouse):
     w, _, root = warehouse
     assert rows(w.read("watermarks"), "repo", "boundary") == [("octo/alpha", "2024-03-03T00:00:00Z")]
