@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import written
+
 META = ("scd_id", "valid_from", "valid_to")
 
 
@@ -76,32 +78,32 @@ def scd2_apply(
     return target.filter(F.col("valid_to").isNotNull()).unionByName(rows.select(*columns))
 
 
+def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` written in the order of ``columns`` over all tasks, with each row's partition number as ``__part``.
+
+    Spark samples the splitters from the rows, so a key that holds most of them, or all rows of one day, is cut
+    into as many parts as it needs.
+    """
+    return written(df.repartitionByRange(*columns).withColumn("__part", F.spark_partition_id()), "ordered-log")
+
+
 def neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    take: Sequence[str],
-    prefix: str,
-    back: bool,
-    slice_unit: str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], prefix: str, back: bool
 ) -> DataFrame:
     """Previous (``back``) or next row's ``take`` values within a key, as ``prefix``-named columns.
 
-    Equal to lag/lead over the whole key, but no task holds a whole key: the key is cut into time slices by its
-    first order column. One window looks within slices. A second one looks across slice borders, where only the
-    first and last row of each slice matter: those of a key form one small group, all other rows stay in groups
-    of their slice. ``{prefix}exists`` tells whether there is such a row.
+    ``df`` comes from :func:`in_order` by keys and order; rows may have been filtered since. Equal to lag/lead over
+    the whole key, but no task holds a whole key: one window looks within a key's part, a second one across parts,
+    where only the first and last row of each part matter. ``{prefix}exists`` tells whether there is such a row.
     """
-    # the cut depends on the data alone, so a repeated task cuts at the same places
-    sliced = df.withColumn("__slice", F.date_trunc(slice_unit, F.col(order[0])))
     direction = [F.col(c).asc() if back else F.col(c).desc() for c in order]
     value = F.struct(*[F.col(c) for c in take])
-    within = Window.partitionBy(*keys, "__slice").orderBy(*direction)
-    near = sliced.withColumn("__near", F.lag(value).over(within)).withColumn(
+    within = Window.partitionBy(*keys, "__part").orderBy(*direction)
+    near = df.withColumn("__near", F.lag(value).over(within)).withColumn(
         "__last", F.lead(F.lit(1)).over(within).isNull()
     )
     border = F.col("__near").isNull() | F.col("__last")
-    grouped = near.withColumn("__group", F.when(~border, F.col("__slice")))
+    grouped = near.withColumn("__group", F.when(~border, F.col("__part")))
     across = Window.partitionBy(*keys, "__group").orderBy(*direction)
     got = grouped.withColumn("__got", F.coalesce("__near", F.lag(value).over(across)))
     return got.select(
@@ -117,19 +119,18 @@ def scd2_from_history(
     ts: str,
     check_cols: Sequence[str] | None = None,
     tie_break: Sequence[str] = (),
-    slice_unit: str = "day",
 ) -> DataFrame:
     """All versions of a change log in one pass: what folding :func:`scd2_apply` over its batches would give.
 
     Without ``check_cols`` every distinct ``ts`` is a version. ``keys`` and ``ts`` must not be null.
     """
     order = [ts, *tie_break]
-    versions = df.dropna(subset=[*keys, ts])
+    versions = in_order(df.dropna(subset=[*keys, ts]), [*keys, *order])
     if check_cols:
-        seen = neighbour(versions, keys, order, check_cols, "__prev_", back=True, slice_unit=slice_unit)
+        seen = neighbour(versions, keys, order, check_cols, "__prev_", back=True)
         differs = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"__prev_{c}")) for c in check_cols])
-        versions = seen.filter(~F.col("__prev_exists") | differs).select(*df.columns)
-    out = neighbour(versions, keys, order, [ts], "__next_", back=False, slice_unit=slice_unit)
+        versions = seen.filter(~F.col("__prev_exists") | differs).select(*versions.columns)
+    out = neighbour(versions, keys, order, [ts], "__next_", back=False)
     out = out.withColumn("valid_from", F.col(ts)).withColumn("valid_to", F.col(f"__next_{ts}"))
     return out.select(*df.columns, "valid_from", "valid_to").withColumn("scd_id", scd_id(keys))
 

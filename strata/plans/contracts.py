@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.operators.checks import check_one_current, check_relationship, check_unique
 
 # table -> columns that are never null
+# fixed values: the data tests a user of the tables relies on
 NOT_NULL = {
     "staged/repositories": ["repository_id"],
     "staged/issues": ["issue_id", "updated_at"],

@@ -17,6 +17,7 @@ from strata.operators.incremental import hwm_filter, lookback_filter
 from strata.operators.quality import clean
 from strata.plans import gold, kpis, silver, staging, validated
 from strata.plans.staging import INGEST
+from strata.session import scratch_scope
 from strata.sources import bronze, files, tables
 from strata.sources.tables import hash_bucket, read_table
 
@@ -105,6 +106,20 @@ def run_day(
     """
     run_id, as_of = f"{ingestion_date}-{re.sub(r'[^0-9]', '', as_of)}", F.lit(as_of).cast("timestamp")
     log_load(warehouse, ingestion_date, as_of)
+    with scratch_scope(spark):
+        return _run(spark, raw_root, warehouse, ingestion_date, as_of, run_id, boundaries, export_path)
+
+
+def _run(
+    spark: SparkSession,
+    raw_root: str,
+    warehouse: Warehouse,
+    ingestion_date: str,
+    as_of: Column,
+    run_id: str,
+    boundaries: DataFrame | None,
+    export_path: str | None,
+) -> DataFrame:
     loaded = bronze.load_all(spark, raw_root, warehouse.path("bronze"), ingestion_date, as_of)
     if boundaries is not None:
         commit_watermarks(warehouse, boundaries)

@@ -22,13 +22,16 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
+# on a cluster shuffles start with many partitions, which AQE joins to the advisory size; 200 would be far too few
+CLUSTER = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000"}
+_made: list[str] = []  # scratch folders that are still there
 
 
 def build_session(app: str = "strata", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, **({} if master else CLUSTER), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -49,11 +52,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _local_scratch_root()
-    return f"{root.rstrip('/')}/strata/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/strata/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Folders of :func:`scratch_dir` and :func:`written` made within the block are deleted when it ends.
+
+    What the block hands on must not read from them any more.
+    """
+    kept = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[kept:]:
+            delete_folder(spark, path)
+        del _made[kept:]
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, lineage cut, safe against lost executors."""
+    """``df`` as a table in the shared folder: computed once, lineage cut, safe against lost executors.
+
+    The table stays until the :func:`scratch_scope` around it ends, or the folder is emptied.
+    """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -50,7 +50,7 @@ def wrap_envelope(
     )
 
 
-def write_raw(df: DataFrame, path: str, max_records: int = 5000) -> None:
+def write_raw(df: DataFrame, path: str, max_records: int = 500_000) -> None:
     """Land enveloped lines under ``ingestion_date=D/repo_slug=R``, at most ``max_records`` per part.
 
     A rerun replaces the folders it writes. The rebalance brings a repository's lines together to avoid small

@@ -12,11 +12,12 @@ from strata.operators.incremental import merge_upsert
 from strata.operators.scd2 import scd2_apply
 from strata.session import staged
 from strata.sources.bronze import replace_partitions
-from strata.sources.files import path_exists
+from strata.sources.files import delete_folder, path_exists
 
 BUCKET = "key_bucket"
 STATE = "closed_in"
 OPEN = "open"
+ARCHIVE = "archive"
 
 
 def hash_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -109,6 +110,27 @@ def snapshot_table(
         return replace_partitions(after, path, [STATE, BUCKET], gather=True)
 
 
+def compact_history(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> int:
+    """Put the closed versions of all runs but ``keep`` into one partition per bucket; returns their number.
+
+    Each run adds folders for the versions it closed, and listing them grows with the runs. Run this while nothing
+    reads the table. If it stops between writing and deleting, run it again: a version counts once, by its id.
+    """
+    table = read_or_none(spark, path)
+    if table is None:
+        return 0
+    runs = [r[0] for r in table.select(STATE).distinct().collect()]  # folder names
+    old = [r for r in runs if r not in (OPEN, ARCHIVE, *keep)]
+    if not old:
+        return 0
+    closed = table.filter(F.col(STATE).isin([ARCHIVE, *old])).withColumn(STATE, F.lit(ARCHIVE))
+    with staged(closed.dropDuplicates(["scd_id"]), "compact") as rows:
+        n = replace_partitions(rows, path, [STATE, BUCKET], gather=True)
+    for run in old:
+        delete_folder(spark, f"{path}/{STATE}={run}")
+    return n
+
+
 def snapshot_by_timestamp(
     spark: SparkSession,
     path: str,

@@ -135,6 +135,21 @@ def change_log(seed=1, n=400):
     return [(rng.choice(hot), T0 + timedelta(hours=i * 5), rng.choice("xyz"), rng.choice([None, "p"])) for i in range(n)]
 
 
+def test_history_of_one_key_and_one_day_is_cut_into_parts(spark):
+    log = spark.range(3000).select(
+        F.lit("k").alias("k"), (F.lit(T0) + F.make_dt_interval(secs=F.col("id"))).alias("ts"), (F.col("id") % 3).alias("v")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = scd2.in_order(log, ["k", "ts"]).groupBy("__part").count().collect()
+        assert len(parts) == 3 and max(r["count"] for r in parts) < 2000
+        got = scd2.scd2_from_history(log, ["k"], "ts", ["v"])
+        assert got.count() == 3000 and got.filter("valid_to is null").count() == 1
+        assert got.filter("unix_timestamp(valid_to) - unix_timestamp(valid_from) <> 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_history_from_log_equals_plain_windows(spark):
     log = change_log()
     got = rows(

@@ -30,3 +30,28 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 25
+
+
+ORDERED = {  # report: columns that must rise, or fall where marked
+    "dash_repo_list": [("repo_name", 1)],
+    "dash_repo_health": [("repo_name", 1)],
+    "dash_time_series": [("month_year", 1)],
+    "dash_user_contributions": [("total_prs_merged", -1, "total_issues_opened")],
+    "dash_pr_complexity": [("total_lines_changed", -1)],
+    "dash_repo_workload": [("approximate_total_contributors", 1)],
+    "dash_leaderboard": [("PRs Merged", -1, "Issues")],
+    "dash_top_merged": [("total_prs_merged", -1)],
+    "dash_top_additions": [("total_additions", -1)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_reports_keep_their_order(spark, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir).collect()
+    for column, direction, *more in ORDERED[name]:
+        values = [r[column] + sum(r[c] for c in more) if more else r[column] for r in rows]
+        assert len(values) > 1 and values == sorted(values, reverse=direction < 0)
+
+
+def test_increments_are_not_empty(spark, sf_dir):
+    assert QUERIES["hwm_filter"](spark, sf_dir).count() > 0

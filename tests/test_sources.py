@@ -110,3 +110,30 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     got = tables.read_table(spark, f"{root}/table")
     assert sorted(got.select(*cols).collect()) == sorted(batch.select(*cols).collect())
     assert spark.read.parquet(f"{root}/bronze").count() == lines.count()
+
+
+def test_closed_history_is_compacted_without_loss(spark, tmp_path):
+    from strata.sources import tables
+
+    path, bucket = str(tmp_path / "history"), tables.hash_bucket(["k"], 2)
+    for day in range(1, 5):
+        batch = spark.createDataFrame([(k, day) for k in range(5)], "k int, updated_at int")
+        tables.snapshot_by_timestamp(spark, path, batch, ["k"], "updated_at", bucket, f"run-{day}")
+    before = sorted(map(tuple, tables.read_table(spark, path).select("k", "valid_from", "valid_to").collect()), key=repr)
+    assert tables.compact_history(spark, path, keep=["run-4"]) == 10
+    after = sorted(map(tuple, tables.read_table(spark, path).select("k", "valid_from", "valid_to").collect()), key=repr)
+    assert after == before and len(after) == 20
+    states = {r[0] for r in spark.read.parquet(path).select(tables.STATE).distinct().collect()}
+    assert states == {"open", "archive", "run-4"}
+    assert tables.compact_history(spark, path, keep=["run-4"]) == 0
+
+
+def test_scratch_scope_deletes_what_it_made(spark):
+    import os
+
+    from strata.session import scratch_scope, written
+
+    with scratch_scope(spark):
+        path = written(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)

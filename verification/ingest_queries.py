@@ -11,11 +11,11 @@ from strata.operators import incremental
 from strata.plans import staging
 from strata.session import scratch_dir
 from strata.sources import bronze, raw, tables, volumes
-from verification.analogues import A_ISSUES, A_PRS, A_REPOS, URL_PREFIX, Tables
+from verification.analogues import A_ISSUES, A_PRS, A_RELEASES, A_REPOS, A_REPOSITORIES, URL_PREFIX, Tables
 from verification.registry import query
 
 NOW = "2024-02-01 00:00:00"
-EVENT_FIELDS = ["event_id", "user_id", "event_type", "props"]
+EVENT_FIELDS = ["event_id", "user_id", "event_type", "props", "seen_at", "amount"]
 
 
 def now():
@@ -24,8 +24,15 @@ def now():
 
 def enveloped_events(t: Tables) -> DataFrame:
     day = F.date_format("ts", "yyyy-MM-dd")
+    # moments and numbers as text: JSON writers differ in how they print them
+    events = t.events.withColumns(
+        {
+            "seen_at": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+            "amount": F.col("value").cast("decimal(20, 6)").cast("string"),
+        }
+    )
     return raw.wrap_envelope(
-        t.events,
+        events,
         run_id="run-1",
         endpoint="/events",
         ingestion_date=day,
@@ -36,15 +43,21 @@ def enveloped_events(t: Tables) -> DataFrame:
     )
 
 
-EVENT_JSON = "to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'props': props})"
-EVENT_SHA = (
-    "sha256(cast(to_json({'event_id': event_id, 'event_type': event_type, 'props': props, 'user_id': user_id}) "
-    "as varchar))"
-)
+EVENT_PARTS = {
+    "event_id": "event_id",
+    "user_id": "user_id",
+    "event_type": "event_type",
+    "props": "props",
+    "seen_at": "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')",
+    "amount": "cast(cast(value as decimal(20, 6)) as varchar)",
+}
+EVENT_BODY = "{" + ", ".join(f"'{k}': {v}" for k, v in EVENT_PARTS.items()) + "}"
+EVENT_JSON = f"to_json({EVENT_BODY})"
+EVENT_SHA = "sha256(cast(to_json({" + ", ".join(f"'{k}': {v}" for k, v in sorted(EVENT_PARTS.items())) + "}) as varchar))"
 
 
 @query(f"""
-select cast(to_json({{'data': {{'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'props': props}},
+select cast(to_json({{'data': {EVENT_BODY},
          'lineage': {{'extraction_run_id': 'run-1', 'ingestion_timestamp': '2024-02-01T00:00:00.000000+00:00',
            'ingestion_date': strftime(ts, '%Y-%m-%d'), 'source_endpoint': '/events', 'http_status': 200,
            'api_rate_limit_remaining': null, 'record_count': 1, 'payload_checksum': {EVENT_SHA},
@@ -79,19 +92,39 @@ def bronze_parse(t: Tables) -> DataFrame:
 
 
 @query("""
-select 'issues' as resource, count(*) as n_rows, 'OK' as status from events union all
-select 'pull_requests', count(*), 'OK' from orders union all
-select 'releases', count(*), 'OK' from part union all
-select 'repositories', 0, 'SKIPPED' union all select 'languages', 0, 'SKIPPED' union all
-select 'pr_details', 0, 'SKIPPED'""")
+select 'issues' as resource, count(*) as n_rows, true as has_bytes, 'OK' as status from events union all
+select 'pull_requests', count(*), true, 'OK' from orders union all
+select 'releases', count(*), true, 'OK' from part union all
+select 'repositories', 0, false, 'SKIPPED' union all select 'languages', 0, false, 'SKIPPED' union all
+select 'pr_details', 0, false, 'SKIPPED'""")
 def bronze_load_summary(t: Tables) -> DataFrame:
+    """Three resources with lines, one whose folder is there but empty, two without a folder."""
     root = scratch_dir(t.spark, "landing")
     landed = {"issues": (t.events, "event_type"), "pull_requests": (t.orders, "o_orderpriority"), "releases": (t.part, "p_type")}
     for resource, (df, repo) in landed.items():
         lines = raw.wrap_envelope(df, "run-1", resource, "2024-02-01", F.col(repo), resource, now())
         raw.write_raw(lines, f"{root}/raw/{resource}")
+    t.events.filter("false").select("event_type").write.text(f"{root}/raw/languages/ingestion_date=2024-02-01")
     loaded = bronze.load_all(t.spark, f"{root}/raw", f"{root}/bronze", "2024-02-01", now())
-    return loaded.select("resource", "n_rows", "status")
+    return loaded.select("resource", "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"), "status")
+
+
+@query("""
+select case when day(ts) % 2 = 1 then '2024-02-01' else '2024-02-02' end as ingestion_date, count(*) as n_rows
+from events group by 1""")
+def partition_replace_stray(t: Tables) -> DataFrame:
+    """Two loads whose lines name many dates, the first one's among them: each load keeps to its own partition."""
+    root = scratch_dir(t.spark, "stray")
+    odd = F.dayofmonth("ts") % 2 == 1
+    for date, some in (("2024-02-01", odd), ("2024-02-02", ~odd)):
+        named = F.when(F.col("event_type") == "error", "2024-02-01").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+        lines = raw.wrap_envelope(
+            t.events.filter(some), "run-1", "/events", named, F.col("event_type"), "raw", now(), payload=["event_id"]
+        )
+        lines.select("value").write.text(f"{root}/raw/{date}")
+        bronze.load_resource(t.spark, f"{root}/raw/{date}", f"{root}/bronze", date, now())
+    held = bronze.read_bronze(t.spark, f"{root}/bronze")
+    return held.groupBy(F.col("_ingestion_date").alias("ingestion_date")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("""
@@ -157,6 +190,7 @@ def issue_payloads(t: Tables) -> DataFrame:
             F.when(F.col("issue_id") % 89 == 0, "soon")
             .otherwise(F.date_format("created_at", iso))
             .alias("created_at"),
+            F.date_format("updated_at", iso).alias("updated_at"),
             F.date_format("closed_at", iso).alias("closed_at"),
             F.col("comments_count").alias("comments"),
             "repository_url",
@@ -174,19 +208,122 @@ select issue_id as line, case when good then issue_id end as issue_id, case when
        case when good then state end as state, case when good then user_id end as user_id,
        case when good then user_login end as user_login, case when good then comments_count end as comments_count,
        case when good and issue_id % 89 <> 0 then strftime(created_at, '%Y-%m-%d %H:%M:%S') end as created_at,
+       case when good then strftime(updated_at, '%Y-%m-%d %H:%M:%S') end as updated_at,
        case when good then strftime(closed_at, '%Y-%m-%d %H:%M:%S') end as closed_at,
+       case when good then title end as title, case when good then '{URL_PREFIX}' || full_name end as repository_url,
        coalesce(good and is_pull_request, false) as is_pull_request, case when good then title end as first_label
 from p""")
 def json_flatten(t: Tables) -> DataFrame:
     fields = {
-        **{k: v for k, v in staging.ISSUE_FIELDS.items() if k not in ("title", "repository_url", "labels")},
-        **{c: F.date_format(parsed_timestamp(c), "yyyy-MM-dd HH:mm:ss") for c in ("created_at", "closed_at")},
+        **{k: v for k, v in staging.ISSUE_FIELDS.items() if k != "labels"},
+        **{c: F.date_format(parsed_timestamp(c), "yyyy-MM-dd HH:mm:ss") for c in ("created_at", "updated_at", "closed_at")},
         "is_pull_request": F.col("payload.pull_request").isNotNull(),
         "first_label": F.get("payload.labels", F.lit(0)).getField("name"),
     }
     return flatten_json(issue_payloads(t), "data", schemas.ISSUE, fields, [F.col("issue_id").alias("line")])
 
 
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def landed(df: DataFrame, payload, repo) -> DataFrame:
+    """Bronze rows with ``payload`` as their text."""
+    return df.select(
+        F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}).alias("data"),
+        repo.alias("_repo_full_name"),
+        F.lit(NOW).cast("timestamp").alias("_bronze_ingest_ts"),
+        F.lit(NOW).cast("timestamp").alias("_ingestion_timestamp"),
+        F.lit("run-1").alias("_extraction_run_id"),
+        F.lit("2024-02-01").alias("_ingestion_date"),
+    )
+
+
+def shown(df: DataFrame, *columns: str) -> DataFrame:
+    """Chosen columns, moments as text."""
+    kinds = dict(df.dtypes)
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return df.select(*[text(c) if kinds[c].startswith("timestamp") else F.col(c) for c in columns])
+
+
+@query(f"""
+with {A_REPOSITORIES}
+select repository_id, full_name, 'owner' as owner_login, 'r' || repository_id as repo_name,
+       case when repository_id % 3 <> 0 then 'about' end as description, 'lang' as primary_language, stars, forks, watchers,
+       open_issues, 'main' as default_branch, repository_id % 2 = 0 as is_fork, false as is_archived,
+       strftime(created_at, '%Y-%m-%d %H:%M:%S') as created_at, strftime(updated_at, '%Y-%m-%d %H:%M:%S') as updated_at,
+       strftime(updated_at, '%Y-%m-%d %H:%M:%S') as pushed_at, repository_id * 2 as repo_size_kb, 'a,b' as topics,
+       case when repository_id % 5 <> 0 then 'MIT' end as license
+from a_repositories""")
+def flatten_repositories(t: Tables) -> DataFrame:
+    rid, lit = F.col("repository_id"), F.lit
+    payload = [
+        rid.alias("id"), F.struct(lit("owner").alias("login")).alias("owner"), F.concat(lit("r"), rid).alias("name"),
+        F.when(rid % 3 != 0, "about").alias("description"), lit("lang").alias("language"),
+        F.col("stars").alias("stargazers_count"), F.col("forks").alias("forks_count"),
+        F.col("watchers").alias("watchers_count"), F.col("open_issues").alias("open_issues_count"),
+        lit("main").alias("default_branch"), (rid % 2 == 0).alias("fork"), lit(False).alias("archived"),
+        F.date_format("created_at", ISO).alias("created_at"), F.date_format("updated_at", ISO).alias("updated_at"),
+        F.date_format("updated_at", ISO).alias("pushed_at"), (rid * 2).alias("size"), F.array(lit("a"), lit("b")).alias("topics"),
+        F.when(rid % 5 != 0, F.struct(lit("MIT").alias("spdx_id"))).alias("license"),
+    ]
+    staged = staging.stage_repositories(landed(t.a_repositories(), payload, F.col("full_name")))
+    staged = staged.withColumn("topics", F.array_join("topics", ","))
+    return shown(staged, "repository_id", "full_name", *[c for c in staging.REPOSITORY_FIELDS if c != "repository_id"], "created_at", "updated_at", "pushed_at")
+
+
+@query(f"""
+with {A_REPOS},{A_PRS}
+select pull_request_id, pr_number, title, state, user_id, user_login, 'sha' || pull_request_id as merge_commit_sha,
+       pull_request_id % 7 = 0 as is_draft, 'topic' as head_branch, 'main' as base_branch, canonical_repo_name,
+       strftime(created_at, '%Y-%m-%d %H:%M:%S') as created_at, strftime(updated_at, '%Y-%m-%d %H:%M:%S') as updated_at,
+       strftime(closed_at, '%Y-%m-%d %H:%M:%S') as closed_at, strftime(merged_at, '%Y-%m-%d %H:%M:%S') as merged_at
+from a_prs""")
+def flatten_pull_requests(t: Tables) -> DataFrame:
+    """With the base repository's name, three levels down."""
+    key, lit = F.col("pull_request_id"), F.lit
+    base = F.struct(lit("main").alias("ref"), F.struct(F.col("canonical_repo_name").alias("full_name")).alias("repo"))
+    days = ("created_at", "updated_at", "closed_at", "merged_at")
+    payload = [
+        key.alias("id"), F.col("pr_number").alias("number"), "title", "state",
+        F.struct(F.col("user_id").alias("id"), F.col("user_login").alias("login")).alias("user"),
+        F.concat(lit("sha"), key).alias("merge_commit_sha"), (key % 7 == 0).alias("draft"),
+        F.struct(lit("topic").alias("ref")).alias("head"), base.alias("base"),
+        *[F.date_format(c, ISO).alias(c) for c in days],
+    ]
+    typed = staging.type_pull_requests(landed(t.a_prs(), payload, F.col("canonical_repo_name")))
+    return shown(typed, *staging.PULL_REQUEST_FIELDS, *days)
+
+
+@query(f"""
+with {A_REPOS},{A_PRS}
+select pull_request_id, cast(pull_request_id % 1000 as int) as pr_number, additions, deletions, commits_count, changed_files,
+       review_comments_count from a_pr_details""")
+def flatten_pr_details(t: Tables) -> DataFrame:
+    key = F.col("pull_request_id")
+    names = {"commits": "commits_count", "review_comments": "review_comments_count"}
+    measures = ("additions", "deletions", "changed_files", "commits", "review_comments")
+    payload = [key.alias("id"), (key % 1000).alias("number"), *[F.col(names.get(c, c)).alias(c) for c in measures]]
+    return shown(staging.stage_pr_details(landed(t.a_pr_details(), payload, F.lit("any"))), *staging.PR_DETAIL_FIELDS)
+
+
+@query(f"""
+with {A_RELEASES}
+select release_id, tag_name, release_name, release_id % 9 = 0 as is_draft, is_prerelease, author_id, author_login,
+       'main' as target_commitish, strftime(created_at, '%Y-%m-%d %H:%M:%S') as created_at,
+       strftime(published_at, '%Y-%m-%d %H:%M:%S') as published_at from a_releases""")
+def flatten_releases(t: Tables) -> DataFrame:
+    key = F.col("release_id")
+    payload = [
+        key.alias("id"), "tag_name", F.col("release_name").alias("name"), (key % 9 == 0).alias("draft"),
+        F.col("is_prerelease").alias("prerelease"),
+        F.struct(F.col("author_id").alias("id"), F.col("author_login").alias("login")).alias("author"),
+        F.lit("main").alias("target_commitish"),
+        *[F.date_format(c, ISO).alias(c) for c in ("created_at", "published_at")],
+    ]
+    typed = staging.stage_releases(landed(t.a_releases(), payload, F.lit("any")))
+    return shown(typed, *staging.RELEASE_FIELDS, "created_at", "published_at")
+
+
 @query(f"""
 with {A_REPOS},{A_PRS}
 select pull_request_id as id, cast(pull_request_id % 1000 as int) as number, additions, deletions, changed_files,
@@ -209,10 +346,10 @@ def pr_detail_normalize(t: Tables) -> DataFrame:
 
 
 @query("""
-select doc_id, sha256(cast(to_json({'doc_id': doc_id, 'lang': lang, 'source': source, 'text': text}) as varchar))
-       as checksum from documents""")
+select doc_id, sha256(cast(to_json({'doc_id': doc_id, 'lang': lang, 'n_chars': n_chars, 'source': source, 'text': text})
+       as varchar)) as checksum from documents""")
 def payload_checksum_documents(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", payload_checksum(["doc_id", "text", "lang", "source"]).alias("checksum"))
+    return t.documents.select("doc_id", payload_checksum(["doc_id", "text", "lang", "source", "n_chars"]).alias("checksum"))
 
 
 @query("""
@@ -288,11 +425,11 @@ CUT = "1997-01-01 00:00:00"
 
 
 @query(f"""
-with {A_REPOS},{A_PRS}, done as (select max(_bronze_ingest_ts) as hwm from a_prs where created_at < '{CUT}')
+with {A_REPOS},{A_PRS}, done as (select max(_bronze_ingest_ts) as hwm from a_prs where _bronze_ingest_ts < '{CUT}')
 select pull_request_id, state, _bronze_ingest_ts from a_prs, done where _bronze_ingest_ts > hwm""")
 def hwm_filter(t: Tables) -> DataFrame:
     prs = t.a_prs()
-    done = prs.filter(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz"))
+    done = prs.filter(F.col("_bronze_ingest_ts") < F.lit(CUT).cast("timestamp_ntz"))
     fresh = incremental.hwm_filter(prs, done, "_bronze_ingest_ts")
     return fresh.select("pull_request_id", "state", "_bronze_ingest_ts")
 

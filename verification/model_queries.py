@@ -424,6 +424,87 @@ def silver_current(t: Tables) -> DataFrame:
     )
 
 
+def judged(checks: str, table: str, key: str, dated: str) -> str:
+    """SQL of a current-state view: clean rows dated, failing ones with their reasons."""
+    return f"""v as (select *, {checks} as f from {table})
+select {key}, array_to_string(f, ',') as failed, len(f) > 0 as is_quarantined,
+       case when len(f) = 0 then {dated} end as valid_from,
+       case when len(f) = 0 then 'history' else 'quarantine' end as record_source"""
+
+
+@query(f"""
+with {A_REPOS},{A_PRS}, {judged(failing(a.PR_CHECKS), "a_prs", "pull_request_id, state, additions, changed_files", "updated_at")}
+from v""")
+def silver_pull_requests(t: Tables) -> DataFrame:
+    star = Star(t)
+
+    def filled(df: DataFrame) -> DataFrame:
+        texts = {c: F.lit("") for c in ("merge_commit_sha", "head_branch", "base_branch")}
+        return df.withColumns({**texts, "is_draft": F.lit(False)})
+
+    view = silver.pull_requests_current(filled(star.pr_history), filled(star.prs_validated))
+    return view.select(
+        "pull_request_id", "state", "additions", "changed_files",
+        F.array_join("dq_failed_rules", ",").alias("failed"), "is_quarantined", "valid_from", "record_source",
+    )
+
+
+@query(f"""
+with {a.A_REPOSITORIES}, {judged(failing(a.REPOSITORY_CHECKS), "a_repositories", "repository_id, full_name, stars, forks", "timestamp '2024-02-01'")}
+from v""")
+def silver_repositories(t: Tables) -> DataFrame:
+    rows = quality.evaluate_rules(t.a_repositories(), rules.REPOSITORY_RULES)
+    missing = [c for c in silver.REPOSITORY_COLUMNS if c not in rows.columns]
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in missing})
+    moment = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    history = scd2.scd2_apply(None, quality.clean(rows), ["repository_id"], "check", check_cols=["stars"], as_of=moment)
+    return silver.repositories_current(history, rows).select(
+        "repository_id", "full_name", "stars", "forks",
+        F.array_join("dq_failed_rules", ",").alias("failed"), "is_quarantined", "valid_from", "record_source",
+    )
+
+
+@query(f"""
+with {A_REPOS}, p as (
+  select p_partkey as release_id, p_brand as tag_name, p_partkey % 30 as n, p_size from part)
+select release_id, tag_name, repository_id, p_size >= 3 as published_after from p
+left join a_repos on n = repository_id""")
+def releases_resolve(t: Tables) -> DataFrame:
+    """Releases joined to their repository by its full name; every sixth names one that isn't known."""
+    names = t.a_repos().select(F.col("repository_id").alias("n"), F.col("full_name").alias("_repo_full_name"))
+    plain = t.a_releases().drop("repository_id").withColumn("n", F.col("release_id") % 30).join(names, "n", "left")
+    named = plain.withColumn("_repo_full_name", F.coalesce("_repo_full_name", F.lit("no/where"))).drop("n")
+    judged_rows = validated.validate_releases(named, t.a_repos())
+    late = ~F.array_contains("dq_failed_rules", "published_after_created")
+    return judged_rows.select("release_id", "tag_name", "repository_id", late.alias("published_after"))
+
+
+LATE_DETAILS = f"""
+late as (
+  select pr_id, case when pr_id % 2 = 0 then additions end as before, additions as after from fact_prs)"""
+
+
+@query(f"with {STAR},{LATE_DETAILS} select pr_id, before, after, 1 as versions from late")
+def fact_late_details(t: Tables) -> DataFrame:
+    """Details of every second pull request come a day later, with nothing else changed: no new version, new measures."""
+    star, key, day = Star(t), "pull_request_id", F.expr("interval 1 day")
+    clean = quality.clean(star.prs_validated)
+    measures = list(staging.DETAIL_MEASURES)
+    odd = F.col(key) % 2 == 1
+    first = clean.withColumns({c: F.when(~odd, F.col(c)) for c in measures})
+    then = clean.filter(odd).withColumn("_bronze_ingest_ts", F.col("_bronze_ingest_ts") + day)
+    path, bucket = scratch_dir(t.spark, "late"), tables.hash_bucket([key], 4)
+    before = None
+    for run, batch in (("day-1", first), ("day-2", then)):
+        refresh = [*measures, "_bronze_ingest_ts"]
+        tables.snapshot_by_timestamp(t.spark, path, batch, [key], "updated_at", bucket, run, refresh)
+        fact = gold.fact_pull_requests(tables.read_open(t.spark, path), star.repos_current, as_of())
+        rows = written(fact.select("pr_id", F.col("additions").alias("before" if before is None else "after")), "late-fact")
+        before = rows if before is None else before.join(rows, "pr_id")
+    versions = tables.read_table(t.spark, path).groupBy(F.col(key).alias("pr_id")).agg(F.count("*").cast("int").alias("versions"))
+    return before.join(versions, "pr_id").select("pr_id", "before", "after", "versions")
+
+
 # -- star schema ----------------------------------------------------------------------------------------------
 
 
@@ -460,9 +541,7 @@ def dim_repositories(t: Tables) -> DataFrame:
         "o_orderkey",
     )
     daily = keep_latest(log, ["repository_id", "seen_at"], ["o_orderkey"])
-    history = scd2.scd2_from_history(
-        daily, ["repository_id"], "seen_at", ["primary_language"], slice_unit="month"
-    )
+    history = scd2.scd2_from_history(daily, ["repository_id"], "seen_at", ["primary_language"])
     whole = history.select(
         "*", F.lit("").alias("full_name"), F.lit("").alias("owner_login"), F.lit("").alias("license"),
         F.col("seen_at").alias("_bronze_ingest_ts"), F.lit("").alias("_extraction_run_id"),
@@ -526,20 +605,24 @@ def fact_releases(t: Tables) -> DataFrame:
 
 # -- KPIs -----------------------------------------------------------------------------------------------------
 
+# one relation of all work items, one filtered aggregate for each measure
 HEALTH = """
-i as (select repo_id, count(*) as n, sum(case when state = 'open' then 1 else 0 end) as o,
-             median(time_to_close_hours) as m, count(distinct author_user_id) as a from fact_issues group by 1),
-p as (select repo_id, count(*) as n, sum(case when state = 'open' then 1 else 0 end) as o,
-             median(time_to_merge_hours) as m, count(distinct author_user_id) as a from fact_prs group by 1),
+work as (
+  select 'issue' as what, repo_id, state, author_user_id, time_to_close_hours as hours from fact_issues
+  union all select 'pr', repo_id, state, author_user_id, time_to_merge_hours from fact_prs),
 health as (
-  select r.repository_id as repo_id, r.full_name as repo_name, coalesce(i.n, 0) as total_issues,
-         cast(coalesce(i.o, 0) as bigint) as open_issues, round(i.m, 6) as median_time_to_close_hours,
-         coalesce(p.n, 0) as total_prs, cast(coalesce(p.o, 0) as bigint) as open_prs,
-         round(p.m, 6) as median_time_to_merge_hours,
-         (coalesce(i.n, 0) - cast(coalesce(i.o, 0) as bigint)) / nullif(i.n, 0) as closed_to_open_issue_ratio,
-         (coalesce(p.n, 0) - cast(coalesce(p.o, 0) as bigint)) / nullif(p.n, 0) as merged_pr_ratio,
-         coalesce(i.a, 0) + coalesce(p.a, 0) as approximate_total_contributors
-  from a_repos r left join i on i.repo_id = r.repository_id left join p on p.repo_id = r.repository_id)"""
+  select repository_id as repo_id, full_name as repo_name,
+         count(*) filter (what = 'issue') as total_issues,
+         count(*) filter (what = 'issue' and state = 'open') as open_issues,
+         round(median(hours) filter (what = 'issue'), 6) as median_time_to_close_hours,
+         count(*) filter (what = 'pr') as total_prs,
+         count(*) filter (what = 'pr' and state = 'open') as open_prs,
+         round(median(hours) filter (what = 'pr'), 6) as median_time_to_merge_hours,
+         avg(case when state is distinct from 'open' then 1.0::double else 0.0 end) filter (what = 'issue')
+           as closed_to_open_issue_ratio,
+         avg(case when state is distinct from 'open' then 1.0::double else 0.0 end) filter (what = 'pr') as merged_pr_ratio,
+         count(distinct (what, author_user_id)) filter (author_user_id is not null) as approximate_total_contributors
+  from a_repos left join work on repo_id = repository_id group by repository_id, full_name)"""
 
 HEALTH_MEDIANS = ("median_time_to_close_hours", "median_time_to_merge_hours")
 
@@ -553,31 +636,32 @@ def kpi_repo_health(t: Tables) -> DataFrame:
     return rounded(Star(t).health, *HEALTH_MEDIANS)
 
 
+# dated milestones beside every month of every repository, pivoted by filtered aggregates
 SERIES = """
-b as (
-  select min(k) as lo, max(k) as hi from (
-    select unnest([created_date_key, closed_date_key]) as k from fact_issues union all
-    select unnest([created_date_key, merged_date_key, closed_date_key]) as k from fact_prs)),
+dated as (
+  select repo_id, unnest(['opened issue', 'closed issue', 'end']) as what,
+         unnest([created_date_key, closed_date_key, null]) as day, unnest([null, time_to_close_hours, null]) as hours
+  from fact_issues
+  union all
+  select repo_id, unnest(['opened pr', 'merged pr', 'end']), unnest([created_date_key, merged_date_key, closed_date_key]),
+         unnest([null, time_to_merge_hours, null]) from fact_prs),
+spans as (
+  select min(make_date(day // 10000, day // 100 % 100, 1)) as first_month,
+         max(make_date(day // 10000, day // 100 % 100, 1)) as last_month from dated where day is not null),
 months as (
-  select strftime(unnest(generate_series(date_trunc('month', strptime(cast(lo as varchar), '%Y%m%d')),
-         strptime(cast(hi as varchar), '%Y%m%d'), interval 1 month)), '%Y-%m') as month_year from b),
-mk as (select repo_id, created_date_key as k, 'io' as kind, null as h from fact_issues
-       union all select repo_id, closed_date_key, 'ic', time_to_close_hours from fact_issues
-       union all select repo_id, created_date_key, 'po', null from fact_prs
-       union all select repo_id, merged_date_key, 'pm', time_to_merge_hours from fact_prs),
-mm as (select repo_id, substr(cast(k as varchar), 1, 4) || '-' || substr(cast(k as varchar), 5, 2) as month_year, kind, h
-       from mk where k is not null),
-g as (select repo_id, month_year, kind, count(*) as n, median(h) as m from mm group by all),
+  select strftime(unnest(generate_series(first_month::timestamp, last_month::timestamp, interval 1 month)), '%Y-%m')
+         as month_year from spans),
 series as (
-  select r.repository_id as repo_id, r.full_name as repo_name, months.month_year,
-         coalesce(io.n, 0) as issues_opened, coalesce(ic.n, 0) as issues_closed,
-         round(ic.m, 6) as median_time_to_close_hours, coalesce(po.n, 0) as prs_opened,
-         coalesce(pm.n, 0) as prs_merged, round(pm.m, 6) as median_time_to_merge_hours
-  from a_repos r cross join months
-  left join g io on io.repo_id = r.repository_id and io.month_year = months.month_year and io.kind = 'io'
-  left join g ic on ic.repo_id = r.repository_id and ic.month_year = months.month_year and ic.kind = 'ic'
-  left join g po on po.repo_id = r.repository_id and po.month_year = months.month_year and po.kind = 'po'
-  left join g pm on pm.repo_id = r.repository_id and pm.month_year = months.month_year and pm.kind = 'pm')"""
+  select repository_id as repo_id, full_name as repo_name, month_year,
+         count(*) filter (what = 'opened issue') as issues_opened,
+         count(*) filter (what = 'closed issue') as issues_closed,
+         round(median(hours) filter (what = 'closed issue'), 6) as median_time_to_close_hours,
+         count(*) filter (what = 'opened pr') as prs_opened,
+         count(*) filter (what = 'merged pr') as prs_merged,
+         round(median(hours) filter (what = 'merged pr'), 6) as median_time_to_merge_hours
+  from (a_repos cross join months)
+  left join dated on dated.repo_id = repository_id and month_year = printf('%04d-%02d', day // 10000, day // 100 % 100)
+  group by repository_id, full_name, month_year)"""
 
 
 @query(f"with {STAR},{SERIES} select * from series")
@@ -593,21 +677,25 @@ def date_spine_densify(t: Tables) -> DataFrame:
     return densify(kpis.current_repos(star.dim_repositories), calendar.getField("start"), calendar.getField("end"))
 
 
+# one row for each thing a user did, summed once
 CONTRIBUTIONS = """
-ui as (select repo_id, author_user_id as user_id, count(*) as n, sum(comment_count) as c from fact_issues group by 1, 2),
-up as (select repo_id, author_user_id as user_id, count(*) as n,
-              sum(case when merged_date_key is not null then 1 else 0 end) as m, sum(comment_count) as c,
-              sum(additions) as ad, sum(deletions) as de from fact_prs group by 1, 2),
-k as (select repo_id, user_id from ui union select repo_id, user_id from up),
+deeds as (
+  select repo_id, author_user_id as who, [1, 0, 0, comment_count, 0, 0] as did from fact_issues
+  union all
+  select repo_id, author_user_id, [0, 1, (merged_date_key is not null)::int, comment_count, additions, deletions] from fact_prs),
+tallied as (
+  select repo_id, who, unnest(range(1, 7)) as measure, unnest(did) as amount from deeds),
+summed as (
+  select repo_id, who, measure,
+         coalesce(sum(amount) filter (repo_id is not null and who is not null), 0)::bigint as amount
+  from tallied group by all),
 users as (
-  select r.full_name as repo_name, k.repo_id, k.user_id, u.user_login as github_username,
-         coalesce(ui.n, 0) as total_issues_opened, coalesce(up.n, 0) as total_prs_opened,
-         cast(coalesce(up.m, 0) as bigint) as total_prs_merged,
-         cast(coalesce(ui.c, 0) + coalesce(up.c, 0) as bigint) as total_comments,
-         cast(coalesce(up.ad, 0) as bigint) as total_additions, cast(coalesce(up.de, 0) as bigint) as total_deletions
-  from k left join ui on k.repo_id = ui.repo_id and k.user_id = ui.user_id
-  left join up on k.repo_id = up.repo_id and k.user_id = up.user_id
-  left join a_repos r on k.repo_id = r.repository_id left join dim_users u on k.user_id = u.user_id)"""
+  select full_name as repo_name, summed.repo_id, who as user_id, user_login as github_username,
+         max(amount) filter (measure = 1) as total_issues_opened, max(amount) filter (measure = 2) as total_prs_opened,
+         max(amount) filter (measure = 3) as total_prs_merged, max(amount) filter (measure = 4) as total_comments,
+         max(amount) filter (measure = 5) as total_additions, max(amount) filter (measure = 6) as total_deletions
+  from summed left join a_repos on repository_id = repo_id left join dim_users on dim_users.user_id = who
+  group by all)"""
 
 
 @query(f"with {STAR},{A_RELEASES},{USERS},{CONTRIBUTIONS} select * from users")
@@ -615,17 +703,20 @@ def kpi_user_contributions(t: Tables) -> DataFrame:
     return Star(t).users
 
 
+# the size of a pull request by a table of limits
 COMPLEXITY = """
+limits(pr_size_bucket, least, below) as (
+  values ('Small', -1e18, 100), ('Medium', 100, 500), ('Large', 500, 1000), ('XL', 1000, 1e18)),
+changed as (
+  select f.*, list_sum(list_filter([additions, deletions, 0], lambda x: x is not null))::bigint as total_lines_changed
+  from fact_prs f),
 prs as (
-  select pr_id, r.full_name as repo_name, repo_id, author_user_id, created_date_key, merged_date_key, time_to_merge_hours,
-         additions, deletions, changed_files, commits_count,
-         coalesce(additions, 0) + coalesce(deletions, 0) as total_lines_changed,
-         additions / nullif(coalesce(additions, 0) + coalesce(deletions, 0), 0) as additions_ratio,
-         deletions / nullif(coalesce(additions, 0) + coalesce(deletions, 0), 0) as deletions_ratio,
-         case when coalesce(additions, 0) + coalesce(deletions, 0) < 100 then 'Small'
-              when coalesce(additions, 0) + coalesce(deletions, 0) < 500 then 'Medium'
-              when coalesce(additions, 0) + coalesce(deletions, 0) < 1000 then 'Large' else 'XL' end as pr_size_bucket
-  from fact_prs left join a_repos r on repo_id = r.repository_id)"""
+  select pr_id, full_name as repo_name, repo_id, author_user_id, created_date_key, merged_date_key, time_to_merge_hours,
+         additions, deletions, changed_files, commits_count, total_lines_changed,
+         additions / nullif(total_lines_changed, 0) as additions_ratio,
+         deletions / nullif(total_lines_changed, 0) as deletions_ratio, pr_size_bucket
+  from changed left join a_repos on repository_id = repo_id
+  left join limits on total_lines_changed >= least and total_lines_changed < below)"""
 
 
 @query(f"with {STAR},{COMPLEXITY} select * from prs")
@@ -652,20 +743,20 @@ def group_quantile(t: Tables) -> DataFrame:
 
 
 EXTREMES = {
-    "tiny": "o_totalprice * 1e-12",
-    "huge": "o_totalprice * 1e12",
-    "negative": "-o_totalprice",
-    "outlier": "case when o_orderkey = (select min(o_orderkey) from orders) then 1e15 else o_totalprice end",
-    "nan": "case when o_orderkey % 3 = 0 then cast('nan' as double) else o_totalprice end",
-    "decimal": "cast(cast(o_totalprice as decimal(28, 10)) / 1000 as decimal(28, 10))",
+    "tiny": ("o_totalprice * 1e-12", 1e-12),
+    "huge": ("o_totalprice * 1e12", 1e12),
+    "negative": ("-o_totalprice", 1.0),
+    "outlier": ("case when o_orderkey = (select min(o_orderkey) from orders) then 1e15 else o_totalprice end", 1.0),
+    "nan": ("case when o_orderkey % 3 = 0 then cast('nan' as double) else o_totalprice end", 1.0),
+    "decimal": ("cast(cast(o_totalprice as decimal(28, 10)) / 1000 as decimal(28, 10))", 1e-3),
 }
 
 
 @query(
     " union all ".join(
-        f"""select '{kind}' as kind, o_orderstatus, quantile_cont(cast({value} as double), 0.5) as median,
-        quantile_cont(cast({value} as double), 0.9) as p90 from orders group by all"""
-        for kind, value in EXTREMES.items()
+        f"""select '{kind}' as kind, o_orderstatus, round(quantile_cont(cast({value} as double), 0.5) / {unit}, 4) as median,
+        round(quantile_cont(cast({value} as double), 0.9) / {unit}, 4) as p90 from orders group by all"""
+        for kind, (value, unit) in EXTREMES.items()
     )
 )
 def quantile_extremes(t: Tables) -> DataFrame:
@@ -685,7 +776,8 @@ def quantile_extremes(t: Tables) -> DataFrame:
         counts = value_counts(t.orders.select("o_orderstatus", value.alias("v")), "v", ["o_orderstatus"])
         median = quantile_of_counts(counts, ["o_orderstatus"], "v", 0.5, "median")
         high = quantile_of_counts(counts, ["o_orderstatus"], "v", 0.9, "p90")
-        rows = median.join(high, "o_orderstatus").select(F.lit(kind).alias("kind"), "o_orderstatus", "median", "p90")
+        scaled = [F.round(F.col(c) / EXTREMES[kind][1], 4).alias(c) for c in ("median", "p90")]
+        rows = median.join(high, "o_orderstatus").select(F.lit(kind).alias("kind"), "o_orderstatus", *scaled)
         out = rows if out is None else out.unionByName(rows)
     return out
 

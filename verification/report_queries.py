@@ -29,17 +29,36 @@ ACTIVE = "(issues_opened > 0 or issues_closed > 0 or prs_opened > 0 or prs_merge
 REPO = "ASIA/NATION_2"
 
 
-@query(f"{H} select * from health")
+EXPORTED = f"""
+with {STAR},{A_RELEASES},{USERS},{HEALTH},{SERIES},{CONTRIBUTIONS},{COMPLEXITY}
+select 'kpi_repo_health' as name, repo_id, null as part, total_issues as a, total_prs as b, median_time_to_close_hours as c
+from health
+union all select 'kpi_time_series', repo_id, month_year, issues_opened, prs_opened, median_time_to_merge_hours from series
+union all select 'kpi_user_contributions', repo_id, github_username, total_comments, total_additions, null from users
+union all select 'kpi_pr_complexity', repo_id, pr_size_bucket, pr_id, total_lines_changed, time_to_merge_hours from prs"""
+
+
+@query(EXPORTED)
 def kpi_export_roundtrip(t: Tables) -> DataFrame:
-    star, path = Star(t), scratch_dir(t.spark, "export")
+    """All four tables written and read back."""
+    star, path, none = Star(t), scratch_dir(t.spark, "export"), F.lit(None)
     exported = {
-        "kpi_repo_health": star.health,
-        "kpi_time_series": star.series,
-        "kpi_user_contributions": star.users,
-        "kpi_pr_complexity": star.prs,
+        "kpi_repo_health": (star.health, none, "total_issues", "total_prs", HEALTH_MEDIANS[0]),
+        "kpi_time_series": (star.series, "month_year", "issues_opened", "prs_opened", HEALTH_MEDIANS[1]),
+        "kpi_user_contributions": (star.users, "github_username", "total_comments", "total_additions", none),
+        "kpi_pr_complexity": (star.prs, "pr_size_bucket", "pr_id", "total_lines_changed", "time_to_merge_hours"),
     }
-    tables.export_tables(exported, path)
-    return rounded(tables.read_export(t.spark, path, "kpi_repo_health"), *HEALTH_MEDIANS)
+    tables.export_tables({name: found[0] for name, found in exported.items()}, path)
+    out = None
+    for name, (_, part, x, y, z) in exported.items():
+        z = none if z is none else F.round(F.col(z).cast("double"), 6)
+        part = part if part is none else F.col(part)
+        rows = tables.read_export(t.spark, path, name).select(
+            F.lit(name).alias("name"), "repo_id", part.cast("string").alias("part"), F.col(x).cast("bigint").alias("a"),
+            F.col(y).cast("bigint").alias("b"), z.cast("double").alias("c"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query(f"{H} select * from health")
