@@ -126,7 +126,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                         pa.array(np.diff(first) + 1),
                         pa.array(np.diff(offsets)),
                         pa.array(np.bincount(whose[hit], count_of[at[hit]] > 0, end - row).astype(np.int64)),
-                        pa.array(np.bincount(whose[hit], logs[at[hit]], end - row)),
+                        pa.array(np.bincount(whose[hit], logs[at[hit]], end - row).astype(np.float64)),
                         pa.array(total),
                     ],
                     ["doc_id", "key", "held_out", "n_tokens", "n_bytes", "known", "part", "score"],
