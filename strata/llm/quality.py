@@ -110,14 +110,11 @@ def _features(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarra
 
 def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots and levels of the best rising step curve (pooled neighbours), each block by its first and last place."""
-    order = np.argsort(x, kind="stable")
+    places, where, n = np.unique(x, return_inverse=True, return_counts=True)
+    sums = np.bincount(where, y, len(places))
     blocks: list[list[float]] = []  # first, last, sum, count
-    for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        if blocks and blocks[-1][1] == a:  # equal places share a level
-            blocks[-1][2] += b
-            blocks[-1][3] += 1
-        else:
-            blocks.append([a, a, b, 1.0])
+    for place, total, count in zip(places.tolist(), sums.tolist(), n.tolist(), strict=True):
+        blocks.append([place, place, total, count])
         while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
             _, last, total, n = blocks.pop()
             blocks[-1][1] = last
