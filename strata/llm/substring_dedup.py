@@ -2,8 +2,8 @@
 
 A sentence ends with a word whose last byte is ``.``, ``!`` or ``?``, or before a line end. Where more than ``LONG`` words
 go by without such an end, words whose hash is divisible by ``CUT`` end one too, so that long lists and tables are cut
-at the same words wherever they stand. A span is ``RUN`` sentences in a row (all of a shorter document) with at least
-``LEAST_WORDS`` words, compared word by word after lower-casing A-Z. The first span of its kind, by (doc_id, position),
+at the same words wherever they stand. A span begins at any sentence and takes ``RUN`` sentences in a row (all of a
+shorter document), or more until it has ``LEAST_WORDS`` words; spans are compared word by word after lower-casing A-Z. The first span of its kind, by (doc_id, position),
 stays; sentences covered by any later one are removed, with the white space behind them.
 
 A document sends each of its different spans once, with the place where it first occurs there; repeats within a document
@@ -12,7 +12,7 @@ before the first, and the second is a join whose hot keys Spark splits.
 
 Rows: null text stays null, with no sentences. Rows with the same doc_id count as one document: what they share with
 each other stays. A null doc_id comes before all others. An empty table gives no rows. All columns are kept; the text is
-replaced.
+replaced, and so is a column that has the name of a new one.
 """
 
 from __future__ import annotations
@@ -55,16 +55,17 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 def spans(words: np.ndarray, cuts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every span: its row, the number of its first sentence there, how many sentences it has, and its hash."""
     count = np.diff(rows)
-    runs = np.where(count > RUN, count - RUN + 1, np.minimum(count, 1))
-    row = np.repeat(np.arange(len(count)), runs)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
-    size = np.minimum(count[row], RUN)
-    a, b = cuts[rows[row] + place], cuts[rows[row] + place + size]
+    row = np.repeat(np.arange(len(count)), count)
+    begin = np.arange(len(row))  # sentences of all rows, one after the other
+    last = rows[row + 1]
+    end = np.maximum(begin + np.minimum(RUN, count[row]), np.searchsorted(cuts, cuts[begin] + LEAST_WORDS))
+    keep = end <= last
+    row, begin, end = row[keep], begin[keep], end[keep]
+    place, size = begin - rows[row], end - begin
+    a, b = cuts[begin], cuts[end]
     up, down = _power(len(words) + 1)
     total = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * up[:-1], out=total[1:])
-    keep = b - a >= LEAST_WORDS
-    row, place, size, a, b = (v[keep] for v in (row, place, size, a, b))
     return row, place, size, mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
 
 
@@ -111,16 +112,16 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
                 words, cuts, rows, starts = sentences(data, offsets)
                 row, place, size, codes = spans(words, cuts, rows)
                 again = ~_first_in_row(row, codes)
-                gone = np.zeros(len(cuts), bool)
                 at = rows[row] + place
                 marked = np.zeros(len(cuts), bool)
                 for k in range(end - begin):
                     if shared[begin + k]:
                         marked[rows[k] + np.array(shared[begin + k])] = True
                 again |= marked[at]
-                for k in range(RUN):
-                    some = again & (size > k)
-                    gone[at[some] + k] = True
+                edge = np.zeros(len(cuts) + 1, np.int64)
+                np.add.at(edge, at[again], 1)
+                np.subtract.at(edge, at[again] + size[again], 1)
+                gone = np.cumsum(edge)[: len(cuts)] > 0
                 texts = []
                 edges = np.append(starts, len(data))[cuts]  # where sentences begin in the bytes
                 for k in range(end - begin):
@@ -146,4 +147,5 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     kinds = ", ".join(f"{n} {kept.schema[n].dataType.simpleString()}" for n in inner)
     out = joined.mapInArrow(remove, f"{kinds}{', ' if kinds else ''}text string, n_sentences long, n_removed long")
     back = dict(zip(names, inner, strict=True))
-    return out.select(*(F.col(back.get(c, "text")).alias(c) for c in docs.columns), "n_sentences", "n_removed")
+    new = ("n_sentences", "n_removed")
+    return out.select(*(F.col(back.get(c, "text")).alias(c) for c in docs.columns if c not in new), *new)
