@@ -6,7 +6,8 @@ text score below zero. Tokens are hashed into a fixed number of slots, so the mo
 document a linear-time scan (Ruzzo and Tompa's) finds every maximal scoring segment. Segment scores in clean text follow an
 extreme-value law: their expected number at or above S in n tokens is ``K n exp(-decay S)``, with the decay from
 the clean tokens' weights and K from the clean training documents. A document's evidence is that of its best segment
-and the sum over its significant ones; a logistic curve, fitted on the same training documents, makes it a score.
+and the sum over its significant ones; a logistic curve makes it a score. K and the curve are fitted on the training
+documents, each judged by the counts of the other half of them.
 
 Rows: null, empty and white-space texts have no tokens, no segments, and the score of a document without evidence.
 Repeated rows are scored each; a null doc_id is scored and counts as held out by the fold of the empty text. Without
@@ -21,16 +22,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.labelled import MOST_LABELS, held_out, training_documents
-from strata.llm.ship import ship
+from strata.llm.labelled import FOLDS, MOST_LABELS, held_out, training_documents
+from strata.llm.ship import fold, ship
 from strata.llm.text import slices, word_hashes
 
 SLOT_BITS = 20
-PRIOR = 50.0
-DRIFT = 0.5
+PRIOR = 4.0
+DRIFT = 1.5
 SIGNIFICANT = 0.05  # expected number of such segments in a clean document of that length
 SEGMENTS = "array<struct<first_word: long, last_word: long, score: double, expected: double>>"
 
@@ -48,19 +50,30 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((2, 1 << SLOT_BITS), np.int64)
+    size = 1 << SLOT_BITS
+    total = np.zeros((2, 2 * size), np.int64)  # by label, then by half and slot
     for batch in batches:
-        label = batch.column("label").to_numpy()
+        label, half = batch.column("label").to_numpy(), batch.column("half").to_numpy()
         for row, end, data, offsets in slices(batch.column("text")):
             words, first = word_hashes(data, offsets)
-            toxic = np.repeat(label[row:end], np.diff(first)) == 1
-            slots = _slots(words)
+            n = np.diff(first)
+            toxic = np.repeat(label[row:end], n) == 1
+            slots = _slots(words) + np.repeat(half[row:end], n) * size
             for k in (0, 1):
-                total[k] += np.bincount(slots[toxic == k], minlength=1 << SLOT_BITS)
+                total[k] += np.bincount(slots[toxic == k], minlength=2 * size)
     some = np.flatnonzero(total.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(v) for v in (some, *total[:, some])], ["slot", "other", "toxic"])
 
 
+def _weights(other: np.ndarray, toxic: np.ndarray) -> np.ndarray | None:
+    size, part = np.array([other.sum(), toxic.sum()]), []
+    if not size.all():
+        return None
+    for k, count in enumerate((other, toxic)):
+        part.append(np.log((count + PRIOR * size[k] / size.sum()) / size[k]))
+    return (part[1] - part[0] - DRIFT).astype(np.float32)
+
+
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last, score) of a sequence, in one pass.
 
@@ -133,31 +146,34 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model | None:
     """A model of ``labels.toxic`` from the training folds; None without rows of both classes."""
     ship(docs.sparkSession)
-    training = training_documents(docs, labels, "toxic", most).select("text", "label")
+    half = (fold(F.col("doc_id"), 2 * FOLDS) / FOLDS).cast("int").alias("half")
+    training = training_documents(docs, labels, "toxic", most).select("text", "label", half)
     counted = training.mapInArrow(_count, "slot long, other long, toxic long")
     table = counted.groupBy("slot").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
-    other, toxic = np.zeros(1 << SLOT_BITS), np.zeros(1 << SLOT_BITS)
-    slot = table["slot"].to_numpy()
-    other[slot], toxic[slot] = table["other"].to_numpy(), table["toxic"].to_numpy()
-    size, part = np.array([other.sum(), toxic.sum()]), np.zeros((2, 1 << SLOT_BITS))
-    if not size.all():
+    counts = np.zeros((2, 2 << SLOT_BITS))
+    counts[:, table["slot"].to_numpy()] = table["other"].to_numpy(), table["toxic"].to_numpy()
+    counts = counts.reshape(2, 2, -1)  # label, half, slot
+    weights = _weights(*counts.sum(axis=1))
+    if weights is None:
         return None
-    for k, count in enumerate((other, toxic)):
-        part[k] = np.log((count + PRIOR * size[k] / size.sum()) / size[k])
-    weights = (part[1] - part[0] - DRIFT).astype(np.float32)
-    decay = _decay(weights.astype(np.float64), other / size[0])
+    decay = _decay(weights.astype(np.float64), counts[0].sum(axis=0) / counts[0].sum())
+    # a document's own words don't count when it is judged for the fit: the other half's weights are used
+    apart = [_weights(*counts[:, 1 - h]) for h in (0, 1)]
+    apart = [weights if w is None else w for w in apart]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, n, found in _scan(batch.column("text"), weights):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("label").slice(row, len(n)),
-                        pa.array(n, pa.int64()),
-                        pa.array([[s for _, _, s in f] for f in found], pa.list_(pa.float64())),
-                    ],
-                    ["label", "n", "scores"],
-                )
+            for h in (0, 1):
+                some = batch.filter(pc.equal(batch.column("half"), h))
+                for row, n, found in _scan(some.column("text"), apart[h]):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            some.column("label").slice(row, len(n)),
+                            pa.array(n, pa.int64()),
+                            pa.array([[s for _, _, s in f] for f in found], pa.list_(pa.float64())),
+                        ],
+                        ["label", "n", "scores"],
+                    )
 
     rows = training.mapInArrow(scan, "label int, n long, scores array<double>").toArrow().to_pylist()  # ``most`` rows
     clean = [(r["n"], max(r["scores"], default=0.0)) for r in rows if not r["label"] and r["n"]]
