@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import hyperminhash as H
 from strata.llm.components import components
-from strata.llm.ship import ship
+from strata.llm.ship import ship, tidied
 from strata.llm.text import distinct, mix, shingle_hashes, slices, word_hashes
 from strata.session import written
 
@@ -191,7 +191,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     sketch = written(
-        rows.mapInArrow(_sketch, "doc_id long, n_shingles long, h1 long, h2 long, registers binary"), "sketch"
+        rows.mapInArrow(tidied(_sketch), "doc_id long, n_shingles long, h1 long, h2 long, registers binary"), "sketch"
     )
     same_set = ["n_shingles", "h1", "h2"]
     classes = sketch.filter("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("node"))
@@ -212,7 +212,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     star = written(members.groupBy("node").agg(F.min("leader").alias("star")), "stars")
 
     wanted = rows.join(star.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    sets = written(wanted.mapInArrow(_full, "node long, shingles binary"), "sets")
+    sets = written(wanted.mapInArrow(tidied(_full), "node long, shingles binary"), "sets")
 
     links = written(_star_links(star, sets), "star-links")
     found = _found(star, components(links))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.ship import ship
+from strata.llm.ship import ship, tidied
 from strata.llm.tokens import encoder
 
 CELL_ROWS = 1024
@@ -116,6 +116,6 @@ def pack_documents(
 
     cell = F.pmod(F.xxhash64("doc_id", "text"), F.lit(cells)).alias("cell")
     coded = docs.select(cell, F.col("doc_id").cast("long"), "text").mapInArrow(
-        encode, "cell long, doc_id long, ids binary"
+        tidied(encode), "cell long, doc_id long, ids binary"
     )
     return coded.groupBy("cell").applyInArrow(place, PIECES)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from strata.llm.ship import ship
+from strata.llm.ship import ship, tidied
 from strata.llm.tokens import encoder
 
 NO_ID = -(1 << 63)
@@ -79,7 +79,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         rows.repartitionByRange("doc_id", "__tie")
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
-        .mapInArrow(shard, SHARD)
+        .mapInArrow(tidied(shard), SHARD)
     )
     shards.write.parquet(f"{folder}/shards")
     before = W.Window.orderBy("shard").rowsBetween(W.Window.unboundedPreceding, -1)  # one row for each shard

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import FOLDS, MOST_LABELS, held_out, training_documents
-from strata.llm.ship import fold, ship
+from strata.llm.ship import fold, ship, tidied
 from strata.llm.text import slices, word_hashes
 
 SLOT_BITS = 20
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model |
     ship(docs.sparkSession)
     half = (fold(F.col("doc_id"), 2 * FOLDS) / FOLDS).cast("int").alias("half")
     training = training_documents(docs, labels, "toxic", most).select("text", "label", half)
-    counted = training.mapInArrow(_count, "slot long, other long, toxic long")
+    counted = training.mapInArrow(tidied(_count), "slot long, other long, toxic long")
     table = counted.groupBy("slot").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
     counts = np.zeros((2, 2 << SLOT_BITS))
     counts[:, table["slot"].to_numpy()] = table["other"].to_numpy(), table["toxic"].to_numpy()
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model |
                         ["label", "n", "scores"],
                     )
 
-    rows = training.mapInArrow(scan, "label int, n long, scores array<double>").toArrow().to_pylist()  # ``most`` rows
+    rows = training.mapInArrow(tidied(scan), "label int, n long, scores array<double>").toArrow().to_pylist()  # ``most`` rows
     clean = [(r["n"], max(r["scores"], default=0.0)) for r in rows if not r["label"] and r["n"]]
     constant = float(np.log(max(len(clean), 1)) - np.log(max(sum(n * np.exp(-decay * s) for n, s in clean), 1e-9)))
     x = np.array([_evidence(r["n"], [(0, 0, s) for s in r["scores"]], decay, constant)[0] for r in rows])
@@ -231,7 +231,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     ["doc_id", "n_tokens", "segments", "score"],
                 )
 
-    return rows.mapInArrow(run, f"doc_id long, n_tokens long, segments {SEGMENTS}, score double")
+    return rows.mapInArrow(tidied(run), f"doc_id long, n_tokens long, segments {SEGMENTS}, score double")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
