@@ -186,12 +186,16 @@ def test_contracts(warehouse):
     stored = {n for n in (*contracts.NOT_NULL, *contracts.ONE_CURRENT) if n not in views}
     found = contracts.violations({**{n: w.read(n) for n in stored}, **views}).collect()
     assert len(found) == 83
-    # the landed days hold two unparsable lines and an issue without an author
+    # the landed days hold three unparsable lines and an issue without an author
     assert {(r.check, r.table, r.columns): r.violations for r in found if r.violations} == {
         ("not_null", "staged/issues", "issue_id"): 2,
         ("not_null", "staged/issues", "updated_at"): 2,
         ("not_null", "issues_current", "issue_id"): 2,
         ("not_null", "issues_current", "repository_url"): 2,
+        ("not_null", "staged/releases", "release_id"): 1,
+        ("not_null", "validated/releases", "release_id"): 1,
+        ("not_null", "releases", "release_id"): 1,
+        ("not_null", "releases", "tag_name"): 1,
         ("not_null", "gold/fact_issues", "author_user_sk"): 1,
         ("not_null", "gold/kpi_user_contributions", "user_id"): 1,
     }
