@@ -30,7 +30,7 @@ from strata.session import written
 
 DEPTH = 5
 END = 0xFF  # never a byte of UTF-8
-SLOT_BITS = 24
+SLOT_BITS = 23
 BLOCK_BITS = 17
 HELD_GRAMS = 2_000_000
 MEMO_BITS = 22
