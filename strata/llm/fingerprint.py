@@ -175,7 +175,8 @@ def edited_likeness(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                 yield _edit(held)
                 held = held[-1:]
 
-    spread = both.repartition(len(firsts), "bucket").sortWithinPartitions("bucket", "ghost", "id", "tie", "text")
+    spread = both.repartitionById(len(edges) + 1, F.col("bucket").cast("int"))
+    spread = spread.sortWithinPartitions("bucket", "ghost", "id", "tie", "text")
     return spread.select("bucket", "ghost", "doc_id", "text").mapInArrow(run, EDITED)
 
 
