@@ -27,7 +27,7 @@ from strata.session import written
 FOLDS, HELD = 7, 2
 SAMPLE_ROWS = 4000
 COMMON = 1 << 16
-DOCS_KEY, WORDS_KEY = -1, -2  # of the counts table; common words come below them
+DOCS_KEY, WORDS_KEY, RUNS_KEY = -1, -2, -3  # of the counts table; common words come below them
 
 
 def _common_words(rows: DataFrame) -> np.ndarray:
@@ -75,43 +75,70 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys[part].astype(np.int64)), pa.array(counts[part])], ["key", "n"])
 
         known = shared.value
-        total, n_docs, n_words, held = np.zeros(len(known), np.int64), 0, 0, C.GramCounts()
+        total, n_docs, n_words, n_runs, held = np.zeros(len(known), np.int64), 0, 0, 0, C.GramCounts()
+
+        def runs():
+            held.settle()  # runs of held-out rows have a last bit set and count 0
+            return held.keys >> np.uint64(1), np.where(held.keys & np.uint64(1) == 1, 0, held.counts)
+
         for batch in batches:
+            out_of = batch.column("held_out").to_numpy(zero_copy_only=False)
             for row, end, data, offsets in slices(batch.column("text")):
-                held.add(C.grams(data, offsets)[0])
-                words, _ = word_hashes(data, offsets)
+                found, begins = C.grams(data, offsets)
+                held.add((found << np.uint64(1)) | np.repeat(out_of[row:end], np.diff(begins)).astype(np.uint64))
+                words, first = word_hashes(data, offsets)
+                words = words[np.repeat(~out_of[row:end], np.diff(first))]
                 at, hit = _find(words, known)
                 total += np.bincount(at[hit], minlength=len(known))
-                n_docs, n_words = n_docs + end - row, n_words + len(words)
+                n_docs, n_words = n_docs + int((~out_of[row:end]).sum()), n_words + len(words)
+                n_runs += len(found)
             if len(held.keys) >= 2 * C.HELD_GRAMS:
-                yield from out(held.keys, held.counts)
+                yield from out(*runs())
                 held = C.GramCounts()
-        held.settle()
-        yield from out(held.keys, held.counts)
+        yield from out(*runs())
         some = np.flatnonzero(total)
         yield from out(
-            np.concatenate(([DOCS_KEY, WORDS_KEY], WORDS_KEY - 1 - some)), np.concatenate(([n_docs, n_words], total[some]))
+            np.concatenate(([DOCS_KEY, WORDS_KEY, RUNS_KEY], RUNS_KEY - 1 - some)),
+            np.concatenate(([n_docs, n_words, n_runs], total[some])),
         )
 
-    counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(count, "key long, n long")
+    counted = rows.select("held_out", "text").mapInArrow(count, "key long, n long")
     counts = written(counted.groupBy("key").agg(F.sum("n").alias("n")), "gram-counts")
-    tree = C.tree(counts.filter("key >= 0"))
-    own = counts.filter("key < 0").toArrow()  # COMMON rows and two
+    own = counts.filter("key < 0").toArrow()  # COMMON rows and three
     keys, n = own["key"].to_numpy(), own["n"].to_numpy()
-    n_docs, n_words = (int(n[keys == k].sum()) for k in (DOCS_KEY, WORDS_KEY))
+    n_docs, n_words, n_runs = (int(n[keys == k].sum()) for k in (DOCS_KEY, WORDS_KEY, RUNS_KEY))
     times = np.zeros(len(common), np.int64)
-    times[WORDS_KEY - 1 - keys[keys < WORDS_KEY]] = n[keys < WORDS_KEY]
+    times[RUNS_KEY - 1 - keys[keys < RUNS_KEY]] = n[keys < RUNS_KEY]
 
     rare = _rare_parts(rows, shared)
     others = rare.agg(F.sum("distinct")).first()[0] or 0
     train_tokens = n_words + n_docs
     vocabulary = int(others) + int((times > 0).sum()) + (n_docs > 0)
-    held = spark.sparkContext.broadcast((tree, times))  # of a fixed size
+    held = spark.sparkContext.broadcast(times)  # of a fixed size
+    chunks = 1 + n_runs // C.CHUNK_RUNS
+    by_run = written(C.run_scores(C.by_context(counts.filter("key >= 0")), chunks), "run-scores")
     end_part = float(np.log10(n_docs + 1))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, count_of = held.value
-        known, scorer = shared.value, C.Scorer(model)
+    def ask(table: pa.Table) -> pa.Table:
+        text = table["text"].combine_chunks()
+        keys = C.distinct_runs((data, offsets) for _, _, data, offsets in slices(text))
+        order, edge = C.in_buckets(keys, chunks)
+        some = np.flatnonzero(np.diff(edge))
+        asked = [C.packed(keys[order[edge[k] : edge[k + 1]]]) for k in some]
+        chunk = pa.array(np.full(len(some), table["chunk"][0].as_py()), pa.int64())
+        return pa.table({"chunk": chunk, "bucket": pa.array(some, pa.int64()), "runs": pa.array(asked, pa.binary())})
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        batches = table.combine_chunks().to_batches()
+        keys = C.distinct_runs((data, offsets) for b in batches for _, _, data, offsets in slices(b.column("text")))
+        order, _ = C.in_buckets(keys, chunks)
+        found = np.empty(len(keys), "<f4")
+        answers = answers.sort_by("bucket")["scores"].to_pylist()
+        found[order] = np.concatenate([np.frombuffer(r, "<f4") for r in answers])
+        return pa.Table.from_batches(_score(batches, C.Scorer(C.Known(keys, found))))
+
+    def _score(batches: list[pa.RecordBatch], scorer: C.Scorer) -> Iterator[pa.RecordBatch]:
+        count_of, known = held.value, shared.value
         logs = np.log10(count_of + 1.0)
         for batch in batches:
             for row, end, data, offsets in slices(batch.column("text")):
@@ -132,7 +159,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     ["doc_id", "key", "held_out", "n_tokens", "n_bytes", "known", "part", "score"],
                 )
 
-    scored = rows.mapInArrow(
+    # both sides of the question read the same exchange
+    texts = rows.withColumn("chunk", F.pmod("key", F.lit(chunks))).repartition(chunks, "chunk")
+    asked = texts.groupBy("chunk").applyInArrow(ask, "chunk long, bucket long, runs binary")
+    scored = texts.groupBy("chunk").cogroup(C.answered(by_run, asked).groupBy("chunk")).applyInArrow(
         score,
         "doc_id long, key long, held_out boolean, n_tokens long, n_bytes long, known long, part double, score double",
     )

@@ -111,6 +111,27 @@ def test_next_byte_probabilities_sum_to_one(spark):
         assert np.allclose(scorer(every), tree.bits(every), rtol=1e-6)
 
 
+def test_no_context_is_dropped_from_a_large_tree(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    signs = np.frombuffer(bytes(range(48, 112)), np.uint8)
+    docs = [(k, signs[rng.integers(0, 64, 2500)].tobytes().decode()) for k in range(24)]
+    docs += [(24 + k, docs[k][1][1000:2000] + "é") for k in range(8)]
+    plain = PlainTree([t.encode() for i, t in docs if not held(i, 7, 2)])
+    assert sum(map(len, plain.n)) > 800_000
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    for runs in (context_tree.CHUNK_RUNS, 9000):  # one chunk, and several
+        monkeypatch.setattr(context_tree, "CHUNK_RUNS", runs)
+        got = {r.doc_id: r.score for r in lm_score.score_documents(rows).collect()}
+        for i, t in docs:
+            assert got[i] == pytest.approx(plain.score(t.encode()), rel=1e-6)
+
+
+def test_packed_runs_come_back():
+    keys = np.array([0, 1, 255, 256, 1 << 33, (1 << 48) - 1], np.uint64)
+    assert (context_tree.unpacked(context_tree.packed(keys)) == keys).all()
+    assert len(context_tree.unpacked(context_tree.packed(keys[:0]))) == 0
+
+
 def test_held_out_texts_code_shorter_than_by_word_frequencies(spark):
     r = [r for r in lm_score.score_documents(documents(spark, "/root/testdata/sf0.1")).collect() if r.held_out]
     assert sum(x.score for x in r) > sum(x.base_score for x in r)
