@@ -6,9 +6,9 @@ at the same words wherever they stand. A span begins at any sentence and takes `
 shorter document), or more until it has ``LEAST_WORDS`` words; spans are compared word by word after lower-casing A-Z. The first span of its kind, by (doc_id, position),
 stays; sentences covered by any later one are removed, with the white space behind them.
 
-A document sends each of its different spans once, with the place where it first occurs there; repeats within a document
-are seen without a shuffle. Two shuffles on the span's hash find what several documents share; counting is combined
-before the first, and the second is a join whose hot keys Spark splits.
+A document sends each of its different spans once; repeats within a document are seen without a shuffle. Two shuffles on
+the span's hash find what several documents share; counting is combined before the first, and the second is a join whose
+hot keys Spark splits. A document gets back the hashes of its spans that occur in earlier ones.
 
 Rows: null text stays null, with no sentences. Rows with the same doc_id count as one document: what they share with
 each other stays. A null doc_id comes before all others. An empty table gives no rows. All columns are kept; the text is
@@ -84,15 +84,10 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = batch.column("doc").to_numpy()
         for begin, _, data, offsets in slices(batch.column("text")):
             words, cuts, rows, _ = sentences(data, offsets)
-            row, place, _, codes = spans(words, cuts, rows)
+            row, _, _, codes = spans(words, cuts, rows)
             first = _first_in_row(row, codes)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(codes[first].view(np.int64)),
-                    pa.array(doc[begin + row[first]]),
-                    pa.array(place[first].astype(np.int32)),
-                ],
-                ["span", "doc", "place"],
+                [pa.array(codes[first].view(np.int64)), pa.array(doc[begin + row[first]])], ["span", "doc"]
             )
 
 
@@ -100,24 +95,24 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages removed from the text, and two more columns: n_sentences and n_removed."""
     ship(docs.sparkSession)
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    found = docs.select(doc.alias("doc"), "text").mapInArrow(_emit, "span long, doc long, place int")
+    found = docs.select(doc.alias("doc"), "text").mapInArrow(_emit, "span long, doc long")
     ends = found.groupBy("span").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
     later = found.join(ends.select("span", "first"), "span").filter("doc > first")
-    places = later.groupBy("doc").agg(F.collect_set("place").alias("__places"))
+    known = later.groupBy("doc").agg(F.collect_set("span").alias("__spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared = batch.column("__places").to_pylist()
+            shared = batch.column("__spans")
             for begin, end, data, offsets in slices(batch.column("text")):
                 words, cuts, rows, starts = sentences(data, offsets)
                 row, place, size, codes = spans(words, cuts, rows)
                 again = ~_first_in_row(row, codes)
                 at = rows[row] + place
-                marked = np.zeros(len(cuts), bool)
+                bounds = np.searchsorted(row, np.arange(end - begin + 1))
                 for k in range(end - begin):
-                    if shared[begin + k]:
-                        marked[rows[k] + np.array(shared[begin + k])] = True
-                again |= marked[at]
+                    if shared[begin + k].is_valid:
+                        part = slice(bounds[k], bounds[k + 1])
+                        again[part] |= np.isin(codes[part].view(np.int64), shared[begin + k].values.to_numpy())
                 edge = np.zeros(len(cuts) + 1, np.int64)
                 np.add.at(edge, at[again], 1)
                 np.subtract.at(edge, at[again] + size[again], 1)
@@ -143,7 +138,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     inner = [f"__col{k}" for k in range(len(docs.columns)) if docs.columns[k] != "text"]
     names = [c for c in docs.columns if c != "text"]
     kept = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(names, inner, strict=True)), "text", doc.alias("doc"))
-    joined = kept.join(places, "doc", "left").select(*inner, "text", "__places")
+    joined = kept.join(known, "doc", "left").select(*inner, "text", "__spans")
     kinds = ", ".join(f"{n} {kept.schema[n].dataType.simpleString()}" for n in inner)
     out = joined.mapInArrow(remove, f"{kinds}{', ' if kinds else ''}text string, n_sentences long, n_removed long")
     back = dict(zip(names, inner, strict=True))

@@ -187,6 +187,14 @@ def test_a_long_passage_without_sentence_ends_is_found(spark):
     assert sum(w in left for w in own) < len(own) / 2 and set(words(docs[1][1])) - set(own) <= left
 
 
+def test_different_texts_under_one_id_lose_only_what_repeats(spark):
+    text = lambda c, n: " ".join(f"{c}{k} {c}x{k} {c}y{k} {c}z{k} {c}v{k}." for k in range(n))
+    repeated = text("r", 9)
+    docs = [(1, repeated), (2, f"{text('a', 30)} {repeated}"), (2, text("b", 5)), (3, text("c", 40)), (2, text("d", 4))]
+    got = substring_dedup.drop_repeats(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(r.text.strip() for r in got) == sorted([repeated, *(text(c, n) for c, n in zip("abcd", (30, 5, 40, 4)))])
+
+
 def test_repeats_of_odd_rows(odd, nothing):
     got = substring_dedup.drop_repeats(odd)
     assert got.columns == [c for c in odd.columns if c != "n_sentences"] + ["n_sentences", "n_removed"]
