@@ -1,10 +1,17 @@
-"""Repeated passages: every run of several consecutive sentences is hashed, and what repeats is removed but once.
+"""Repeated passages: runs of consecutive pieces of sentences are hashed, and what repeats is removed but once.
 
-A sentence ends with a word whose last byte is ``.``, ``!`` or ``?``, or before a line end. Where more than ``LONG`` words
-go by without such an end, words whose hash is divisible by ``CUT`` end one too, so that long lists and tables are cut
-at the same words wherever they stand. A span begins at any sentence and takes ``RUN`` sentences in a row (all of a
-shorter document), or more until it has ``LEAST_WORDS`` words; spans are compared word by word after lower-casing A-Z. The first span of its kind, by (doc_id, position),
-stays; sentences covered by any later one are removed, with the white space behind them.
+A sentence ends with a word whose last byte is ``.``, ``!`` or ``?``, or before a line end. Sentences of more than ``LONG``
+words are cut into pieces: of every ``WINDOW`` words of one, the word with the smallest hash (the last such) ends a piece, so
+that cuts follow from the words around them and are never further apart than that. A span begins at any piece and takes
+pieces until it has ``SPAN_WORDS`` words; one that begins at a sentence also takes ``RUN`` sentences in a row (all of a
+shorter document), or more until it has ``LEAST_WORDS`` words. Spans are compared word by word after lower-casing A-Z.
+
+Of a passage that stands in mid-sentence at most 2 * ``WINDOW`` - 1 words are lost before the first common cut, and 2 *
+``WINDOW`` - 2 (or ``LONG``) after the last; a piece has ``LONG`` words at most. So a passage of 21 + ``SPAN_WORDS`` + ``LONG`` - 1
+= 51 words always holds a common span, wherever it stands.
+
+The first span of its kind, by (doc_id, position),
+stays; pieces covered by any later one are removed, with the white space behind them.
 
 A document sends each of its different spans once; repeats within a document are seen without a shuffle. Two shuffles on
 the span's hash find what several documents share; counting is combined before the first, and the second is a join whose
@@ -29,38 +36,62 @@ from strata.llm.text import _power, mix, slices, word_bounds, word_hashes
 
 RUN = 3
 LEAST_WORDS = 12
-LONG = 24
-CUT = 8
+LONG = 10
+WINDOW = 6
+SPAN_WORDS = 21
 NO_ID = -(1 << 63)
 
 
-def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of words, the number of the first word of each sentence (and one past the last), for each row the number
-    of its first sentence, and where words begin in the bytes."""
+def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of words, the number of the first word of each piece (and one past the last), for each row the number of
+    its first piece, the numbers of pieces that begin a sentence, and where words begin in the bytes."""
     starts, ends, first = word_bounds(data, offsets)
     words, _ = word_hashes(data, offsets)
     if not len(words):
-        return words, np.zeros(1, np.int64), np.zeros(len(offsets), np.int64), starts
+        return words, np.zeros(1, np.int64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64), starts
     line_ends = np.concatenate(([0], np.cumsum(data == 0x0A)))
     last = np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8))
     last[:-1] |= line_ends[starts[1:]] > line_ends[ends[:-1]]
     last[first[1:][np.diff(first) > 0] - 1] = True
     begin = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1))
-    long = np.repeat(np.diff(np.append(begin, len(words))) > LONG, np.diff(np.append(begin, len(words))))
-    last |= long & (words % np.uint64(CUT) == 0)
+    size = np.diff(np.append(begin, len(words)))
+    left = np.repeat(begin + size, size) - np.arange(len(words))  # words of the sentence from this one on
+    window = np.flatnonzero(np.repeat(size > LONG, size) & (left >= WINDOW))
+    least, at = words[window], window.copy()
+    for k in range(1, WINDOW):
+        other = words[window + k]
+        at = np.where(other <= least, window + k, at)
+        least = np.minimum(other, least)
+    last[at] = True
     cuts = np.concatenate(([0], np.flatnonzero(last) + 1))
-    return words, cuts, np.searchsorted(cuts[:-1], first), starts
+    return words, cuts, np.searchsorted(cuts[:-1], first), np.searchsorted(cuts, begin), starts
 
 
-def spans(words: np.ndarray, cuts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every span: its row, the number of its first sentence there, how many sentences it has, and its hash."""
+def spans(
+    words: np.ndarray, cuts: np.ndarray, rows: np.ndarray, heads: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every span: its row, the number of its first piece there, how many pieces it has, and its hash."""
     count = np.diff(rows)
     row = np.repeat(np.arange(len(count)), count)
-    begin = np.arange(len(row))  # sentences of all rows, one after the other
-    last = rows[row + 1]
-    end = np.maximum(begin + np.minimum(RUN, count[row]), np.searchsorted(cuts, cuts[begin] + LEAST_WORDS))
-    keep = end <= last
-    row, begin, end = row[keep], begin[keep], end[keep]
+    begin = np.arange(len(row))  # pieces of all rows, one after the other
+    end = np.searchsorted(cuts, cuts[begin] + SPAN_WORDS)
+
+    edges = np.append(heads, len(row))  # sentences of all rows
+    of_row = np.searchsorted(heads, rows)
+    whose, k = row[heads], np.arange(len(heads))
+    run = np.maximum(
+        k + np.minimum(RUN, np.diff(of_row)[whose]), np.searchsorted(cuts[edges], cuts[heads] + LEAST_WORDS)
+    )
+    keep = run <= of_row[whose + 1]
+    start, stop = heads[keep], edges[run[keep]]
+    shorter = np.full(len(row), len(row) + 1)
+    shorter[start] = stop
+    keep = (end <= rows[row + 1]) & (end < shorter)
+
+    begin, end = np.concatenate((begin[keep], start)), np.concatenate((end[keep], stop))
+    order = np.lexsort((end, begin))
+    begin, end = begin[order], end[order]
+    row = row[begin]
     place, size = begin - rows[row], end - begin
     a, b = cuts[begin], cuts[end]
     up, down = _power(len(words) + 1)
@@ -83,8 +114,8 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         doc = batch.column("doc").to_numpy()
         for begin, _, data, offsets in slices(batch.column("text")):
-            words, cuts, rows, _ = sentences(data, offsets)
-            row, _, _, codes = spans(words, cuts, rows)
+            words, cuts, rows, heads, _ = sentences(data, offsets)
+            row, _, _, codes = spans(words, cuts, rows, heads)
             first = _first_in_row(row, codes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(codes[first].view(np.int64)), pa.array(doc[begin + row[first]])], ["span", "doc"]
@@ -92,7 +123,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated passages removed from the text, and two more columns: n_sentences and n_removed."""
+    """``docs`` with repeated passages removed from the text, and two more columns: n_sentences and n_removed (pieces)."""
     ship(docs.sparkSession)
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     found = docs.select(doc.alias("doc"), "text").mapInArrow(_emit, "span long, doc long")
@@ -104,8 +135,8 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             shared = batch.column("__spans")
             for begin, end, data, offsets in slices(batch.column("text")):
-                words, cuts, rows, starts = sentences(data, offsets)
-                row, place, size, codes = spans(words, cuts, rows)
+                words, cuts, rows, heads, starts = sentences(data, offsets)
+                row, place, size, codes = spans(words, cuts, rows, heads)
                 again = ~_first_in_row(row, codes)
                 at = rows[row] + place
                 bounds = np.searchsorted(row, np.arange(end - begin + 1))

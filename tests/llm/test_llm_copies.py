@@ -187,6 +187,20 @@ def test_a_long_passage_without_sentence_ends_is_found(spark):
     assert sum(w in left for w in own) < len(own) / 2 and set(words(docs[1][1])) - set(own) <= left
 
 
+@pytest.mark.parametrize("ends", [0, 1 / 20, 1 / 8])
+def test_every_passage_of_51_words_in_mid_sentence_is_found(spark, ends):
+    rng = random.Random(9)
+    plain = lambda n: " ".join(f"w{rng.randrange(10**6)}{'.' if rng.random() < ends else ''}" for _ in range(n))
+    passages = [plain(51 + k % 10) for k in range(300)]
+    docs = [(2 * k + j, f"{plain(rng.randrange(40))} u{j} {p} v{j} {plain(rng.randrange(40))}") for k, p in enumerate(passages) for j in (0, 1)]
+    got = {r.doc_id: r for r in substring_dedup.drop_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, p in enumerate(passages):
+        left, own = set(words(got[2 * k + 1].text)), words(p)
+        assert got[2 * k].n_removed == 0
+        assert sum(w not in left for w in own) >= substring_dedup.SPAN_WORDS or (ends and got[2 * k + 1].n_removed >= 3)
+        assert set(words(docs[2 * k + 1][1])) - set(own) <= left
+
+
 def test_different_texts_under_one_id_lose_only_what_repeats(spark):
     text = lambda c, n: " ".join(f"{c}{k} {c}x{k} {c}y{k} {c}z{k} {c}v{k}." for k in range(n))
     repeated = text("r", 9)
