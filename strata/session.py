@@ -6,7 +6,7 @@ import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +82,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_alone(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Like :func:`written`, for what ``make`` returns; the helper tables it makes on the way go once that is written."""
+    path = scratch_dir(spark, label)
+    with scratch_scope(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 @contextlib.contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Like :func:`written`, for the time of one block; the files go when the block ends."""
