@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from strata.llm.exact_dedup import SQL as EXACT_SQL
 from strata.llm.exact_dedup import exact_copies
 from strata.llm.fingerprint import edited_likeness
+from strata.llm.html_extract import extract_text
 from strata.llm.lm_score import score_documents
 from strata.llm.mixing import SQL as MIXING_SQL
 from strata.llm.mixing import mixture
 from strata.llm.near_dedup import near_components
 from strata.llm.packing import pack_documents
+from strata.llm.periodic_runs import periodic_runs, run_digests, tail_repeated
 from strata.llm.quality import score_quality
 from strata.llm.ship import documents
+from strata.llm.spelling import variant_forms, word_counts
 from strata.llm.substring_dedup import drop_repeats
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.llm.tokens import tokenizer_path
@@ -103,3 +106,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labelled ones outside fold 0."""
     scored = score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored.select("doc_id", "held_out", "score", "predicted", "n_tokens", F.size("segments").alias("n_segments"))
+
+
+@register()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, a tenth of which get a repeated tail first."""
+    docs = documents(spark, sf_dir)
+    return run_digests(periodic_runs(docs.select("doc_id", tail_repeated(docs["doc_id"], docs["text"]).alias("text"))))
+
+
+@register()
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of all words of all documents, one in 31 of which loses a letter first."""
+    return variant_forms(word_counts(documents(spark, sf_dir), slips=31))
+
+
+@register()
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))

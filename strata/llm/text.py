@@ -95,6 +95,11 @@ def range_hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return _ranges(data, bounds[:-1], bounds[1:])
 
 
+def range_word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word, case kept."""
+    return _ranges(data, starts, ends)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every word, and for each row (and one past it) the number of its first word."""
     starts, ends, first = word_bounds(data, offsets)
