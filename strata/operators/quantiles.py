@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strata.session import written
@@ -21,52 +22,99 @@ def exact_quantile(
     return quantile_of_counts(value_counts(df, value, keys, weight), keys, value, p, name)
 
 
-def quantile_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, p: float, name: str, times: str = "n_rows"
-) -> DataFrame:
-    """The same from counted values (each value at most once per group).
+#: counted values that one pass of windows over their groups takes; beyond it they are put in order over all tasks
+FEW_COUNTS = 4_000_000
+
+
+@dataclass(frozen=True)
+class RankIndex:
+    """Counted values in order, with prefix totals: answers any quantiles of any group without sorting again.
+
+    ``values``: group, ``__v``, ``__n`` and its part ``__b``; ``parts``: group, ``__b``, the group's rows before that part and in it, and
+    in all. Where there are few counts, a group is one part (``parts`` is None).
+    """
 
-    The built-in exact percentile keeps every distinct value of a group in one task's memory. Here counted values
-    are put in order over all tasks by splitters that Spark samples from them, and written once with the number of
-    their partition: however the values are spread, and whatever share of the rows a group has, no partition is much
-    larger than the others. Partition totals say which one or two partitions of a group hold the wanted ranks, and
-    only those are looked into. Values are compared as they are: integers and decimals exactly, NaN above all others.
+    keys: tuple[str, ...]
+    values: DataFrame
+    parts: DataFrame | None
+
+    def quantiles(self, wanted: dict[str, float], groups: DataFrame | None = None) -> DataFrame:
+        """Linearly interpolated quantiles as ``keys + names``, all from one pass; ``groups`` asks for some groups only.
+
+        Of the parts only those are read on that hold a wanted rank.
+        """
+        keys, values, parts = list(self.keys), self.values, self.parts
+        by = [F.col(k) for k in keys]
+        if groups is not None:
+            values, parts = _of_groups(values, groups, keys), None if parts is None else _of_groups(parts, groups, keys)
+        running = Window.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        if parts is None:
+            ranked = values.withColumn("__end", F.sum("__n").over(running.partitionBy(*by)))
+            ranked = ranked.withColumn("__all", F.sum("__n").over(Window.partitionBy(*by)))
+        else:
+            position = lambda p: (F.col("__all") - 1) * F.lit(float(p))
+            upto = F.col("__before") + F.col("__in")
+            hits = [(F.col("__before") <= F.ceil(position(p))) & (F.floor(position(p)) < upto) for p in wanted.values()]
+            other = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+            chosen = parts.filter(reduce(Column.__or__, hits)).select(*other, F.col("__b").alias("__wb"), "__before", "__all")
+            same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+            ranked = values.join(chosen, reduce(Column.__and__, [*same, F.col("__b") == F.col("__wb")]))
+            end = F.col("__before") + F.sum("__n").over(running.partitionBy(*by, "__b"))
+            ranked = ranked.withColumn("__end", end)
+
+        def at(rank: Column) -> Column:
+            return F.max(F.when((F.col("__end") - F.col("__n") <= rank) & (rank < F.col("__end")), F.col("__v")))
+
+        found, out = [], []
+        for i, (name, p) in enumerate(wanted.items()):
+            place = (F.col("__all") - 1) * F.lit(float(p))
+            found += [at(F.floor(place)).alias(f"__lo{i}"), at(F.ceil(place)).alias(f"__hi{i}")]
+            place = (F.col("__rows") - 1) * F.lit(float(p))
+            low, high = F.col(f"__lo{i}").cast("double"), F.col(f"__hi{i}").cast("double")
+            between = low + (high - low) * (place - F.floor(place))
+            out.append(F.when(F.col(f"__lo{i}") == F.col(f"__hi{i}"), low).otherwise(between).alias(name))
+        return ranked.groupBy(*keys).agg(*found, F.max("__all").alias("__rows")).select(*keys, *out)
+
+
+def _of_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    other = groups.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(keys)])
+    return rows.join(other, same, "left_semi")
+
+
+def rank_index(
+    counts: DataFrame, keys: Sequence[str], value: str, times: str = "n_rows", few: int = FEW_COUNTS
+) -> RankIndex:
+    """Rank index of counted values (each value at most once per group; nulls and counts of 0 are left out).
+
+    The built-in exact percentile keeps every distinct value of a group in one task's memory. Here the counts are written
+    once. If they are at most ``few`` in all, so is any group, and a window per group ranks them. Else they are put in order
+    over all tasks by splitters that Spark samples from what was written, and their number of partition is kept: however the
+    values are spread, and whatever share of the rows a group has, no partition is much larger than the others. Both ways
+    are exact. Values are compared as they are: integers and decimals exactly, NaN above all others.
     """
-    parts = [F.col(k) for k in keys]
     rows = counts.filter(F.col(value).isNotNull() & (F.col(times) > 0)).select(
         *keys, F.col(value).alias("__v"), F.col(times).cast("long").alias("__n")
     )
-    placed = written(rows.repartitionByRange(*keys, "__v").withColumn("__b", F.spark_partition_id()), "ordered-values")
-    running = Window.partitionBy(*parts).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = (
-        placed.groupBy(*keys, "__b")
-        .agg(F.sum("__n").alias("__in"))
-        .withColumn("__upto", F.sum("__in").over(running))
-        .withColumn("__pos", (F.sum("__in").over(Window.partitionBy(*parts)) - 1) * F.lit(float(p)))
+    seen = Observation()
+    stored = written(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "counted-values")
+    if seen.get["rows"] <= few:
+        return RankIndex(tuple(keys), stored, None)
+    by = [F.col(k) for k in keys]
+    placed = written(stored.repartitionByRange(*keys, "__v").withColumn("__b", F.spark_partition_id()), "ordered-values")
+    before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = placed.groupBy(*keys, "__b").agg(F.sum("__n").alias("__in"))
+    parts = totals.withColumn("__before", F.sum("__in").over(before) - F.col("__in")).withColumn(
+        "__all", F.sum("__in").over(Window.partitionBy(*by))
     )
-    hit = (F.col("__upto") - F.col("__in") <= F.ceil("__pos")) & (F.floor("__pos") < F.col("__upto"))
-    wanted = totals.filter(hit).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col("__b").alias("__wb"),
-        (F.col("__upto") - F.col("__in")).alias("__before"),
-        F.col("__pos"),
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    on = reduce(Column.__and__, [*same, F.col("__b") == F.col("__wb")])
-    within = (
-        Window.partitionBy(*parts, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = placed.join(wanted, on).withColumn("__end", F.col("__before") + F.sum("__n").over(within))
+    return RankIndex(tuple(keys), placed, written(parts, "rank-parts"))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("__end") - F.col("__n") <= rank) & (rank < F.col("__end")), F.col("__v")))
 
-    found = ranked.groupBy(*keys).agg(
-        at(F.floor("__pos")).alias("__lo"), at(F.ceil("__pos")).alias("__hi"), F.first("__pos").alias("__pos")
-    )
-    low, high, part = F.col("__lo").cast("double"), F.col("__hi").cast("double"), F.col("__pos") - F.floor("__pos")
-    between = low + (high - low) * part
-    return found.select(*keys, F.when(F.col("__lo") == F.col("__hi"), low).otherwise(between).alias(name))
+def quantile_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str, p: float, name: str, times: str = "n_rows"
+) -> DataFrame:
+    """One quantile of counted values (each value at most once per group); see :func:`rank_index`."""
+    return rank_index(counts, keys, value, times).quantiles({name: p})
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: str | None = None) -> DataFrame:

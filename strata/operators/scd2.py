@@ -36,6 +36,47 @@ def scd2_apply(
     in a single full outer join. ``refresh`` names columns that an open version takes from the batch without a new
     version, when the batch holds the same ``valid_from`` (measures that arrive later than their record).
     """
+    _check(strategy, updated_at, check_cols, as_of, hard_deletes)
+    fresh = _versions_of(source, keys, strategy, updated_at, as_of)
+    if target is None:
+        return fresh
+    opened = target.filter(F.col("valid_to").isNull())
+    kept, added = _met(opened, fresh, keys, strategy, check_cols, as_of, hard_deletes, refresh)
+    rows = _paired(opened, fresh, keys).select(F.explode(F.array_compact(F.array(kept, added))).alias("v")).select("v.*")
+    return target.filter(F.col("valid_to").isNotNull()).unionByName(rows.select(*target.columns))
+
+
+def scd2_changes(
+    opened: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    strategy: str,
+    updated_at: str | None = None,
+    check_cols: Sequence[str] = (),
+    as_of: Column | None = None,
+    hard_deletes: str = "ignore",
+    refresh: Sequence[str] = (),
+) -> DataFrame:
+    """Only the versions that a batch changes, each with its ``change``: ``opened``, ``closed`` or ``refreshed``.
+
+    ``opened`` holds the open versions. Arguments as for :func:`scd2_apply`, which gives the same versions among all.
+    """
+    _check(strategy, updated_at, check_cols, as_of, hard_deletes)
+    fresh = _versions_of(source, keys, strategy, updated_at, as_of)
+    if opened is None:
+        return fresh.withColumn("change", F.lit("opened"))
+    kept, added = _met(opened, fresh, keys, strategy, check_cols, as_of, hard_deletes, refresh)
+    differs = reduce(Column.__or__, [~F.col(f"o.{c}").eqNullSafe(kept.getField(c)) for c in refresh], F.lit(False))
+    change = F.when(kept.getField("valid_to").isNotNull(), "closed").when(differs, "refreshed")
+    pair = F.array(
+        F.when(change.isNotNull(), F.struct(kept.alias("v"), change.alias("change"))),
+        F.when(added.isNotNull(), F.struct(added.alias("v"), F.lit("opened").alias("change"))),
+    )
+    rows = _paired(opened, fresh, keys).select(F.explode(F.array_compact(pair)).alias("c"))
+    return rows.select("c.v.*", "c.change").select(*opened.columns, "change")
+
+
+def _check(strategy: str, updated_at: str | None, check_cols: Sequence[str], as_of: Column | None, hard_deletes: str) -> None:
     if strategy == "timestamp":
         if updated_at is None:
             raise ValueError("the timestamp strategy needs updated_at")
@@ -46,19 +87,32 @@ def scd2_apply(
     if hard_deletes == "close" and as_of is None:
         raise ValueError("closing deleted keys needs as_of")
 
+
+def _versions_of(source: DataFrame, keys: Sequence[str], strategy: str, updated_at: str | None, as_of: Column | None) -> DataFrame:
+    """The batch as versions that would open."""
     starts = F.col(updated_at) if strategy == "timestamp" else as_of
     fresh = source.dropna(subset=list(keys))
     fresh = fresh.withColumn("valid_from", starts).withColumn("valid_to", F.lit(None).cast(_type(fresh, starts)))
-    fresh = fresh.withColumn("scd_id", scd_id(keys))
-    if target is None:
-        return fresh
+    return fresh.withColumn("scd_id", scd_id(keys))
+
 
-    columns = target.columns
-    old = F.struct(*[F.col(c) for c in columns])
-    opened = target.filter(F.col("valid_to").isNull()).select(*keys, old.alias("o"))
-    batch = fresh.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("n"))
-    paired = opened.join(batch, list(keys), "full_outer")
+def _paired(opened: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Open version ``o`` and batch version ``n`` of every key, in a single full outer join."""
+    row = F.struct(*[F.col(c) for c in opened.columns])
+    return opened.select(*keys, row.alias("o")).join(fresh.select(*keys, row.alias("n")), list(keys), "full_outer")
 
+
+def _met(
+    opened: DataFrame,
+    fresh: DataFrame,
+    keys: Sequence[str],
+    strategy: str,
+    check_cols: Sequence[str],
+    as_of: Column | None,
+    hard_deletes: str,
+    refresh: Sequence[str],
+) -> tuple[Column, Column]:
+    """Over :func:`_paired`: the open version after the batch, and the version the batch opens; null where there is none."""
     has_old, has_new = F.col("o").isNotNull(), F.col("n").isNotNull()
     if strategy == "timestamp":
         moved = F.col("n.valid_from") > F.col("o.valid_from")
@@ -68,14 +122,11 @@ def scd2_apply(
     until = F.when(changed, F.col("n.valid_from"))
     if hard_deletes == "close":
         until = until.when(~has_new, as_of)
-    kept = F.col("o").withField("valid_to", until.cast(target.schema["valid_to"].dataType))
+    kept = F.col("o").withField("valid_to", until.cast(opened.schema["valid_to"].dataType))
     same = has_new & F.col("n.valid_from").eqNullSafe(F.col("o.valid_from"))
     for c in refresh:
         kept = kept.withField(c, F.when(same, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")))
-    kept = F.when(has_old, kept)
-    added = F.when(has_new & (~has_old | changed), F.col("n"))
-    rows = paired.select(F.explode(F.array_compact(F.array(kept, added))).alias("v")).select("v.*")
-    return target.filter(F.col("valid_to").isNotNull()).unionByName(rows.select(*columns))
+    return F.when(has_old, kept), F.when(has_new & (~has_old | changed), F.col("n"))
 
 
 def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:

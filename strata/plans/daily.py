@@ -1,25 +1,30 @@
 """One day's run: landed lines to bronze, history, star schema and KPI tables.
 
 Each step is a DataFrame function from the other modules; this one only names the tables they read and write.
-A step takes what is newer than its own target, so a run that stopped half-way is finished by the next one.
+A step takes what is newer than its own target, so a run that stopped half-way is finished by the next one. Keyed tables are
+logged tables (``sources.changes``): each step reads the changed rows of the step before, and remembers with its own data how
+far it has read. Tables that are refreshed as a whole are replaced by versions, so none is ever missing.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import dedup_latest
-from strata.operators.incremental import hwm_filter, lookback_filter
-from strata.operators.quality import clean
+from strata.operators.incremental import lookback_filter
+from strata.operators.quality import FAILED, FLAG, clean
 from strata.plans import gold, kpis, silver, staging, validated
+from strata.plans.kpi_state import KpiState
 from strata.plans.staging import INGEST
 from strata.session import scratch_scope
 from strata.sources import bronze, files, tables
-from strata.sources.tables import hash_bucket, read_table
+from strata.sources.changes import CHANGE, NUMBER, ChangeLog, merge_logged, rows_of_keys, snapshot_logged, upsert_logged
+from strata.sources.tables import BUCKET, hash_bucket, read_or_none, read_table
+from strata.sources.versions import overwrite_table
 
 LOADS = "loads"  # ingestion dates and the moments they were loaded at
 KPIS = ("kpi_repo_health", "kpi_time_series", "kpi_user_contributions", "kpi_pr_complexity")
@@ -31,7 +36,8 @@ class Options:
     a day's changes, mostly to recent ids, touch few partitions. ``legacy_lookback``: facts take what was updated
     within ``lookback_days`` of their newest row (with ``per_repo_lookback`` counted per repository) instead of what
     arrived since; a backfill of old records then stays out. ``legacy_calendar``: start the calendar at the first
-    issue."""
+    issue, and compute the KPIs from whole facts. ``full_kpis`` does only the latter.
+    ``hard_deletes="close"``: repositories that are no longer listed are closed in their history."""
 
     buckets: int = 16
     id_width: int | None = None
@@ -39,6 +45,8 @@ class Options:
     per_repo_lookback: bool = False
     legacy_calendar: bool = False
     lookback_days: int = 3
+    full_kpis: bool = False
+    hard_deletes: str = "ignore"
 
 
 class Warehouse:
@@ -46,6 +54,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, options: Options = Options()):
         self.spark, self.root, self.options = spark, root.rstrip("/"), options
+        self.moment: str | None = None  # of the run at work
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -63,13 +72,34 @@ class Warehouse:
         The load log says in which ingestion dates they are, so both filters are literals: other partitions are not
         listed for the scan and their files not opened. A date that was loaded again counts by its newest load.
         """
-        done = self.read(target)
-        newest = None if done is None else done.agg(F.max(INGEST)).first()[0]
+        newest = self.marks(target).get("bronze")
+        if newest is None:  # written before marks were kept
+            done = self.read(target)
+            newest = None if done is None else done.agg(F.max(INGEST)).first()[0]
         if newest is None:
             return lines
-        log = self.read(LOADS).filter(F.col(INGEST) > F.lit(newest))
+        newest = F.lit(newest).cast("timestamp")
+        log = self.read(LOADS).filter(F.col(INGEST) > newest)
         dates = [r[0] for r in log.select("ingestion_date").distinct().collect()]  # dates since the last run
-        return lines.filter(F.col("_ingestion_date").isin(dates) & (F.col(INGEST) > F.lit(newest)))
+        return lines.filter(F.col("_ingestion_date").isin(dates) & (F.col(INGEST) > newest))
+
+    def marks(self, name: str) -> dict:
+        """How far the table's last write had read its sources; a small file, written with the data."""
+        return ChangeLog(self.spark, self.path(name)).marks()
+
+    def changes(self, source: str, target: str) -> tuple[DataFrame | None, dict[str, int]]:
+        """What ``source`` has changed since ``target`` took from it, and the mark to leave there."""
+        log = ChangeLog(self.spark, self.path(source))
+        return log.since(self.marks(target).get(source, 0)), {source: log.newest()}
+
+    def latest(self, source: str, target: str, keys: list[str], order: list[str]) -> tuple[DataFrame | None, dict[str, int]]:
+        """Of every changed key the row that holds now, as it stands in the feed."""
+        feed, mark = self.changes(source, target)
+        if feed is None:
+            return None, mark
+        rows = feed.filter(F.col(CHANGE).isin("after", "opened", "refreshed"))
+        newest = dedup_latest(rows, keys, [NUMBER, *order], tie_break=(), null_keys="drop")
+        return newest.drop(CHANGE, NUMBER, BUCKET), mark
 
     def newest_date(self, resource: str) -> str | None:
         return files.newest_partition(self.spark, self.path(f"bronze/{resource}"), "_ingestion_date")
@@ -81,12 +111,21 @@ class Warehouse:
         width = self.options.id_width
         return tables.range_bucket(key, width) if width else hash_bucket([key], self.options.buckets)
 
-    def upsert(self, name: str, updates: DataFrame, key: str, newer_by: list[str] | None = None) -> None:
-        tables.upsert_table(self.spark, self.path(name), updates, [key], self.bucket(key), newer_by)
+    def upsert(
+        self, name: str, updates: DataFrame, key: str, newer_by: list[str] | None = None, marks: dict | None = None
+    ) -> None:
+        upsert_logged(self.spark, self.path(name), updates, [key], self.bucket(key), newer_by, marks)
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        return overwrite_table(df, self.path(name))
+
+    def rows_of(self, name: str, wanted: DataFrame, key: str) -> DataFrame:
+        """Rows of a keyed table; buckets without wanted keys are not opened."""
+        return rows_of_keys(read_or_none(self.spark, self.path(name)), wanted, [key], self.bucket(key)).drop(BUCKET)
+
+    def kpi_state(self) -> KpiState:
+        facts = self.path("gold/fact_issues"), self.path("gold/fact_pull_requests")
+        return KpiState(self.spark, self.path("kpi_state"), *facts, buckets=self.options.buckets)
 
 
 def run_day(
@@ -104,10 +143,11 @@ def run_day(
     earlier run's is refused before anything is written. ``boundaries`` (repo, boundary) are committed once bronze
     holds the extracted records.
     """
-    run_id, as_of = f"{ingestion_date}-{re.sub(r'[^0-9]', '', as_of)}", F.lit(as_of).cast("timestamp")
+    warehouse.moment = as_of
+    as_of = F.lit(as_of).cast("timestamp")
     log_load(warehouse, ingestion_date, as_of)
     with scratch_scope(spark):
-        return _run(spark, raw_root, warehouse, ingestion_date, as_of, run_id, boundaries, export_path)
+        return _run(spark, raw_root, warehouse, ingestion_date, as_of, boundaries, export_path)
 
 
 def _run(
@@ -116,21 +156,21 @@ def _run(
     warehouse: Warehouse,
     ingestion_date: str,
     as_of: Column,
-    run_id: str,
     boundaries: DataFrame | None,
     export_path: str | None,
 ) -> DataFrame:
     loaded = bronze.load_all(spark, raw_root, warehouse.path("bronze"), ingestion_date, as_of)
     if boundaries is not None:
         commit_watermarks(warehouse, boundaries)
-    repos = refresh_repositories(warehouse, as_of, run_id)
+    repos = refresh_repositories(warehouse, as_of)
     refresh_issues(warehouse, repos, ingestion_date)
     refresh_pull_requests(warehouse, repos, ingestion_date)
     refresh_releases(warehouse, repos, ingestion_date)
     refresh_languages(warehouse, repos)
-    snapshot(warehouse, "validated/issues", "history/issues", "issue_id", run_id)
-    late = [*staging.DETAIL_MEASURES, INGEST]  # details that come after their pull request open no version
-    snapshot(warehouse, "validated/pull_requests", "history/pull_requests", "pull_request_id", run_id, late)
+    # what comes later than its record opens no version: a repository that gets known, details of a pull request
+    snapshot(warehouse, "validated/issues", "history/issues", "issue_id", ["repository_id"])
+    late = ["repository_id", *staging.DETAIL_MEASURES, INGEST]
+    snapshot(warehouse, "validated/pull_requests", "history/pull_requests", "pull_request_id", late)
     refresh_gold(warehouse, as_of)
     refresh_kpis(warehouse, as_of)
     if export_path:
@@ -153,14 +193,14 @@ def commit_watermarks(w: Warehouse, boundaries: DataFrame) -> None:
     tables.upsert_table(w.spark, w.path("watermarks"), boundaries.select("repo", "boundary"), ["repo"], F.lit(0))
 
 
-def refresh_repositories(w: Warehouse, as_of: Column, run_id: str) -> DataFrame:
+def refresh_repositories(w: Warehouse, as_of: Column) -> DataFrame:
     """Newest repository population, its history by business columns; returns the staged repositories."""
     newest = staging.stage_repositories(w.bronze("repositories"), w.newest_date("repositories"))
     staged = w.overwrite("staged/repositories", newest)
     judged = w.overwrite("validated/repositories", validated.validate_repositories(staged))
-    tables.snapshot_by_check(
-        w.spark, w.path("history/repositories"), clean(judged), ["repository_id"],
-        silver.REPOSITORY_CHECK_COLUMNS, as_of, w.bucket("repository_id"), run_id,
+    snapshot_logged(
+        w.spark, w.path("history/repositories"), clean(judged), ["repository_id"], w.bucket("repository_id"), "check",
+        check_cols=silver.REPOSITORY_CHECK_COLUMNS, as_of=as_of, hard_deletes=w.options.hard_deletes,
     )
     return staged
 
@@ -175,42 +215,88 @@ def of_date(df: DataFrame, ingestion_date: str) -> DataFrame:
     return df.filter(F.col("_ingestion_date") == ingestion_date)
 
 
+# how a record names its repository, and the judgement that looks it up
+REFERENCES = {
+    "issues": (lambda: validated.name_in_url("repository_url"), validated.owner_and_name, validated.judge_issues),
+    "pull_requests": (lambda: F.col("canonical_repo_name"), validated.owner_and_name, validated.validate_pull_requests),
+}
+
+
+def with_late(w: Warehouse, name: str, judged: DataFrame, repos: DataFrame, key: str) -> DataFrame:
+    """``judged`` and, judged again, the stored rows whose repository was unknown and is known by now.
+
+    The keys that wait for a repository are a small table of their own; no other row is looked at.
+    """
+    waiting = w.read(f"pending/{name}")
+    if waiting is None:
+        return judged
+    ours, theirs, judge = REFERENCES[name]
+    known = waiting.join(repos.select(theirs().alias("__name")), ours() == F.col("__name"), "left_semi").select(key)
+    late = w.rows_of(f"validated/{name}", known.join(judged.select(key), key, "left_anti"), key)
+    late = judge(late.drop("repository_id", FAILED, FLAG), repos)
+    return judged.unionByName(late)
+
+
+def keep_waiting(w: Warehouse, name: str, key: str, reference: str) -> None:
+    """Keep the keys of rows that name a repository nobody has loaded yet; keys that found theirs go."""
+    target = f"pending/{name}"
+    rows, mark = w.latest(f"validated/{name}", target, [key], [])
+    if rows is None:
+        return
+    open_ = F.col("repository_id").isNull() & F.col(reference).isNotNull()
+    batch = rows.select(key, F.col(reference), open_.alias("waits"))
+    merge_logged(
+        w.spark, w.path(target), batch, [key], w.bucket(key),
+        lambda old, new: F.when(new.getField("waits"), new), mark,
+    )
+
+
 def refresh_issues(w: Warehouse, repos: DataFrame, ingestion_date: str) -> None:
     lines = w.bronze("issues")
     if lines is None:
         return
     fresh = staging.type_issues(w.fresh(lines, "validated/issues"))
     newest = dedup_latest(fresh, ["issue_id"], ["updated_at", INGEST], null_keys="drop")
-    w.upsert("validated/issues", validated.validate_issues(newest, repos), "issue_id", ["updated_at", INGEST])
+    judged = with_late(w, "issues", validated.validate_issues(newest, repos), repos, "issue_id")
+    w.upsert("validated/issues", judged, "issue_id", ["updated_at", INGEST], {"bronze": w.moment})
+    keep_waiting(w, "issues", "issue_id", "repository_url")
     today = staging.type_issues(of_date(lines, ingestion_date))
     keep_unkeyed(w, "issues", validated.validate_issues(today, repos), "issue_id", ingestion_date)
 
 
 def refresh_pull_requests(w: Warehouse, repos: DataFrame, ingestion_date: str) -> None:
-    """Newest pull requests and newest details are tables of their own; whichever side is newer than the joined
-    table brings its keys in again, so late details reach pull requests that did not change."""
-    lines, detail_lines, key = w.bronze("pull_requests"), w.bronze("pr_details"), ["pull_request_id"]
+    """Newest pull requests and newest details are tables of their own; whatever either side has changed since the
+    joined table took from it brings its keys in again, so late details reach pull requests that did not change."""
+    lines, detail_lines, key = w.bronze("pull_requests"), w.bronze("pr_details"), "pull_request_id"
     if lines is None:
         return
     fresh = staging.type_pull_requests(w.fresh(lines, "staged/pull_requests"))
-    heads = dedup_latest(fresh, key, ["updated_at", INGEST], null_keys="drop")
-    w.upsert("staged/pull_requests", heads, key[0], ["updated_at", INGEST])
+    heads = dedup_latest(fresh, [key], ["updated_at", INGEST], null_keys="drop")
+    w.upsert("staged/pull_requests", heads, key, ["updated_at", INGEST], {"bronze": w.moment})
     if detail_lines is not None:
         fresh = w.fresh(detail_lines, "staged/pr_details")
-        w.upsert("staged/pr_details", staging.stage_pr_details(fresh), key[0], [INGEST])
+        w.upsert("staged/pr_details", staging.stage_pr_details(fresh), key, [INGEST], {"bronze": w.moment})
         broken = staging.type_pr_details(of_date(detail_lines, ingestion_date))
-        keep_unkeyed(w, "pr_details", broken, key[0], ingestion_date)
-
-    heads, details, done = w.read("staged/pull_requests"), w.read("staged/pr_details"), w.read("validated/pull_requests")
-    if details is None:
-        details = staging.stage_pr_details(lines.filter(F.lit(False)))
-    touched = hwm_filter(heads, done, INGEST).select(*key)
-    touched = touched.unionByName(hwm_filter(details, done, INGEST).select(*key)).distinct()
-    joined = staging.enrich_pull_requests(heads.join(touched, key, "left_semi"), details)
-    w.upsert("validated/pull_requests", validated.validate_pull_requests(joined, repos), key[0])
+        keep_unkeyed(w, "pr_details", broken, key, ingestion_date)
+
+    none = staging.stage_pr_details(lines.filter(F.lit(False)))
+    feeds, marks = [], {}
+    for source in ("staged/pull_requests", "staged/pr_details"):
+        feed, mark = w.changes(source, "validated/pull_requests")
+        feeds += [] if feed is None else [feed.select(key)]
+        marks |= mark
+    known = w.read("staged/pull_requests")
+    if known is not None:
+        touched = reduce(DataFrame.unionByName, feeds, known.select(key).limit(0))
+        heads = w.rows_of("staged/pull_requests", touched, key)
+        details = none if w.read("staged/pr_details") is None else w.rows_of("staged/pr_details", touched, key)
+        judged = validated.validate_pull_requests(staging.enrich_pull_requests(heads, details), repos)
+        judged = with_late(w, "pull_requests", judged, repos, key)
+        w.upsert("validated/pull_requests", judged, key, marks=marks)
+        keep_waiting(w, "pull_requests", key, "canonical_repo_name")
     today = staging.type_pull_requests(of_date(lines, ingestion_date))
-    today = staging.enrich_pull_requests(today, details.filter(F.lit(False)))
-    keep_unkeyed(w, "pull_requests", validated.validate_pull_requests(today, repos), key[0], ingestion_date)
+    today = staging.enrich_pull_requests(today, none)
+    keep_unkeyed(w, "pull_requests", validated.validate_pull_requests(today, repos), key, ingestion_date)
 
 
 def refresh_releases(w: Warehouse, repos: DataFrame, ingestion_date: str) -> None:
@@ -232,12 +318,14 @@ def refresh_languages(w: Warehouse, repos: DataFrame) -> None:
         w.overwrite("silver/languages", judged.select(*silver.LANGUAGE_COLUMNS))
 
 
-def snapshot(w: Warehouse, source: str, target: str, key: str, run_id: str, refresh: list[str] | None = None) -> None:
+def snapshot(w: Warehouse, source: str, target: str, key: str, refresh: list[str]) -> None:
     """Type-2 history of the clean rows that changed since the last snapshot."""
-    rows = w.read(source)
-    if rows is not None:
-        changed = hwm_filter(clean(rows), w.read_open(target), INGEST)
-        tables.snapshot_by_timestamp(w.spark, w.path(target), changed, [key], "updated_at", w.bucket(key), run_id, refresh or [])
+    changed, mark = w.latest(source, target, [key], [])
+    if changed is not None:
+        snapshot_logged(
+            w.spark, w.path(target), clean(changed), [key], w.bucket(key), "timestamp", updated_at="updated_at",
+            refresh=refresh, marks=mark,
+        )
 
 
 def silver_views(w: Warehouse) -> dict[str, DataFrame]:
@@ -274,27 +362,43 @@ def refresh_gold(w: Warehouse, as_of: Column) -> None:
     )
     users = gold.dim_users(views["issues_current"], views["pull_requests_current"], views["releases"], as_of)
     w.overwrite("gold/dim_users", users)
-    scope = "repo_id" if opts.per_repo_lookback else None
+    refresh_facts(w, repos, as_of)
+    w.upsert("gold/fact_releases", gold.fact_releases(views["releases"], repos, as_of), "release_id")
 
-    def recent(fact: DataFrame, name: str) -> DataFrame:
-        if opts.legacy_lookback:
-            return lookback_filter(fact, w.read(name), "updated_at", opts.lookback_days, scope)
-        return hwm_filter(fact, w.read(name), INGEST)
 
-    issues = gold.fact_issues(w.read_open("history/issues"), repos, as_of)
-    w.upsert("gold/fact_issues", recent(issues, "gold/fact_issues"), "issue_id")
-    prs = gold.fact_pull_requests(w.read_open("history/pull_requests"), repos, as_of)
-    w.upsert("gold/fact_pull_requests", recent(prs, "gold/fact_pull_requests"), "pr_id")
-    w.upsert("gold/fact_releases", gold.fact_releases(views["releases"], repos, as_of), "release_id")
+def refresh_facts(w: Warehouse, repos: DataFrame, as_of: Column) -> None:
+    """Issues and pull requests whose open version has changed."""
+    opts = w.options
+    for name, history, key, build in (
+        ("gold/fact_issues", "history/issues", "issue_id", gold.fact_issues),
+        ("gold/fact_pull_requests", "history/pull_requests", "pr_id", gold.fact_pull_requests),
+    ):
+        source = "pull_request_id" if key == "pr_id" else key
+        rows, mark = w.latest(history, name, [source], ["valid_from"])
+        if opts.legacy_lookback:
+            scope = "repo_id" if opts.per_repo_lookback else None
+            fact = build(w.read_open(history), repos, as_of)
+            w.upsert(name, lookback_filter(fact, w.read(name), "updated_at", opts.lookback_days, scope), key, marks=mark)
+        elif rows is not None:
+            w.upsert(name, build(rows, repos, as_of), key, marks=mark)
 
 
 def refresh_kpis(w: Warehouse, as_of: Column) -> None:
     issues, prs = w.read("gold/fact_issues"), w.read("gold/fact_pull_requests")
     repos, users = w.read("gold/dim_repositories"), w.read("gold/dim_users")
     last_day = F.add_months(F.to_date(as_of), 12)
-    bounds = gold.calendar_bounds(issues, prs, last_day, legacy=w.options.legacy_calendar)
-    w.overwrite("gold/dim_date", gold.calendar(bounds))
-    w.overwrite("gold/kpi_repo_health", kpis.kpi_repo_health(issues, prs, repos))
-    w.overwrite("gold/kpi_time_series", kpis.kpi_time_series(issues, prs, repos, bounds))
-    w.overwrite("gold/kpi_user_contributions", kpis.kpi_user_contributions(issues, prs, repos, users))
     w.overwrite("gold/kpi_pr_complexity", kpis.kpi_pr_complexity(prs, repos))
+    if w.options.legacy_calendar or w.options.full_kpis:
+        bounds = gold.calendar_bounds(issues, prs, last_day, legacy=w.options.legacy_calendar)
+        w.overwrite("gold/dim_date", gold.calendar(bounds))
+        w.overwrite("gold/kpi_repo_health", kpis.kpi_repo_health(issues, prs, repos))
+        w.overwrite("gold/kpi_time_series", kpis.kpi_time_series(issues, prs, repos, bounds))
+        w.overwrite("gold/kpi_user_contributions", kpis.kpi_user_contributions(issues, prs, repos, users))
+        return
+    state = w.kpi_state()
+    state.refresh()
+    bounds = state.bounds(last_day)
+    w.overwrite("gold/dim_date", gold.calendar(bounds))
+    w.overwrite("gold/kpi_repo_health", state.repo_health(repos))
+    w.overwrite("gold/kpi_time_series", state.time_series(repos, bounds))
+    w.overwrite("gold/kpi_user_contributions", state.user_contributions(repos, users))

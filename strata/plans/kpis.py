@@ -29,20 +29,18 @@ def _medians(counts: DataFrame, keys: list[str], names: dict[str, str]) -> DataF
     return long.groupBy(*keys).agg(*[F.max(_when(k, F.col("median_hours"))).alias(n) for k, n in names.items()])
 
 
-def kpi_repo_health(fact_issues: DataFrame, fact_prs: DataFrame, dim_repositories: DataFrame) -> DataFrame:
-    """Totals, open counts, medians and ratios per current repository, also for those without activity."""
+def work_items(fact_issues: DataFrame, fact_prs: DataFrame) -> DataFrame:
+    """Issues and pull requests as one narrow stream: repository, author, kind, state and hours until done."""
 
     def narrow(df: DataFrame, kind: str, hours: str) -> DataFrame:
         return df.select("repo_id", "author_user_id", F.lit(kind).alias("kind"), "state", F.col(hours).alias("hours"))
 
-    work = narrow(fact_issues, "issue", "time_to_close_hours").unionByName(
-        narrow(fact_prs, "pr", "time_to_merge_hours")
-    )
-    # per author first: distinct authors become a plain count, and a huge repository is spread over its authors
-    per_author = work.groupBy("repo_id", "kind", "author_user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("state") == "open").alias("n_open")
-    )
-    counts = per_author.groupBy("repo_id").agg(
+    return narrow(fact_issues, "issue", "time_to_close_hours").unionByName(narrow(fact_prs, "pr", "time_to_merge_hours"))
+
+
+def health_counts(per_author: DataFrame) -> DataFrame:
+    """Totals per repository from rows (repo_id, kind, author_user_id, n, n_open), each author once per kind."""
+    return per_author.groupBy("repo_id").agg(
         F.sum(_when("issue", F.col("n"))).alias("n_issues"),
         F.sum(_when("issue", F.col("n_open"))).alias("n_open_issues"),
         F.count(_when("issue", F.col("author_user_id"))).alias("issue_authors"),
@@ -50,34 +48,50 @@ def kpi_repo_health(fact_issues: DataFrame, fact_prs: DataFrame, dim_repositorie
         F.sum(_when("pr", F.col("n_open"))).alias("n_open_prs"),
         F.count(_when("pr", F.col("author_user_id"))).alias("pr_authors"),
     )
-    medians = _medians(
-        value_counts(work, "hours", ["repo_id", "kind"]),
-        ["repo_id"],
-        {"issue": "median_time_to_close_hours", "pr": "median_time_to_merge_hours"},
-    )
+
+
+def health_medians(counts: DataFrame) -> DataFrame:
+    """Both medians per repository from rows (repo_id, kind, hours, n_rows)."""
+    return _medians(counts, ["repo_id"], {"issue": "median_time_to_close_hours", "pr": "median_time_to_merge_hours"})
+
+
+def health_rows(dim_repositories: DataFrame, measured: DataFrame) -> DataFrame:
+    """The KPI's rows from counts and medians per repository."""
 
     def zero(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
 
-    return (
-        current_repos(dim_repositories)
-        .join(counts, "repo_id", "left")
-        .join(medians, "repo_id", "left")
-        .select(
-            "repo_id",
-            "repo_name",
-            zero("n_issues").alias("total_issues"),
-            zero("n_open_issues").alias("open_issues"),
-            "median_time_to_close_hours",
-            zero("n_prs").alias("total_prs"),
-            zero("n_open_prs").alias("open_prs"),
-            "median_time_to_merge_hours",
-            # the names are kept although the values are closed / all and not-open / all
-            ratio(F.col("n_issues") - zero("n_open_issues"), "n_issues").alias("closed_to_open_issue_ratio"),
-            ratio(F.col("n_prs") - zero("n_open_prs"), "n_prs").alias("merged_pr_ratio"),
-            (zero("issue_authors") + zero("pr_authors")).alias("approximate_total_contributors"),
-        )
+    return current_repos(dim_repositories).join(measured, "repo_id", "left").select(
+        "repo_id",
+        "repo_name",
+        zero("n_issues").alias("total_issues"),
+        zero("n_open_issues").alias("open_issues"),
+        "median_time_to_close_hours",
+        zero("n_prs").alias("total_prs"),
+        zero("n_open_prs").alias("open_prs"),
+        "median_time_to_merge_hours",
+        # the names are kept although the values are closed / all and not-open / all
+        ratio(F.col("n_issues") - zero("n_open_issues"), "n_issues").alias("closed_to_open_issue_ratio"),
+        ratio(F.col("n_prs") - zero("n_open_prs"), "n_prs").alias("merged_pr_ratio"),
+        (zero("issue_authors") + zero("pr_authors")).alias("approximate_total_contributors"),
+    )
+
+
+def kpi_repo_health(fact_issues: DataFrame, fact_prs: DataFrame, dim_repositories: DataFrame) -> DataFrame:
+    """Totals, open counts, medians and ratios per current repository, also for those without activity.
+
+    The facts are read once, into counts by author, hours and state; authors and medians come from those.
+    """
+    work = work_items(fact_issues, fact_prs)
+    parts = ["repo_id", "kind", "author_user_id", "hours"]
+    seen = written(
+        work.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("state") == "open").alias("n_open")),
+        "work-counts",
     )
+    # per author first: distinct authors become a plain count, and a huge repository is spread over its authors
+    per_author = seen.groupBy(*parts[:3]).agg(F.sum("n").alias("n"), F.sum("n_open").alias("n_open"))
+    medians = health_medians(value_counts(seen, "hours", ["repo_id", "kind"], weight="n"))
+    return health_rows(dim_repositories, health_counts(per_author).join(medians, "repo_id", "left"))
 
 
 def milestones(fact_issues: DataFrame, fact_prs: DataFrame) -> DataFrame:
@@ -121,19 +135,29 @@ def kpi_time_series(
         .filter(F.col("day_key").between(calendar.getField("start_key"), calendar.getField("end_key")))
         .select("repo_id", month_of_key("day_key").alias("month_year"), "kind", "hours")
     )
-    keys = ["repo_id", "month_year"]
     # one pass over the facts: counters are sums over these counts, and the medians look into them
-    seen = written(dated.groupBy(*keys, "kind", "hours").agg(F.count(F.lit(1)).alias("n_rows")), "milestones")
-    counts = seen.groupBy(*keys).agg(*[F.sum(_when(k, F.col("n_rows"))).alias(k) for k in COUNTERS])
+    counts = dated.groupBy("repo_id", "month_year", "kind", "hours").agg(F.count(F.lit(1)).alias("n_rows"))
+    measured = month_measures(written(counts, "milestones"))
+    return series_rows(dim_repositories, measured, calendar.getField("start"), calendar.getField("end"))
+
+
+def month_measures(counts: DataFrame) -> DataFrame:
+    """Counters and medians per repository and month from rows (repo_id, month_year, kind, hours, n_rows)."""
+    keys = ["repo_id", "month_year"]
+    counters = counts.groupBy(*keys).agg(*[F.sum(_when(k, F.col("n_rows"))).alias(k) for k in COUNTERS])
     medians = _medians(
-        seen.filter(F.col("kind").isin("issues_closed", "prs_merged")),
+        counts.filter(F.col("kind").isin("issues_closed", "prs_merged")),
         keys,
         {"issues_closed": "median_time_to_close_hours", "prs_merged": "median_time_to_merge_hours"},
     )
-    spine = densify(current_repos(dim_repositories), calendar.getField("start"), calendar.getField("end"))
+    return counters.join(medians, keys, "left")
+
+
+def series_rows(dim_repositories: DataFrame, measured: DataFrame, start: Column, end: Column) -> DataFrame:
+    """The KPI's rows from measures per repository and month: every month of the calendar for every repository."""
     return (
-        spine.join(counts, keys, "left")
-        .join(medians, keys, "left")
+        densify(current_repos(dim_repositories), start, end)
+        .join(measured, ["repo_id", "month_year"], "left")
         .select(
             "repo_id",
             "repo_name",
@@ -168,10 +192,15 @@ def kpi_user_contributions(
     A pair with an unknown user or repository keeps its row but counts 0, as equality joins on null keys would
     give; ``null_safe`` reports its real counts instead.
     """
-    keys = ["repo_id", "user_id"]
+    sums = deeds(fact_issues, fact_prs).groupBy("repo_id", "user_id").agg(*[F.sum(c).alias(c) for c in CONTRIBUTIONS])
+    return contribution_rows(sums, dim_repositories, dim_users, null_safe)
+
+
+def deeds(fact_issues: DataFrame, fact_prs: DataFrame) -> DataFrame:
+    """What each issue and pull request counts for its author."""
     who = F.col("author_user_id").alias("user_id")
     none = F.lit(0).cast("long")
-    opened = fact_issues.select(
+    return fact_issues.select(
         "repo_id", who, F.lit(1).alias("total_issues_opened"), none.alias("total_prs_opened"),
         none.alias("total_prs_merged"), F.col("comment_count").alias("total_comments"),
         none.alias("total_additions"), none.alias("total_deletions"),
@@ -183,12 +212,17 @@ def kpi_user_contributions(
             F.col("additions").alias("total_additions"), F.col("deletions").alias("total_deletions"),
         )
     )
+
+
+def contribution_rows(sums: DataFrame, dim_repositories: DataFrame, dim_users: DataFrame, null_safe: bool = False) -> DataFrame:
+    """The KPI's rows from sums per repository and user."""
+    keys = ["repo_id", "user_id"]
     known = F.lit(True) if null_safe else F.col("repo_id").isNotNull() & F.col("user_id").isNotNull()
-    sums = opened.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in CONTRIBUTIONS])
-    sums = sums.select(*keys, *[F.when(known, F.col(c)).otherwise(F.lit(0)).alias(c) for c in CONTRIBUTIONS])
+    amounts = [F.when(known, F.coalesce(c, F.lit(0))).otherwise(F.lit(0)).alias(c) for c in CONTRIBUTIONS]
     users = dim_users.select("user_id", F.col("user_login").alias("github_username"))
     return (
-        sums.join(current_repos(dim_repositories), "repo_id", "left")
+        sums.select(*keys, *amounts)
+        .join(current_repos(dim_repositories), "repo_id", "left")
         .join(users, "user_id", "left")
         .select("repo_name", "repo_id", "user_id", "github_username", *CONTRIBUTIONS)
     )

@@ -35,8 +35,12 @@ def validate_repositories(staged: DataFrame) -> DataFrame:
     return evaluate_rules(staged, rules.REPOSITORY_RULES)
 
 
+def judge_issues(typed: DataFrame, repos: DataFrame) -> DataFrame:
+    return evaluate_rules(resolve_by_url(typed, repos), rules.ISSUE_RULES)
+
+
 def validate_issues(staged: DataFrame, repos: DataFrame) -> DataFrame:
-    return evaluate_rules(resolve_by_url(staged, repos).drop("repo_full_name"), rules.ISSUE_RULES)
+    return judge_issues(staged, repos).drop("repo_full_name")
 
 
 def validate_pull_requests(staged: DataFrame, repos: DataFrame) -> DataFrame:

@@ -31,3 +31,30 @@ def newest_partition(spark: SparkSession, path: str, col: str) -> str | None:
     fs, at = _folder(spark, path)
     names = [status.getPath().getName() for status in fs.listStatus(at)]
     return max((n.split("=", 1)[1] for n in names if n.startswith(f"{col}=")), default=None)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none where there is no folder."""
+    fs, at = _folder(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one step: it is there whole or not at all once its writer has closed it."""
+    fs, at = _folder(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(beside, at):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _folder(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

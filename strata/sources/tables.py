@@ -12,7 +12,8 @@ from strata.operators.incremental import merge_upsert
 from strata.operators.scd2 import scd2_apply
 from strata.session import staged
 from strata.sources.bronze import replace_partitions
-from strata.sources.files import delete_folder, path_exists
+from strata.sources.files import delete_folder, names
+from strata.sources.versions import VERSIONS, version_folder
 
 BUCKET = "key_bucket"
 STATE = "closed_in"
@@ -32,8 +33,11 @@ def range_bucket(key: str, width: int) -> Column:
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None while nothing has been written there."""
-    if not path_exists(spark, path):
+    """The table at ``path`` (its newest version, if it is replaced as a whole), or None while there is nothing."""
+    held = names(spark, path)
+    if VERSIONS in held:
+        path = version_folder(spark, path) or path
+    elif all(n.startswith(("_", ".")) for n in held):  # nothing yet, or only empty batches
         return None
     try:
         return spark.read.parquet(path)
@@ -55,8 +59,8 @@ def read_open(spark: SparkSession, path: str) -> DataFrame | None:
     return None if df is None else df.filter(F.col(STATE) == OPEN).drop(BUCKET, STATE)
 
 
-def _touched(batch: DataFrame) -> list[int]:
-    # bucket numbers, at most as many as the table has partitions
+def touched_buckets(batch: DataFrame) -> list[int]:
+    """Bucket numbers of a batch, at most as many as the table has partitions."""
     return [r[0] for r in batch.select(BUCKET).distinct().collect()]
 
 
@@ -77,7 +81,7 @@ def upsert_table(
     with staged(updates.dropna(subset=list(keys)).withColumn(BUCKET, bucket), "upsert") as batch:
         target = read_or_none(spark, path)
         if target is not None:
-            target = target.filter(F.col(BUCKET).isin(_touched(batch)))
+            target = target.filter(F.col(BUCKET).isin(touched_buckets(batch)))
         return replace_partitions(merge_upsert(target, batch, keys, newer_by), path, [BUCKET], gather=True)
 
 
@@ -100,7 +104,7 @@ def snapshot_table(
         if table is None:
             after = apply(None, batch)
         else:
-            mine = table.filter(F.col(BUCKET).isin(_touched(batch)))
+            mine = table.filter(F.col(BUCKET).isin(touched_buckets(batch)))
             after = apply(mine.filter(F.col(STATE) == OPEN).drop(STATE), batch)
         state = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(F.lit(run_id))
         after = after.withColumn(STATE, state)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators.dedup import dedup_latest
 from strata.schemas import BRONZE
 from strata.sources.bronze import parse_bronze
+from strata.sources.changes import ChangeLog, append_history_logged
 from strata.sources.tables import upsert_table
 
 
@@ -58,3 +59,46 @@ def follow_bronze(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def follow_history(
+    spark: SparkSession,
+    bronze_path: str,
+    table_path: str,
+    checkpoint: str,
+    typed: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    updated_at: str,
+    bucket: Column,
+) -> StreamingQuery:
+    """New bronze rows into a type-2 table, with a version for each different ``updated_at`` of a key.
+
+    The number of the micro-batch is a mark of the table's write: a batch that Spark repeats after a failure is known by it and
+    neither doubles nor loses a version. (A write that stopped half-way is finished by the next one.)
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        add_versions(spark, table_path, typed(batch), keys, updated_at, bucket, number)
+
+    return (
+        spark.readStream.schema(BRONZE)
+        .parquet(bronze_path)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def add_versions(
+    spark: SparkSession,
+    table_path: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    updated_at: str,
+    bucket: Column,
+    number: int,
+) -> None:
+    """One micro-batch into a type-2 table; a number that the table has taken already changes nothing."""
+    if ChangeLog(spark, table_path).marks().get("batch", -1) < number:
+        append_history_logged(spark, table_path, rows, keys, updated_at, bucket, {"batch": number})

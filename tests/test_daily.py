@@ -22,24 +22,6 @@ def stable(w, name, *drop):
     return sorted(map(repr, df.drop("_gold_update_ts", "_bronze_ingest_ts", "scd_id", *drop).collect()))
 
 
-@pytest.fixture(scope="module")
-def warehouse(spark, tmp_path_factory):
-    root = str(tmp_path_factory.mktemp("daily"))
-    raw, w = f"{root}/raw", Warehouse(spark, f"{root}/wh", Options(buckets=3))
-    seen, after_two = {}, {}
-    for day, content in zip(landing.DAYS, (landing.day_one(), landing.day_two(), landing.day_three())):
-        landing.land(raw, day, content)
-        marks = spark.createDataFrame([("octo/alpha", f"{day}T00:00:00Z")], "repo string, boundary string")
-        seen[day] = run(spark, raw, w, day, boundaries=marks, export_path=f"{root}/export").collect()
-        if day == landing.DAYS[1]:
-            facts = w.read("gold/fact_pull_requests").select("pr_id", "additions")
-            sizes = w.read("gold/kpi_pr_complexity").select("pr_id", "pr_size_bucket")
-            versions = w.read("history/pull_requests").groupBy("pull_request_id").count()
-            after_two = {n: dict(rows(df, *df.columns)) for n, df in (("facts", facts), ("sizes", sizes), ("versions", versions))}
-    seen["after day two"] = after_two
-    return w, seen, root
-
-
 def test_load_summary_skips_missing_resources(warehouse):
     _, seen, _ = warehouse
     first = {r.resource: (r.n_rows, r.status) for r in seen["2024-03-01"]}
