@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from strata.session import written
@@ -63,11 +64,18 @@ def exact_copies(docs: DataFrame) -> DataFrame:
     )
 
 
+def _orderable(docs: DataFrame, name: str) -> Column:
+    """A column to order by; one that has no order, such as a map, goes by its text."""
+    plain = T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DatetimeType
+    column = F.col(f"`{name}`")
+    return column if isinstance(docs.schema[name].dataType, plain) else column.cast("string")
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = exact_copies(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
     coded = docs.withColumn("__sha256", F.sha2(normalised("text"), 256))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__sha256") == F.col("__sha"))
-    one = W.Window.partitionBy("__sha", "__id").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+    one = W.Window.partitionBy("__sha", "__id").orderBy(*[_orderable(docs, c) for c in docs.columns])
     found = coded.join(kept, same).withColumn("__place", F.row_number().over(one)).filter("__place = 1")
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -294,6 +294,22 @@ def _band_pairs(members: DataFrame, found: DataFrame, nodes: DataFrame, best: bo
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group, with all their columns."""
-    gone = near_components(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that stay, one of each group, with all their columns.
+
+    Rows are judged by their own text: where a doc_id (null ones as well) stands for different texts, each text is a document
+    of its own. Rows that agree in doc_id and text stay or go together.
+    """
+    number = F.col("doc_id").cast("long")
+    code = F.xxhash64(F.col("text"))
+    texts = docs.groupBy(number.alias("__id")).agg(F.min(code).alias("low"), F.max(code).alias("high"))
+    several = written(texts.filter("low <> high or __id is null").select("__id", F.lit(True).alias("__several")), "shared-ids")
+    own = number
+    rows = docs
+    if not several.isEmpty():
+        rows = docs.join(several, number.eqNullSafe(F.col("__id")), "left")
+        own = F.when(F.col("__several"), F.xxhash64(number, F.col("text"))).otherwise(number)
+    rows = rows.withColumn("__own", own)
+    found = near_components(rows.select(F.col("__own").alias("doc_id"), "text"))
+    gone = found.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    stay = rows.join(gone, F.col("__own") == F.col("__gone"), "left_anti")
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])

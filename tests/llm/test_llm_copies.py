@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 from conftest_llm import ODD, SCHEMA, near_groups, shingles, words
+from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup, hyperminhash, near_dedup, substring_dedup
 from strata.llm.components import components
@@ -218,3 +219,26 @@ def test_repeats_of_odd_rows(odd, nothing):
     assert {r.n_removed for r in found if r.doc_id in (2, 3, 4, 5, 7, 8, 9, 10)} >= {0}
     assert substring_dedup.drop_repeats(nothing).count() == 0
     assert SCHEMA.split()[0] == got.columns[0]
+
+
+# -- rows that share an id, columns without order ---------------------------------------------------------------
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    one = " ".join(f"first{k}" for k in range(40))
+    two = " ".join(f"second{k}" for k in range(40))
+    three = " ".join(f"third{k}" for k in range(40))
+    rows = [(2, one), (5, one + " end"), (5, two), (5, three), (3, two + " end"), (None, three + " end"), (None, "alone"), (9, "other"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__own", F.lit(1))
+    left = {(r.doc_id, r.text) for r in near_dedup.drop_near_copies(docs).collect()}
+    assert {(None, "alone"), (9, "other"), (9, None)} <= left and len(left) == 6
+    for group in ([(2, one), (5, one + " end")], [(5, two), (3, two + " end")], [(5, three), (None, three + " end")]):
+        assert len(left & set(group)) == 1
+
+
+def test_exact_stage_takes_columns_without_order(spark):
+    docs = spark.createDataFrame([(1, "a  b"), (1, "a b"), (2, "a b"), (3, "c")], "doc_id long, text string")
+    docs = docs.withColumns({"tags": F.create_map(F.lit("k"), F.col("doc_id")), "list": F.array(F.create_map(F.lit(1), F.lit(2)))})
+    left = exact_dedup.drop_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.tags) for r in left.collect()) == [(1, {"k": 1}), (3, {"k": 3})]
