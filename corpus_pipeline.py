@@ -7,6 +7,8 @@ those of smaller sources up to twice, so it drops none; a repeated document is p
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from strata.llm.packing import pack_documents
 from strata.llm.ship import documents
 from strata.llm.tokens import tokenizer_path
 from strata.llm.toxicity import drop_toxic
-from strata.session import written
+from strata.session import written_alone
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +58,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents of ``sf_dir``."""
+    """The packed pieces of all documents of ``sf_dir``. Helper tables of a stage go once its result is written."""
     rows = documents(spark, sf_dir)
     for name, stage in STAGES:
-        rows = written(stage(spark, rows, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        rows = written_alone(spark, partial(stage, spark, rows, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return rows
