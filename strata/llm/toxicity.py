@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from strata.llm.labelled import FOLDS, MOST_LABELS, held_out, training_documents
 from strata.llm.ship import fold, ship, tidied
 from strata.llm.text import slices, word_hashes
+from strata.session import written
 
 SLOT_BITS = 20
 PRIOR = 4.0
@@ -175,11 +176,24 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model |
                         ["label", "n", "scores"],
                     )
 
-    rows = training.mapInArrow(tidied(scan), "label int, n long, scores array<double>").toArrow().to_pylist()  # ``most`` rows
-    clean = [(r["n"], max(r["scores"], default=0.0)) for r in rows if not r["label"] and r["n"]]
-    constant = float(np.log(max(len(clean), 1)) - np.log(max(sum(n * np.exp(-decay * s) for n, s in clean), 1e-9)))
-    x = np.array([_evidence(r["n"], [(0, 0, s) for s in r["scores"]], decay, constant)[0] for r in rows])
-    return Model(weights, decay, constant, _fit_curve(x, np.array([r["label"] for r in rows], float)))
+    # segments grow with the texts: they stay in a table, and of each row four numbers reach the driver
+    rows = written(training.mapInArrow(tidied(scan), "label int, n long, scores array<double>"), "segment-scores")
+    best = F.coalesce(F.array_max("scores"), F.lit(0.0))
+    tail = F.sum(F.col("n") * F.exp(-F.lit(decay) * best))
+    clean = rows.filter("label = 0 and n > 0").agg(F.count(F.lit(1)).alias("rows"), tail.alias("tail")).first()
+    constant = float(np.log(max(clean["rows"], 1)) - np.log(max(clean["tail"] or 0.0, 1e-9)))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True)
+            x = [_evidence(n, [(0, 0, s) for s in scores], decay, constant)[0] for n, scores in pairs]
+            columns = np.array(x).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *map(pa.array, columns)], ["label", *"abcd"])
+
+    kinds = "label int, a double, b double, c double, d double"
+    found = rows.mapInArrow(tidied(weigh), kinds).toArrow()  # ``most`` rows of fixed width
+    x = np.stack([found[c].to_numpy() for c in "abcd"], axis=1)
+    return Model(weights, decay, constant, _fit_curve(x, found["label"].to_numpy().astype(float)))
 
 
 def _decay(weights: np.ndarray, share: np.ndarray) -> float:
