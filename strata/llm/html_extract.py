@@ -4,7 +4,7 @@ A page becomes text blocks in page order: what stands between the borders of blo
 cost. One part of it comes from the elements around it: their names, roles, and the words of their classes and ids (fixed
 values below). The other part is learned from all pages: blocks whose elements say plainly what they are serve as labels for
 features of the text itself (words, share of link text, sentence ends, kind of block, signs), counted in Spark and turned into
-log-odds, which few counts hold near a stated belief. Blocks without such elements are judged by the learned part and by their
+log-odds, halfway to a stated belief. Blocks without such elements are judged by the learned part and by their
 neighbours: costs become capacities to the two terminals, and blocks that follow each other or have one parent are joined by
 edges that weaken with the distance in the element tree. A maximum flow (shortest augmenting paths in layers) gives the
 smallest cut; what stays joined to the content terminal is the text.
@@ -87,6 +87,7 @@ GOOD_WORD = 3.0  # of a class or id
 OUTSIDE = -2.5  # a block that nothing marks, on a page that marks its content
 TEXT_MOST = 4.0
 FEATURE_MOST = 2.0
+LEARNED = 0.5  # of the way from the belief to what is counted
 BELIEF_COUNT = 200  # labelled blocks that weigh as much as the belief
 ADJACENT, SIBLING = 0.6, 0.4
 SCALE = 1000
@@ -346,7 +347,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learned_odds(pages: DataFrame) -> dict[tuple[str, int], float]:
     """Log-odds of content by feature and value, counted over the plainly marked blocks of all pages.
 
-    Some thirty values; each is drawn to the stated belief with the weight of ``BELIEF_COUNT`` blocks.
+    Some thirty values. What is counted moves a value by ``LEARNED`` of the way from the stated belief at most, and by less
+    while there are few blocks: many pages of one template say how that template looks, not how all text does.
     """
     counted = pages.select("html").mapInArrow(tidied(_count), "name string, value int, good boolean, count long")
     sums = counted.groupBy("name", "value", "good").agg(F.sum("count").alias("count")).collect()  # features x values x 2
@@ -358,8 +360,10 @@ def learned_odds(pages: DataFrame) -> dict[tuple[str, int], float]:
     for name, value in {k[:2] for k in count}:
         good, bad = count.get((name, value, True), 0), count.get((name, value, False), 0)
         seen = math.log((good + 1) / (total[name, True] + 2)) - math.log((bad + 1) / (total[name, False] + 2))
+        seen = max(-FEATURE_MOST, min(FEATURE_MOST, seen))
         n = good + bad if total[name, True] and total[name, False] else 0
-        odds[name, value] = (n * seen + BELIEF_COUNT * belief(name, value)) / (n + BELIEF_COUNT)
+        believed = belief(name, value)
+        odds[name, value] = believed + LEARNED * n / (n + BELIEF_COUNT) * (seen - believed)
     return odds
 
 
