@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -33,6 +35,11 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.select("*", names.alias(FAILED), (~passes).alias(FLAG))
 
 
+def rules_digest(rules: Sequence[Rule]) -> str:
+    """A short text that changes with any rule's name, condition or place."""
+    return hashlib.sha256(json.dumps([(r.name, r.expr) for r in rules]).encode()).hexdigest()
+
+
 def clean(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(FLAG)).drop(FAILED, FLAG)
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedup import dedup_latest
 from strata.operators.incremental import lookback_filter
-from strata.operators.quality import FAILED, FLAG, clean
-from strata.plans import gold, kpis, silver, staging, validated
+from strata.operators.quality import FAILED, FLAG, Rule, clean, evaluate_rules, rules_digest
+from strata.plans import gold, kpis, rules, silver, staging, validated
 from strata.plans.kpi_state import KpiState
 from strata.plans.staging import INGEST
 from strata.session import scratch_scope
@@ -27,6 +27,18 @@ from strata.sources.tables import BUCKET, hash_bucket, read_or_none, read_table
 from strata.sources.versions import overwrite_table
 
 LOADS = "loads"  # ingestion dates and the moments they were loaded at
+#: whose changes are read by whom, and under which name the reader marks how far it is
+FACTS = {"gold/fact_issues": "issues", "gold/fact_pull_requests": "prs"}
+READERS = {
+    "staged/pull_requests": {"validated/pull_requests": "staged/pull_requests"},
+    "staged/pr_details": {"validated/pull_requests": "staged/pr_details"},
+    **{f"validated/{n}": {f"{t}/{n}": f"validated/{n}" for t in ("history", "pending")} for n in ("issues", "pull_requests")},
+    "history/issues": {"gold/fact_issues": "history/issues"},
+    "history/pull_requests": {"gold/fact_pull_requests": "history/pull_requests"},
+    **{fact: {f"kpi_state/{t}": name for t in ("authors", "months", "users", "days")} for fact, name in FACTS.items()},
+    "kpi_state/authors": {"kpi_state/health": "authors"},
+    "kpi_state/months": {"kpi_state/health": "months", "kpi_state/series": "months"},
+}
 KPIS = ("kpi_repo_health", "kpi_time_series", "kpi_user_contributions", "kpi_pr_complexity")
 
 
@@ -37,7 +49,8 @@ class Options:
     within ``lookback_days`` of their newest row (with ``per_repo_lookback`` counted per repository) instead of what
     arrived since; a backfill of old records then stays out. ``legacy_calendar``: start the calendar at the first
     issue, and compute the KPIs from whole facts. ``full_kpis`` does only the latter.
-    ``hard_deletes="close"``: repositories that are no longer listed are closed in their history."""
+    ``hard_deletes="close"``: repositories that are no longer listed are closed in their history.
+    ``keep_changes``: so many writes of every change feed stay after all readers have taken them."""
 
     buckets: int = 16
     id_width: int | None = None
@@ -47,6 +60,7 @@ class Options:
     lookback_days: int = 3
     full_kpis: bool = False
     hard_deletes: str = "ignore"
+    keep_changes: int = 30
 
 
 class Warehouse:
@@ -173,6 +187,7 @@ def _run(
     snapshot(warehouse, "validated/pull_requests", "history/pull_requests", "pull_request_id", late)
     refresh_gold(warehouse, as_of)
     refresh_kpis(warehouse, as_of)
+    forget_changes(warehouse)
     if export_path:
         tables.export_tables({name: warehouse.read(f"gold/{name}") for name in KPIS}, export_path)
     return loaded
@@ -237,6 +252,22 @@ def with_late(w: Warehouse, name: str, judged: DataFrame, repos: DataFrame, key:
     return judged.unionByName(late)
 
 
+def judged_again(w: Warehouse, name: str, rules: list[Rule], key: str) -> dict[str, str]:
+    """Judge the stored rows again if the rules have changed since they were judged; returns the mark to leave.
+
+    The rules' digest is kept with the table. While it is the same, nothing is read. Else only rows whose verdict changes are
+    written, in both directions, and go on through the feed: a row that a loosened rule frees reaches history and facts.
+    """
+    path, digest = f"validated/{name}", rules_digest(rules)
+    before = w.marks(path).get("rules")
+    rows = w.read(path) if before not in (None, digest) else None
+    if rows is not None:
+        old = rows.withColumnRenamed(FAILED, "__failed").drop(FLAG)
+        again = evaluate_rules(old, rules).filter(~F.col(FAILED).eqNullSafe(F.col("__failed"))).drop("__failed")
+        w.upsert(path, again.select(*rows.columns), key, marks={"rules": digest})
+    return {"rules": digest}
+
+
 def keep_waiting(w: Warehouse, name: str, key: str, reference: str) -> None:
     """Keep the keys of rows that name a repository nobody has loaded yet; keys that found theirs go."""
     target = f"pending/{name}"
@@ -255,10 +286,11 @@ def refresh_issues(w: Warehouse, repos: DataFrame, ingestion_date: str) -> None:
     lines = w.bronze("issues")
     if lines is None:
         return
+    rules_mark = judged_again(w, "issues", rules.ISSUE_RULES, "issue_id")
     fresh = staging.type_issues(w.fresh(lines, "validated/issues"))
     newest = dedup_latest(fresh, ["issue_id"], ["updated_at", INGEST], null_keys="drop")
     judged = with_late(w, "issues", validated.validate_issues(newest, repos), repos, "issue_id")
-    w.upsert("validated/issues", judged, "issue_id", ["updated_at", INGEST], {"bronze": w.moment})
+    w.upsert("validated/issues", judged, "issue_id", ["updated_at", INGEST], {"bronze": w.moment, **rules_mark})
     keep_waiting(w, "issues", "issue_id", "repository_url")
     today = staging.type_issues(of_date(lines, ingestion_date))
     keep_unkeyed(w, "issues", validated.validate_issues(today, repos), "issue_id", ingestion_date)
@@ -280,7 +312,7 @@ def refresh_pull_requests(w: Warehouse, repos: DataFrame, ingestion_date: str) -
         keep_unkeyed(w, "pr_details", broken, key, ingestion_date)
 
     none = staging.stage_pr_details(lines.filter(F.lit(False)))
-    feeds, marks = [], {}
+    feeds, marks = [], judged_again(w, "pull_requests", rules.PULL_REQUEST_RULES, key)
     for source in ("staged/pull_requests", "staged/pr_details"):
         feed, mark = w.changes(source, "validated/pull_requests")
         feeds += [] if feed is None else [feed.select(key)]
@@ -402,3 +434,11 @@ def refresh_kpis(w: Warehouse, as_of: Column) -> None:
     w.overwrite("gold/kpi_repo_health", state.repo_health(repos))
     w.overwrite("gold/kpi_time_series", state.time_series(repos, bounds))
     w.overwrite("gold/kpi_user_contributions", state.user_contributions(repos, users))
+
+
+def forget_changes(w: Warehouse) -> None:
+    """Delete the changes that every reader has taken, but for the last writes."""
+    for source, readers in READERS.items():
+        taken = min(w.marks(target).get(mark, 0) for target, mark in readers.items())
+        if taken > w.options.keep_changes:
+            ChangeLog(w.spark, w.path(source)).forget(taken - w.options.keep_changes)

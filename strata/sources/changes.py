@@ -8,6 +8,9 @@ remembers the last number it has taken reads only files with changed rows.
 
 The commit file also holds the writer's marks: how far it has read its own sources. They are kept with the data they belong
 to, and the next run asks one small file instead of the table for a maximum.
+
+A table belongs to this module or to the writers of ``tables``, not to both: those leave no changes. One job writes a table at a
+time.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from strata.sources.bronze import replace_partitions
 from strata.sources.files import delete_folder, names, read_text, write_text
 from strata.sources.tables import BUCKET, OPEN, STATE, read_or_none, touched_buckets
 
-CHANGE = "change"  # before, after; opened, closed, refreshed
+CHANGE = "change"  # before, after; opened, closed, refreshed, passed (opened and closed by one write)
 NUMBER = "change_no"
 PLANNED, COMMITTED = ".planned", ".committed"
 Apply = Callable[[DataFrame, list[int], int], None]  # changed rows, their buckets, number of the write
@@ -273,7 +276,7 @@ def append_history_logged(
             batch = batch.join(old, list(keys), "left")
             batch = batch.filter(F.col("__since").isNull() | (F.col(updated_at) > F.col("__since"))).drop("__since")
         versions = scd2_from_history(batch, keys, updated_at)
-        changes = versions.withColumn(CHANGE, F.when(F.col("valid_to").isNull(), "opened").otherwise("closed"))
+        changes = versions.withColumn(CHANGE, F.when(F.col("valid_to").isNull(), "opened").otherwise("passed"))
         if opened is not None:
             first = batch.groupBy(*keys).agg(F.min(updated_at).alias("__until"))
             shut = opened.join(first, list(keys)).withColumn("valid_to", F.col("__until")).drop("__until")
@@ -287,8 +290,9 @@ def _open_versions(spark: SparkSession, path: str, buckets: list[int]) -> DataFr
 
 
 def _apply_versions(path: str, changes: DataFrame, buckets: list[int], number: int) -> None:
-    live = changes.filter(F.col(CHANGE) != "closed").withColumn(STATE, F.lit(OPEN))
-    shut = changes.filter(F.col(CHANGE) == "closed").withColumn(STATE, F.lit(f"write-{number:010d}"))
+    ended = F.col(CHANGE).isin("closed", "passed")
+    live = changes.filter(~ended).withColumn(STATE, F.lit(OPEN))
+    shut = changes.filter(ended).withColumn(STATE, F.lit(f"write-{number:010d}"))
     after = live.unionByName(shut).drop(CHANGE, NUMBER)
     table = read_or_none(changes.sparkSession, path)
     if table is not None:

@@ -1,13 +1,18 @@
 """The daily run by changes: equal to full computations, and reading only what changed."""
 
+import random
+
 import landing
 import pytest
 from pyspark.sql import functions as F
 
-from strata.plans import daily, gold
+from strata.operators.checks import check_not_null, check_relationship, check_unique
+from strata.operators.quality import Rule
+from strata.plans import daily, gold, rules, staging, validated
+from strata.plans.check_state import Check, CheckState
 from strata.plans.daily import Options, Warehouse, run_day
-from strata.sources import tables
-from strata.sources.changes import ChangeLog
+from strata.sources import bronze, tables
+from strata.sources.changes import ChangeLog, upsert_logged
 from strata.streaming.landing import add_versions
 
 
@@ -28,12 +33,12 @@ def followed(warehouse):
     return warehouse[0]
 
 
-def test_deltas_equal_the_full_computation(followed):
+def test_deltas_equal_the_full_computation(followed, moment="2024-03-03 02:00:00"):
     """All KPIs and the calendar, computed anew from the whole facts."""
     w = followed
     kept = {n: stable(df.select(*sorted(df.columns))) for n in (*daily.KPIS, "dim_date") for df in [w.read(f"gold/{n}")]}
     full = Warehouse(w.spark, w.root, Options(buckets=3, full_kpis=True))
-    daily.refresh_kpis(full, F.lit("2024-03-03 02:00:00").cast("timestamp"))
+    daily.refresh_kpis(full, F.lit(moment).cast("timestamp"))
     for name, before in kept.items():
         df = full.read(f"gold/{name}")
         assert before and stable(df.select(*sorted(df.columns))) == before, name
@@ -115,9 +120,64 @@ def test_a_repository_that_comes_after_its_records(spark, tmp_path):
     assert rows(feed, "issue_id", "change") == [(100, "closed"), (100, "opened"), (107, "refreshed")]
 
 
+def test_a_loosened_rule_frees_its_rows(spark, tmp_path, monkeypatch):
+    """Rows without a change of their own: quarantined by a rule, freed by its absence, held back again by another one."""
+    w, key = Warehouse(spark, str(tmp_path / "wh"), Options(buckets=2)), "issue_id"
+    landing.land(str(tmp_path / "raw"), landing.DAYS[0], {"issues": landing.day_one()["issues"]})
+    lines = bronze.parse_bronze(bronze.scan_raw(spark, str(tmp_path / "raw")), F.lit("2024-03-01 02:00:00").cast("timestamp"), "2024-03-01")
+    repos = spark.createDataFrame([(1, "octo", "alpha"), (2, "octo", "beta")], "repository_id long, owner_login string, repo_name string")
+    dims = spark.createDataFrame([(1, "s1"), (2, "s2")], "repo_id long, repository_sk string")
+    judged = validated.validate_issues(staging.stage_issues(lines), repos)
+
+    def follow():
+        daily.snapshot(w, "validated/issues", "history/issues", key, ["repository_id"])
+        daily.refresh_facts(w, dims, F.lit(None).cast("timestamp"))
+
+    w.upsert("validated/issues", judged, key, marks=daily.judged_again(w, "issues", rules.ISSUE_RULES, key))
+    follow()
+    before = {r[0] for r in w.read("gold/fact_issues").select(key).collect()}
+    looser = [r for r in rules.ISSUE_RULES if r.name != "comments_count_non_negative"]
+    daily.judged_again(w, "issues", looser, key)
+    follow()
+    assert {r[0] for r in w.read("gold/fact_issues").select(key).collect()} == before | {104}
+    log = ChangeLog(spark, w.path("validated/issues"))
+    assert {r[0] for r in log.since(1).select(key).collect()} == {104}
+    daily.judged_again(w, "issues", looser, key)  # the same rules: nothing is looked at
+    assert log.newest() == 2
+    daily.judged_again(w, "issues", [*looser, Rule("not_the_first", "issue_id <> 100")], key)
+    assert rows(w.read("validated/issues").filter("is_quarantined"), key)[0] == (100,)
+
+
+def test_violations_by_deltas_equal_full_checks(spark, tmp_path):
+    """Random rows that come, change and go, against the checks over the whole tables."""
+    rnd, root = random.Random(4), str(tmp_path)
+    paths = {n: f"{root}/{n}" for n in ("child", "parent")}
+    checks = (
+        Check("not_null", "child", ("fk",)),
+        Check("unique", "child", ("fk", "v")),
+        Check("relationships", "child", ("fk",), "parent", ("k",)),
+    )
+    state = CheckState(spark, f"{root}/state", paths, checks, buckets=2)
+    assert {r.violations for r in state.violations().collect()} == {0}
+    for _ in range(3):
+        child = [(k, rnd.choice([None, *range(6)]), rnd.randint(0, 2)) for k in rnd.sample(range(20), 9)]
+        parent = [(k,) for k in rnd.sample(range(6), 2)]
+        upsert_logged(spark, paths["child"], spark.createDataFrame(child, "id int, fk int, v int"), ["id"], F.col("id") % 2)
+        upsert_logged(spark, paths["parent"], spark.createDataFrame(parent, "k int"), ["k"], F.lit(0))
+        state.refresh()
+        rows_, keys = (tables.read_table(spark, paths[n]) for n in ("child", "parent"))
+        assert {r.check: r.violations for r in state.violations().collect()} == {
+            "not_null child fk": check_not_null(rows_, "fk").count(),
+            "unique child fk,v": check_unique(rows_, ["fk", "v"]).count(),
+            "relationships child fk": check_relationship(rows_, "fk", keys, "k").count(),
+        }
+    state.refresh()  # nothing new
+    assert {r.check for r in state.violations().collect()} == {c.name for c in checks}
+
+
 def test_a_stopped_day_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
     """A run that dies between history and facts, then the day again: nothing is missing and nothing counts twice."""
-    raw, w = str(tmp_path / "raw"), Warehouse(spark, str(tmp_path / "wh"), Options(buckets=2))
+    raw, w = str(tmp_path / "raw"), Warehouse(spark, str(tmp_path / "wh"), Options(buckets=2, keep_changes=0))
     for day, content in zip(landing.DAYS[:2], (landing.day_one(), landing.day_two()), strict=True):
         landing.land(raw, day, content)
     run(spark, raw, w, landing.DAYS[0])
@@ -128,7 +188,8 @@ def test_a_stopped_day_is_finished_by_the_next_run(spark, tmp_path, monkeypatch)
     versions = rows(w.read("history/issues").filter("issue_id = 100"), "state", "valid_to")
     assert [v[0] for v in versions] == ["closed", "open"] and [v[1] is None for v in versions] == [True, False]
     test_facts_equal_a_rebuild(w)
-    test_deltas_equal_the_full_computation(w)
+    test_deltas_equal_the_full_computation(w, "2024-03-02 04:00:00")
+    assert ChangeLog(spark, w.path("history/issues")).since(0) is None  # its reader has taken everything
 
 
 def test_repeated_micro_batches_neither_double_nor_lose_versions(spark, tmp_path):

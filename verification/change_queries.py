@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.quality import FLAG
+from strata.operators.quality import FAILED, FLAG, Rule, evaluate_rules, rules_digest
 from strata.operators.quantiles import rank_index, value_counts
 from strata.operators.ranking import numbered
-from strata.plans import daily, gold, kpis, reports, staging, validated
+from strata.plans import daily, gold, kpis, reports, rules, staging, validated
+from strata.plans.check_state import Check, CheckState
 from strata.plans.daily import Options, Warehouse
 from strata.session import scratch_dir, written
 from strata.sources import bronze, changes, tables, versions
 from strata.streaming.landing import add_versions
-from verification.analogues import A_ISSUES, A_RELEASES, A_REPOS, STAR, Tables
+from verification.analogues import A_ISSUES, A_RELEASES, A_REPOS, ISSUE_CHECKS, STAR, Tables, failing
 from verification.model_queries import CONTRIBUTIONS, HEALTH, HEALTH_MEDIANS, SERIES, USERS, Star, as_of, rounded
 from verification.registry import query
 from verification.report_queries import REPO
@@ -285,3 +286,59 @@ def history_from_stream(t: Tables) -> DataFrame:
     for number, some in ((0, day <= 10), (1, (day > 10) & (day <= 20)), (1, (day > 10) & (day <= 20)), (2, day > 20)):
         add_versions(t.spark, path, one.filter(some), ["user_id"], "ts", tables.hash_bucket(["user_id"], 4), number)
     return tables.read_table(t.spark, path).select("event_id", "user_id", "valid_from", "valid_to")
+
+
+@query(f"""with {A_REPOS},{A_ISSUES}, v as (select *, {failing(ISSUE_CHECKS)} as f from a_issues)
+select issue_id, array_to_string(f, ',') as failed, len(f) > 0 as is_quarantined from v""")
+def rules_replay(t: Tables) -> DataFrame:
+    """Issues judged by other rules first, one of them stricter and one missing; after the change only their verdicts count."""
+    w = Warehouse(t.spark, scratch_dir(t.spark, "replay"), Options(buckets=4))
+    first = [Rule("comments_few", "comments_count < 3"), *rules.ISSUE_RULES[:-1]]
+    issues = t.a_issues().drop("true_repository_id")
+    judged = evaluate_rules(validated.resolve_by_url(issues, t.a_repos()), first)
+    w.upsert("validated/issues", judged, "issue_id", marks={"rules": rules_digest(first)})
+    daily.judged_again(w, "issues", rules.ISSUE_RULES, "issue_id")
+    return w.read("validated/issues").select("issue_id", F.array_join(FAILED, ",").alias("failed"), FLAG)
+
+
+CHECKED = (
+    Check("not_null", "orders", ("o_custkey",)),
+    Check("unique", "orders", ("o_orderkey",)),
+    Check("unique", "orders", ("o_custkey", "o_orderstatus")),
+    Check("relationships", "orders", ("o_custkey",), "customers", ("c_custkey",)),
+    Check("one_current", "history", ("c_custkey",)),
+)
+
+
+@query("""
+with o as (select o_orderkey, case when o_orderkey % 7 <> 0 then o_custkey end as o_custkey, o_orderstatus from orders)
+select 'not_null orders o_custkey' as "check", count(*) as violations from o where o_custkey is null
+union all select 'unique orders o_orderkey', 0
+union all select 'unique orders o_custkey,o_orderstatus',
+  (select count(*) from (select 1 from o where o_custkey is not null group by o_custkey, o_orderstatus having count(*) > 1))
+union all select 'relationships orders o_custkey',
+  (select count(*) from o where o_custkey in (select c_custkey from customer where c_custkey % 10 = 0)
+    or o_custkey not in (select c_custkey from customer))
+union all select 'one_current history c_custkey', 0""")
+def checks_by_deltas(t: Tables) -> DataFrame:
+    """Violations kept over two days on which children lose their key, change it, and parents come later than children."""
+    spark, root = t.spark, scratch_dir(t.spark, "checked")
+    paths = {n: f"{root}/{n}" for n in ("orders", "customers", "history")}
+    state = CheckState(spark, f"{root}/checks", paths, CHECKED, buckets=4)
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    lost = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey"))
+    moved = F.when(F.col("o_orderkey") % 5 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("o_custkey"))
+    customers = t.customer.select("c_custkey", "c_mktsegment").filter("c_custkey % 10 <> 0")
+    days = (
+        (orders.withColumn("o_custkey", moved).filter("o_orderkey % 2 = 0"), customers.filter("c_custkey % 3 = 0")),
+        (orders.withColumn("o_custkey", lost), customers.withColumn("c_mktsegment", F.lit("NEW"))),
+    )
+    for at, (children, parents) in enumerate(days):
+        changes.upsert_logged(spark, paths["orders"], children, ["o_orderkey"], tables.hash_bucket(["o_orderkey"], 4))
+        changes.upsert_logged(spark, paths["customers"], parents, ["c_custkey"], tables.hash_bucket(["c_custkey"], 4))
+        changes.snapshot_logged(
+            spark, paths["history"], parents, ["c_custkey"], tables.hash_bucket(["c_custkey"], 4), "check",
+            check_cols=["c_mktsegment"], as_of=F.lit(at),
+        )
+        state.refresh()
+    return state.violations()
