@@ -37,7 +37,7 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     held = names(spark, path)
     if VERSIONS in held:
         path = version_folder(spark, path) or path
-    elif all(n.startswith(("_", ".")) for n in held):  # nothing yet, or only empty batches
+    elif all(n.startswith(("_", ".")) and "=" not in n for n in held):  # nothing yet, or only empty batches
         return None
     try:
         return spark.read.parquet(path)
