@@ -3,16 +3,20 @@
 Documents with the same set are one node. HyperMinHash registers are banded; nodes that share a band are candidates.
 Links are only those that the full sets confirm. Pairs of a group are never listed:
 
-1. Every node goes to its star, the smallest node that leads one of its bands. Within a star, in blocks of bounded
-   size, full sets are compared by bit vectors, and a block gives a spanning forest of its links.
-2. Where a star of several blocks isn't connected yet, the nodes outside its leader's component are compared with the
-   other blocks.
-3. Bands that still hold nodes of different components and different stars are searched by the collision-corrected
-   estimate: first the best pairs that would connect a band, then, after those are confirmed or not, all that remain
-   above 0.75 less five standard errors. Both are confirmed on full sets.
-
-So the work follows the number of nodes, and of pairs that are close to the threshold but not connected. A link of
-exactly 0.75 is missed by all bands with a probability of about 1e-6.
+1. Every node goes to its star, the smallest node that leads one of its bands. Within a star, in blocks bounded by rows
+   and by bytes, registers are compared first, by the collision-corrected estimate. Only nodes with a partner above 0.75
+   less five standard errors send their full sets, which are compared by bit vectors; a block gives a spanning forest.
+2. Nodes of bands that still hold different components of different blocks are open. Two sets of that similarity share
+   one at least of the rarest quarter (and one more) of their shingles, in any order common to all sets. Counting
+   shingles over the open nodes gives that order; a set whose rare shingles are its own has no partner and no further cost.
+   This keeps texts apart that have only a common frame.
+3. Open nodes with a rare shingle in common are compared: sets of up to ``LIGHT`` shingles by themselves, as they are no
+   larger than registers, others by the estimate: first the best pairs that would connect components, then, after those
+   are confirmed or not, all that remain above the bar. Both are confirmed on full sets. Nodes of a shingle's
+   largest component meet only the nodes outside it.
+
+Sets of up to ``LITTLE`` shingles are always open, so that no link among them rests on a band. For larger sets a link of
+exactly 0.75 is missed by all bands with a probability below 2e-5 (simulated).
 
 Rows: null or empty text, or white space only, has no shingles and is linked with nothing. Rows with the same doc_id
 are one node for linking. A null doc_id takes part through its set only: it gets the component of its equals, or null.
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import hyperminhash as H
@@ -35,6 +39,9 @@ from strata.llm.text import distinct, mix, shingle_hashes, slices, word_hashes
 from strata.session import written
 
 BLOCK = 512
+BLOCK_BYTES = 32 << 20
+LIGHT = 64  # shingles whose hashes take as much room as registers
+LITTLE = 16
 NUM, DEN = 3, 4  # the threshold, as a fraction
 SURE = 5.0
 
@@ -65,8 +72,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([len(s) for s in sets], pa.int64()),
                     *(pa.array(sums[:, k].view(np.int64)) for k in (0, 1)),
                     pa.array(codes, pa.binary()),
+                    pa.array([s.tobytes() if len(s) <= LIGHT else None for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "h1", "h2", "registers"],
+                ["doc_id", "n_shingles", "h1", "h2", "registers", "light"],
             )
 
 
@@ -86,7 +94,16 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, sets in shingle_sets(batch.column("text")):
             ids = batch.column("doc_id").slice(row, len(sets))
-            yield pa.RecordBatch.from_arrays([ids, _binary(sets)], ["node", "shingles"])
+            part = np.array([mix(s ^ np.uint64(11)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(part), _binary(sets)], ["node", "part", "shingles"])
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, part, raw in zip(*(batch.column(c).to_pylist() for c in ("node", "part", "shingles")), strict=True):
+            own = np.frombuffer(raw, np.int64)
+            columns = (np.full(len(own), v, np.int64) for v in (node, part, len(own)))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(own)], ["node", "part", "n", "shingle"])
 
 
 class _Forest:
@@ -127,15 +144,13 @@ def _similar(inter: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _links_in_block(table: pa.Table) -> pa.Table:
-    """A spanning forest of the links in a block. Roles: 0 any with any, 1 only with 2."""
-    node, role, comp = (table[c].to_numpy() for c in ("node", "role", "component"))
+    """A spanning forest of the links in a block."""
+    node = table["node"].to_numpy()
     sets = [np.frombuffer(b, np.uint64) for b in table["shingles"].to_pylist()]
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     bits, forest, out = _shared(sets), _Forest(len(sets)), []
     for k in range(len(sets)):
-        if role[k] == 2:
-            continue
-        rest = np.arange(k + 1, len(sets)) if role[k] == 0 else np.flatnonzero((role == 2) & (comp != comp[k]))
+        rest = np.arange(k + 1, len(sets))
         rest = rest[(np.minimum(size[rest], size[k]) * DEN >= NUM * np.maximum(size[rest], size[k]))]
         inter = np.bitwise_count(bits[rest] & bits[k]).sum(axis=1, dtype=np.int64)
         for j in rest[_similar(inter, size[rest], size[k])]:
@@ -144,32 +159,64 @@ def _links_in_block(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
+def _estimates(lines: np.ndarray, size: np.ndarray, k: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity of row k to the others, and whether it may reach the threshold."""
+    guess = H.estimate((lines[rest] == lines[k]).mean(axis=1), size[rest], size[k])
+    return guess, guess >= NUM / DEN - SURE * H.spread(np.minimum(size[rest], size[k]))
+
+
+def _promising(table: pa.Table) -> pa.Table:
+    """The rows of a block that have a partner by the estimate."""
+    size = table["n_shingles"].to_numpy()
+    lines = _matrix(table["registers"])
+    near = np.zeros(len(size), bool)
+    for k in range(len(size)):
+        rest = np.arange(k + 1, len(size))
+        rest = rest[np.minimum(size[rest], size[k]) * DEN >= NUM * np.maximum(size[rest], size[k])]
+        if near[k]:
+            rest = rest[~near[rest]]
+        if len(rest):
+            hit = rest[_estimates(lines, size, k, rest)[1]]
+            near[hit] = True
+            near[k] |= len(hit) > 0
+    return table.select(["star", "block", "node"]).filter(pa.array(near))
+
+
 def _near_pairs(best: bool):
-    """Pairs of different components and stars of a band whose estimate reaches the threshold, or nearly."""
+    """Pairs of different components and blocks of a cell: links of light sets, and pairs that may be links by estimate."""
 
     def search(table: pa.Table) -> pa.Table:
-        node, comp, star, size, chunk = (table[c].to_numpy() for c in ("node", "component", "star", "n_shingles", "chunk"))
-        lines = _matrix(table["registers"].combine_chunks() if table["registers"].num_chunks != 1 else table["registers"].chunk(0))
-        first = chunk == chunk.min()
-        other = ~first if chunk.max() > chunk.min() else first
-        left, right, score = [], [], []
+        names = ("node", "component", "star", "block", "n_shingles", "side")
+        node, comp, star, block, size, side = (table[c].to_numpy() for c in names)
+        lines, raw = _matrix(table["registers"]), table["light"].to_pylist()
+        light = np.array([r is not None for r in raw])
+        bits = _shared([np.frombuffer(r or b"", np.uint64) for r in raw]) if light.any() else None
+        first = side == side.min()
+        other = ~first if side.max() > side.min() else first
+        sure, left, right, score = [], [], [], []
         for k in np.flatnonzero(first):
-            ok = other & (comp != comp[k]) & (star != star[k]) & (node != node[k])
+            ok = other & (comp != comp[k]) & ((star != star[k]) | (block != block[k])) & (node != node[k])
             ok &= np.minimum(size, size[k]) * DEN >= NUM * np.maximum(size, size[k])
-            rest = np.flatnonzero(ok)
+            exact = np.flatnonzero(ok & light) if light[k] else np.zeros(0, np.int64)
+            if len(exact):
+                inter = np.bitwise_count(bits[exact] & bits[k]).sum(axis=1, dtype=np.int64)
+                sure += [(k, j) for j in exact[_similar(inter, size[exact], size[k])].tolist()]
+            rest = np.flatnonzero(ok & ~light) if light[k] else np.flatnonzero(ok)
             if len(rest):
-                guess = H.estimate((lines[rest] == lines[k]).mean(axis=1), size[rest], size[k])
-                keep = guess >= NUM / DEN - SURE * H.spread(np.minimum(size[rest], size[k]))
+                guess, keep = _estimates(lines, size, k, rest)
                 left += [k] * int(keep.sum())
                 right += rest[keep].tolist()
                 score += guess[keep].tolist()
-        pairs = list(zip(left, right, strict=True))
+        number = {c: k for k, c in enumerate(np.unique(comp).tolist())}
+        forest = _Forest(len(number))
+        tops = [number[c] for c in comp.tolist()]
+        pairs = [p for p in sure if forest.join(tops[p[0]], tops[p[1]])]
+        guessed = [p for p in zip(left, right, strict=True) if forest.top(tops[p[0]]) != forest.top(tops[p[1]])]
         if best:
-            number = {c: k for k, c in enumerate(np.unique(comp).tolist())}
-            forest = _Forest(len(number))
-            tops = [number[c] for c in comp.tolist()]
-            pairs = [pairs[k] for k in np.argsort(-np.array(score)) if forest.join(tops[pairs[k][0]], tops[pairs[k][1]])]
-        ends = {tuple(sorted((int(node[a]), int(node[b])))) for a, b in pairs}
+            rank = dict(zip(zip(left, right, strict=True), score, strict=True))
+            guessed.sort(key=lambda p: -rank[p])
+            guessed = [p for p in guessed if forest.join(tops[p[0]], tops[p[1]])]
+        ends = {tuple(sorted((int(node[a]), int(node[b])))) for a, b in pairs + guessed}
         return pa.table({"a": pa.array([a for a, _ in ends], pa.int64()), "b": pa.array([b for _, b in ends], pa.int64())})
 
     return search
@@ -191,7 +238,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     sketch = written(
-        rows.mapInArrow(tidied(_sketch), "doc_id long, n_shingles long, h1 long, h2 long, registers binary"), "sketch"
+        rows.mapInArrow(tidied(_sketch), "doc_id long, n_shingles long, h1 long, h2 long, registers binary, light binary"), "sketch"
     )
     same_set = ["n_shingles", "h1", "h2"]
     classes = sketch.filter("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("node"))
@@ -199,32 +246,29 @@ def near_components(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("node")).otherwise(F.col("doc_id")).alias("node"),
-        F.when(F.col("doc_id") == F.col("node"), F.col("registers")).alias("registers"),
+        *(F.when(F.col("doc_id") == F.col("node"), F.col(c)).alias(c) for c in ("registers", "light")),
     )
     noded = written(noded, "nodes")
-    nodes = noded.filter("registers is not null").select("node", "n_shingles", "registers")
+    nodes = noded.filter("registers is not null").select("node", "n_shingles", "registers", "light")
 
     banded = nodes.select("node", "registers").mapInArrow(_banded, "band long, node long")
     shared = (
         banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
     )
     members = written(banded.join(shared.select("band", "leader"), "band"), "band-members")
-    star = written(members.groupBy("node").agg(F.min("leader").alias("star")), "stars")
+    placed = written(_placed(members, nodes), "stars")
 
-    wanted = rows.join(star.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    sets = written(wanted.mapInArrow(tidied(_full), "node long, shingles binary"), "sets")
+    wanted = rows.join(placed.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    sets = written(wanted.mapInArrow(tidied(_full), "node long, part long, shingles binary"), "sets")
+    full = sets.select("node", "shingles")
 
-    links = written(_star_links(star, sets), "star-links")
-    found = _found(star, components(links))
-    more = _cross_block_links(found, sets)
-    links = written(links.union(more), "star-links")
-    found = _found(star, components(links))
+    found = _with(placed.withColumn("component", F.col("node")), written(_star_links(placed, nodes, full), "star-links"))
+    rare = written(_rare(written(_open(members, found), "open"), sets), "rare")
     for best in (True, False):
-        pairs = written(_band_pairs(members, found, nodes, best), "near-pairs")
-        a, b = sets.toDF("a", "x"), sets.toDF("b", "y")
+        pairs = written(_rare_pairs(rare, found, nodes, best), "near-pairs")
+        a, b = full.toDF("a", "x"), full.toDF("b", "y")
         near = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_confirmed, "a long, b long")
-        links = written(links.union(near), "links")
-        found = _found(star, components(links))
+        found = _with(found, written(near, "links"))
     total = noded.join(found.select("node", "component"), "node", "left")
     component = F.coalesce("component", "node")
     return total.select(
@@ -235,62 +279,84 @@ def near_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def _found(star: DataFrame, parts: DataFrame) -> DataFrame:
-    """Every node that shares a band: its star and its component so far."""
-    return written(
-        star.join(parts, "node", "left").select("node", "star", F.coalesce("component", "node").alias("component")),
-        "found",
-    )
+def _placed(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Star and block of every node that shares a band, and of every little set (in a star of its own)."""
+    star = members.groupBy("node").agg(F.min("leader").alias("star"))
+    sized = nodes.groupBy("node").agg(F.max("n_shingles").alias("size"), F.min("n_shingles").alias("least"))
+    own = sized.join(star, "node", "left").filter(F.col("star").isNotNull() | (F.col("least") <= LITTLE))
+    own = own.select("node", F.coalesce("star", "node").alias("star"), "size", (F.col("least") <= LITTLE).alias("little"))
+    many = F.greatest(F.count("*") / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)
+    sizes = own.groupBy("star").agg(F.ceil(many).cast("long").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+    return own.join(sizes, "star").select("node", "star", block, "little")
 
 
-def _blocks(star: DataFrame) -> DataFrame:
-    sizes = star.groupBy("star").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
-    return star.join(sizes, "star").select("*", block)
-
-
-def _star_links(star: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links within each block of each star; the leader is in every block."""
-    blocks = _blocks(star)
-    leaders = blocks.filter("node <> star").select("star", "block").distinct().withColumn("node", F.col("star"))
-    cells = blocks.filter("node <> star").select("star", "block", "node").union(leaders.select("star", "block", "node"))
-    cells = cells.join(sets, "node").withColumn("role", F.lit(0)).withColumn("component", F.lit(0).cast("long"))
-    return cells.groupBy("star", "block").applyInArrow(_links_in_block, "a long, b long")
-
-
-def _cross_block_links(found: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of the nodes outside the leader's component with nodes of other blocks of their star."""
-    leader = found.select(F.col("node").alias("star"), F.col("component").alias("leading"))
-    blocks = _blocks(found).filter("blocks > 1").join(leader, "star", "left")
-    asks = blocks.filter("component <> coalesce(leading, star)")
-    asking = asks.select("star", F.col("block").alias("of")).distinct()
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    ask = asks.withColumn("to", every).filter("to <> block").select("star", F.col("block").alias("of"), "to", "node", "component", F.lit(1).alias("role"))
-    answer = (
-        blocks.join(asking, "star").filter("of <> block")
-        .select("star", "of", F.col("block").alias("to"), "node", "component", F.lit(2).alias("role"))
-    )
-    cells = ask.union(answer).join(sets, "node")
-    return cells.groupBy("star", "of", "to").applyInArrow(_links_in_block, "a long, b long")
+def _with(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` after further links: only the components that they touch are joined."""
+    of = found.select("node", "component")
+    ends = links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    into = components(ends).toDF("component", "into")
+    joined = found.join(into, "component", "left").withColumn("component", F.coalesce("into", "component"))
+    return written(joined.select("node", "star", "block", "little", "component"), "found")
 
 
-def _band_pairs(members: DataFrame, found: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+def _star_links(placed: DataFrame, nodes: DataFrame, full: DataFrame) -> DataFrame:
+    """Links within each block of each star; the leader is in every block. Registers move first, sets of survivors after."""
+    inner = placed.filter("node <> star").select("star", "block", "node")
+    cells = inner.union(inner.select("star", "block").distinct().select("star", "block", F.col("star").alias("node")))
+    cells = cells.join(nodes.select("node", "n_shingles", "registers"), "node")
+    near = cells.groupBy("star", "block").applyInArrow(_promising, "star long, block long, node long").distinct()
+    return near.join(full, "node").groupBy("star", "block").applyInArrow(_links_in_block, "a long, b long")
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Nodes of bands that hold several components in several blocks, and all little sets."""
     rows = members.select("band", "node").join(found, "node")
+    cell = F.struct("star", "block")
     mixed = (
         rows.groupBy("band")
-        .agg(
-            *(f(c).alias(f"{n}_{c}") for c in ("component", "star") for f, n in ((F.min, "min"), (F.max, "max"))),
-            F.ceil(F.count("*") / (2 * BLOCK)).cast("long").alias("chunks"),
-        )
-        .filter("min_component < max_component and min_star < max_star")
+        .agg(*(f(c).alias(n) for n, f, c in (("c", F.min, "component"), ("d", F.max, "component"), ("p", F.min, cell), ("q", F.max, cell))))
+        .filter("c < d and p < q")
+    )
+    nodes = members.join(mixed.select("band"), "band", "left_semi").select("node")
+    return nodes.union(found.filter("little").select("node")).distinct()
+
+
+def _rare(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The shingles of each open node by which a partner must be found: its rarest quarter and one, where others have them."""
+    own = sets.join(nodes, "node", "left_semi").dropDuplicates(["node", "part"])
+    postings = written(own.mapInArrow(_postings, "node long, part long, n long, shingle long"), "postings")
+    counts = postings.groupBy("shingle").agg(F.count("*").alias("times")).filter("times > 1")
+    place = F.row_number().over(Window.partitionBy("node", "part").orderBy(F.desc("times"), F.desc("shingle")))
+    ranked = postings.join(counts, "shingle").withColumn("place", place)
+    return ranked.filter(F.col("place") >= F.col("n") - F.floor(F.col("n") * (DEN - NUM) / DEN)).select("node", "shingle").distinct()
+
+
+def _rare_pairs(rare: DataFrame, found: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+    """Candidates among nodes with a rare shingle in common: those outside its largest component among each other and with it."""
+    rows = rare.join(found, "node")
+    cell = F.struct("star", "block")
+    each = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.min(cell).alias("p"), F.max(cell).alias("q"))
+    total = each.groupBy("shingle").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.min("p").alias("p"), F.max("q").alias("q")
     )
-    cells = rows.join(mixed.select("band", "chunks"), "band").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
-    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    cells = cells.select(
-        "band", F.least("chunk", "with").alias("i"), F.greatest("chunk", "with").alias("j"), "chunk", "node", "component", "star"
+    chunks = lambda n: F.ceil(n / BLOCK).cast("long")
+    mixed = total.filter("n > top.n and p < q").select(
+        "shingle", F.col("top.component").alias("main"), chunks(F.col("top.n")).alias("mains"),
+        chunks(F.col("n") - F.col("top.n")).alias("others"),
     )
-    cells = cells.join(nodes, "node")
-    return cells.groupBy("band", "i", "j").applyInArrow(_near_pairs(best), "a long, b long").distinct()
+    rows = rows.join(mixed, "shingle").withColumn("is_main", F.col("component") == F.col("main"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
+    rows = rows.withColumn("own", own)
+    to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    cell_of = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.cast("long").alias("side"))
+    mine = F.col("own")
+    beside = F.transform(to("others"), lambda o: cell_of(F.least(mine, o), -1 - F.greatest(mine, o), mine))
+    across = F.transform(to("mains"), lambda m: cell_of(mine, m, F.lit(0)))
+    main = F.transform(to("others"), lambda o: cell_of(o, mine, F.lit(1)))
+    cells = rows.withColumn("cell", F.explode(F.when(F.col("is_main"), main).otherwise(F.concat(beside, across))))
+    cells = cells.select("shingle", "cell.*", "node", "component", "star", "block").join(nodes, "node")
+    return cells.groupBy("shingle", "i", "j").applyInArrow(_near_pairs(best), "a long, b long").distinct()
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

@@ -99,6 +99,27 @@ def test_near_components_equal_all_pairs(spark, monkeypatch, block):
     assert all(r.n_shingles == len(shingles(sizes[r.doc_id])) for r in got)
 
 
+def test_little_links_are_all_found_and_loose_texts_cost_nothing(spark, monkeypatch):
+    """Links of three of four shingles, which bands may miss; and texts with a common frame, none of them near."""
+    tried = []
+    find = near_dedup._rare_pairs
+
+    def counted(*args):
+        pairs = find(*args)
+        tried.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_rare_pairs", counted)
+    frame = " ".join(f"frame{k}" for k in range(12))
+    loose = [(k, f"{frame} " + " ".join(f"own{k}x{j}" for j in range(6))) for k in range(1500)]
+    got = near_dedup.near_components(spark.createDataFrame(loose, "doc_id long, text string"))
+    assert got.filter("kept").count() == 1500 and tried == [0, 0]
+    little = [(2 * k, " ".join(f"w{k}x{j}" for j in range(8))) for k in range(2000)]
+    little += [(2 * k + 1, " ".join(f"w{k}x{j}" for j in range(7))) for k in range(2000)]
+    got = near_dedup.near_components(spark.createDataFrame(little + [(i + 5000, t) for i, t in loose], "doc_id long, text string"))
+    assert got.filter("not kept").count() == 2000 and got.filter("component_id = doc_id - doc_id % 2 and doc_id < 4000").count() == 4000
+
+
 def test_near_components_of_odd_rows(odd, nothing):
     got = near_dedup.near_components(odd)
     assert got.count() == len(ODD)
