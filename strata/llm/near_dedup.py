@@ -8,14 +8,17 @@ Links are only those that the full sets confirm. Pairs of a group are never list
    less five standard errors send their full sets, which are compared by bit vectors; a block gives a spanning forest.
 2. Nodes of bands that still hold different components of different blocks are open. Two sets of that similarity share
    one at least of the rarest quarter (and one more) of their shingles, in any order common to all sets. Counting
-   shingles over the open nodes gives that order; a set whose rare shingles are its own has no partner and no further cost.
-   This keeps texts apart that have only a common frame.
-3. Open nodes with a rare shingle in common are compared: sets of up to ``LIGHT`` shingles by themselves, as they are no
-   larger than registers, others by the estimate: first the best pairs that would connect components, then, after those
-   are confirmed or not, all that remain above the bar. Both are confirmed on full sets. Nodes of a shingle's
+   shingles over the open nodes gives that order. An open node goes on only if such a shingle of its own is also one of a
+   node of another component, so texts that have only a common frame, like pages of one template, cost nothing further.
+3. Where a star of several blocks isn't connected yet, its nodes outside its leader's component are compared with the
+   other blocks, by full sets.
+4. Bands that still hold different components and stars are searched: sets of up to ``LIGHT`` shingles by themselves, as
+   they are no larger than registers, others by the estimate: first the best pairs that would connect components, then,
+   after those are confirmed or not, all that remain above the bar. Both are confirmed on full sets. Nodes of a band's
    largest component meet only the nodes outside it.
 
-Sets of up to ``LITTLE`` shingles are always open, so that no link among them rests on a band. For larger sets a link of
+Sets of up to ``LITTLE`` shingles are always open and meet at their rare shingles as well as in bands, so that no link
+among them rests on a band. For larger sets a link of
 exactly 0.75 is missed by all bands with a probability below 2e-5 (simulated).
 
 Rows: null or empty text, or white space only, has no shingles and is linked with nothing. Rows with the same doc_id
@@ -144,13 +147,15 @@ def _similar(inter: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _links_in_block(table: pa.Table) -> pa.Table:
-    """A spanning forest of the links in a block."""
-    node = table["node"].to_numpy()
+    """A spanning forest of the links in a block. Roles: 0 any with any, 1 only with 2 of other components."""
+    node, role, comp = (table[c].to_numpy() for c in ("node", "role", "component"))
     sets = [np.frombuffer(b, np.uint64) for b in table["shingles"].to_pylist()]
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     bits, forest, out = _shared(sets), _Forest(len(sets)), []
     for k in range(len(sets)):
-        rest = np.arange(k + 1, len(sets))
+        if role[k] == 2:
+            continue
+        rest = np.arange(k + 1, len(sets)) if role[k] == 0 else np.flatnonzero((role == 2) & (comp != comp[k]))
         rest = rest[(np.minimum(size[rest], size[k]) * DEN >= NUM * np.maximum(size[rest], size[k]))]
         inter = np.bitwise_count(bits[rest] & bits[k]).sum(axis=1, dtype=np.int64)
         for j in rest[_similar(inter, size[rest], size[k])]:
@@ -183,11 +188,11 @@ def _promising(table: pa.Table) -> pa.Table:
 
 
 def _near_pairs(best: bool):
-    """Pairs of different components and blocks of a cell: links of light sets, and pairs that may be links by estimate."""
+    """Pairs of different components and stars of a cell: links of light sets, and pairs that may be links by estimate."""
 
     def search(table: pa.Table) -> pa.Table:
-        names = ("node", "component", "star", "block", "n_shingles", "side")
-        node, comp, star, block, size, side = (table[c].to_numpy() for c in names)
+        names = ("node", "component", "star", "n_shingles", "side")
+        node, comp, star, size, side = (table[c].to_numpy() for c in names)
         lines, raw = _matrix(table["registers"]), table["light"].to_pylist()
         light = np.array([r is not None for r in raw])
         bits = _shared([np.frombuffer(r or b"", np.uint64) for r in raw]) if light.any() else None
@@ -195,7 +200,7 @@ def _near_pairs(best: bool):
         other = ~first if side.max() > side.min() else first
         sure, left, right, score = [], [], [], []
         for k in np.flatnonzero(first):
-            ok = other & (comp != comp[k]) & ((star != star[k]) | (block != block[k])) & (node != node[k])
+            ok = other & (comp != comp[k]) & (star != star[k]) & (node != node[k])
             ok &= np.minimum(size, size[k]) * DEN >= NUM * np.maximum(size, size[k])
             exact = np.flatnonzero(ok & light) if light[k] else np.zeros(0, np.int64)
             if len(exact):
@@ -264,8 +269,13 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     found = _with(placed.withColumn("component", F.col("node")), written(_star_links(placed, nodes, full), "star-links"))
     rare = written(_rare(written(_open(members, found), "open"), sets), "rare")
+    partners = written(_partners(rare, found), "partners")
+    found = _with(found, written(_cross_block_links(found, partners, full), "cross-links"))
+    little = found.filter("little").select("node")
+    bands = members.select("band", "node").join(partners, "node", "left_semi")
+    bands = written(bands.unionByName(rare.toDF("node", "band").join(little, "node", "left_semi")), "bands")
     for best in (True, False):
-        pairs = written(_rare_pairs(rare, found, nodes, best), "near-pairs")
+        pairs = written(_band_pairs(bands, found, nodes, best), "near-pairs")
         a, b = full.toDF("a", "x"), full.toDF("b", "y")
         near = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_confirmed, "a long, b long")
         found = _with(found, written(near, "links"))
@@ -288,7 +298,7 @@ def _placed(members: DataFrame, nodes: DataFrame) -> DataFrame:
     many = F.greatest(F.count("*") / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)
     sizes = own.groupBy("star").agg(F.ceil(many).cast("long").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
-    return own.join(sizes, "star").select("node", "star", block, "little")
+    return own.join(sizes, "star").select("node", "star", block, "blocks", "little")
 
 
 def _with(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -297,7 +307,7 @@ def _with(found: DataFrame, links: DataFrame) -> DataFrame:
     ends = links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     into = components(ends).toDF("component", "into")
     joined = found.join(into, "component", "left").withColumn("component", F.coalesce("into", "component"))
-    return written(joined.select("node", "star", "block", "little", "component"), "found")
+    return written(joined.select("node", "star", "block", "blocks", "little", "component"), "found")
 
 
 def _star_links(placed: DataFrame, nodes: DataFrame, full: DataFrame) -> DataFrame:
@@ -306,7 +316,8 @@ def _star_links(placed: DataFrame, nodes: DataFrame, full: DataFrame) -> DataFra
     cells = inner.union(inner.select("star", "block").distinct().select("star", "block", F.col("star").alias("node")))
     cells = cells.join(nodes.select("node", "n_shingles", "registers"), "node")
     near = cells.groupBy("star", "block").applyInArrow(_promising, "star long, block long, node long").distinct()
-    return near.join(full, "node").groupBy("star", "block").applyInArrow(_links_in_block, "a long, b long")
+    near = near.join(full, "node").withColumns({"role": F.lit(0), "component": F.lit(0).cast("long")})
+    return near.groupBy("star", "block").applyInArrow(_links_in_block, "a long, b long")
 
 
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -332,20 +343,40 @@ def _rare(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return ranked.filter(F.col("place") >= F.col("n") - F.floor(F.col("n") * (DEN - NUM) / DEN)).select("node", "shingle").distinct()
 
 
-def _rare_pairs(rare: DataFrame, found: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
-    """Candidates among nodes with a rare shingle in common: those outside its largest component among each other and with it."""
-    rows = rare.join(found, "node")
-    cell = F.struct("star", "block")
-    each = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.min(cell).alias("p"), F.max(cell).alias("q"))
-    total = each.groupBy("shingle").agg(
+def _partners(rare: DataFrame, found: DataFrame) -> DataFrame:
+    """Open nodes that have a rare shingle in common with a node of another component."""
+    rows = rare.join(found.select("node", "component"), "node")
+    ends = rows.groupBy("shingle").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d")
+    return rare.join(ends.select("shingle"), "shingle", "left_semi").select("node").distinct()
+
+
+def _cross_block_links(found: DataFrame, partners: DataFrame, full: DataFrame) -> DataFrame:
+    """Links of the partners outside the leader's component with partners in other blocks of their star."""
+    leader = found.select(F.col("node").alias("star"), F.col("component").alias("leading"))
+    blocks = found.filter("blocks > 1").join(partners, "node", "left_semi").join(leader, "star", "left")
+    asks = blocks.filter("component <> coalesce(leading, star)")
+    asking = asks.select("star", F.col("block").alias("of")).distinct()
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    cell = ("star", "of", "to", "node", "component", "role")
+    ask = asks.withColumns({"of": F.col("block"), "to": every, "role": F.lit(1)}).filter("to <> block").select(*cell)
+    answer = blocks.join(asking, "star").filter("of <> block").withColumns({"to": F.col("block"), "role": F.lit(2)}).select(*cell)
+    cells = ask.union(answer).join(full, "node")
+    return cells.groupBy("star", "of", "to").applyInArrow(_links_in_block, "a long, b long")
+
+
+def _band_pairs(bands: DataFrame, found: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+    """Candidates in each band: the nodes outside its largest component with each other and with that component."""
+    rows = bands.join(found, "node")
+    each = rows.groupBy("band", "component").agg(F.count("*").alias("n"), F.min("star").alias("p"), F.max("star").alias("q"))
+    total = each.groupBy("band").agg(
         F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.min("p").alias("p"), F.max("q").alias("q")
     )
     chunks = lambda n: F.ceil(n / BLOCK).cast("long")
     mixed = total.filter("n > top.n and p < q").select(
-        "shingle", F.col("top.component").alias("main"), chunks(F.col("top.n")).alias("mains"),
+        "band", F.col("top.component").alias("main"), chunks(F.col("top.n")).alias("mains"),
         chunks(F.col("n") - F.col("top.n")).alias("others"),
     )
-    rows = rows.join(mixed, "shingle").withColumn("is_main", F.col("component") == F.col("main"))
+    rows = rows.join(mixed, "band").withColumn("is_main", F.col("component") == F.col("main"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
     rows = rows.withColumn("own", own)
     to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
@@ -355,8 +386,8 @@ def _rare_pairs(rare: DataFrame, found: DataFrame, nodes: DataFrame, best: bool)
     across = F.transform(to("mains"), lambda m: cell_of(mine, m, F.lit(0)))
     main = F.transform(to("others"), lambda o: cell_of(o, mine, F.lit(1)))
     cells = rows.withColumn("cell", F.explode(F.when(F.col("is_main"), main).otherwise(F.concat(beside, across))))
-    cells = cells.select("shingle", "cell.*", "node", "component", "star", "block").join(nodes, "node")
-    return cells.groupBy("shingle", "i", "j").applyInArrow(_near_pairs(best), "a long, b long").distinct()
+    cells = cells.select("band", "cell.*", "node", "component", "star").join(nodes, "node")
+    return cells.groupBy("band", "i", "j").applyInArrow(_near_pairs(best), "a long, b long").distinct()
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

@@ -102,14 +102,14 @@ def test_near_components_equal_all_pairs(spark, monkeypatch, block):
 def test_little_links_are_all_found_and_loose_texts_cost_nothing(spark, monkeypatch):
     """Links of three of four shingles, which bands may miss; and texts with a common frame, none of them near."""
     tried = []
-    find = near_dedup._rare_pairs
+    find = near_dedup._band_pairs
 
     def counted(*args):
         pairs = find(*args)
         tried.append(pairs.count())
         return pairs
 
-    monkeypatch.setattr(near_dedup, "_rare_pairs", counted)
+    monkeypatch.setattr(near_dedup, "_band_pairs", counted)
     frame = " ".join(f"frame{k}" for k in range(12))
     loose = [(k, f"{frame} " + " ".join(f"own{k}x{j}" for j in range(6))) for k in range(1500)]
     got = near_dedup.near_components(spark.createDataFrame(loose, "doc_id long, text string"))
