@@ -46,7 +46,9 @@ def parse_bronze(raw: DataFrame, ingest_ts: Column, ingestion_date: str | None =
     return raw.select(line).select(*[taken[name].alias(name) for name in COLUMNS])
 
 
-def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], gather: bool = False) -> int:
+def replace_partitions(
+    df: DataFrame, path: str, partition_cols: Sequence[str], gather: bool = False, compression: str | None = None
+) -> int:
     """Overwrite exactly the partitions present in ``df``; a rerun replaces, never appends. Returns rows written.
 
     The count comes from the write itself, not from a second pass. ``gather`` brings the rows of a partition
@@ -60,7 +62,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
-        .parquet(path)
+        .parquet(path, compression=compression)
     )
     return seen.get["n_rows"]
 

@@ -28,12 +28,14 @@ from strata.operators.dedup import dedup_latest
 from strata.operators.scd2 import scd2_changes, scd2_from_history
 from strata.session import scratch_dir
 from strata.sources.bronze import replace_partitions
-from strata.sources.files import delete_folder, names, read_text, write_text
+from strata.sources.files import delete_folder, folder_bytes, names, read_text, write_text
 from strata.sources.tables import BUCKET, OPEN, STATE, read_or_none, touched_buckets
 
 CHANGE = "change"  # before, after; opened, closed, refreshed, passed (opened and closed by one write)
 NUMBER = "change_no"
 PLANNED, COMMITTED = ".planned", ".committed"
+COMPRESSION = "zstd"  # keys of 32 hex digits take half the room
+FEW_BUCKETS, LARGE_BYTES = 8, 32 << 20  # touched buckets, and changed bytes in each, from which a write is not gathered
 Apply = Callable[[DataFrame, list[int], int], None]  # changed rows, their buckets, number of the write
 
 
@@ -58,10 +60,14 @@ class ChangeLog:
         newest = self.newest()
         return json.loads(read_text(self.spark, self._at(newest, COMMITTED))) if newest else {}
 
+    def writes(self, number: int = 0) -> list[int]:
+        """Finished writes after ``number`` whose changes are kept."""
+        kept = set(names(self.spark, self.root))
+        return [n for n in sorted(self._numbers(COMMITTED)) if n > number and f"{n:010d}" in kept]
+
     def since(self, number: int = 0) -> DataFrame | None:
         """Changed rows of the finished writes after ``number``; None where there are none."""
-        kept = set(names(self.spark, self.root))
-        paths = [self._at(n) for n in sorted(self._numbers(COMMITTED)) if n > number and f"{n:010d}" in kept]
+        paths = [self._at(n) for n in self.writes(number)]
         return self.spark.read.parquet(*paths) if paths else None
 
     def forget(self, upto: int) -> None:
@@ -106,7 +112,8 @@ class ChangeLog:
 def _written(df: DataFrame, path: str) -> tuple[DataFrame, list[int]]:
     """``df`` as a table, and its buckets: at most as many as the table has partitions."""
     seen = Observation()
-    df.observe(seen, F.collect_set(BUCKET).alias("buckets")).write.mode("overwrite").parquet(path)
+    rows = df.observe(seen, F.collect_set(BUCKET).alias("buckets"))
+    rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), sorted(seen.get["buckets"])
 
 
@@ -126,32 +133,41 @@ def merge_logged(
     batch: DataFrame,
     keys: Sequence[str],
     bucket: Column,
-    merged: Callable[[Column, Column], Column],
+    merged: Callable[[Column, Column], Column] | None = None,
     marks: dict | None = None,
     keep: Callable[[Column, Column], Column] | None = None,
+    stored: bool = False,
 ) -> int:
     """Merge ``batch`` (unique per key, keys may be null) into the table at ``path`` and log what changes.
 
-    ``merged(old row or null, new row)`` is the row afterwards, null to delete it; ``keep(old, new)`` says which batch rows
-    count at all. The feed holds the row ``before`` and the row ``after`` each change. Only touched buckets are read and
-    rewritten.
+    ``merged(old row or null, new row)`` is the row afterwards, null to delete it (without it: the new row); ``keep(old, new)``
+    says which batch rows count at all. The feed holds the row ``before`` and the row ``after`` each change. Only touched buckets
+    are read and rewritten. A ``stored`` batch is taken row by row from files that stay, such as another table's feed: it is read
+    again where it is needed, others are written first.
     """
     log = ChangeLog(spark, path)
 
-    def apply(changes: DataFrame, buckets: list[int], _: int) -> None:
+    def apply(changes: DataFrame, buckets: list[int], number: int) -> None:
         after = changes.filter(F.col(CHANGE) == "after").drop(CHANGE, NUMBER)
         table = read_or_none(spark, path)
         if table is not None:
             mine = table.filter(F.col(BUCKET).isin(buckets))
             after = _without(mine, changes, keys).unionByName(after.select(*mine.columns))
-        _replace(after, path, None, buckets)
+        _replace(after, path, None, buckets, number)
 
     log.finish(apply)
-    with _staged(batch.withColumn(BUCKET, bucket)) as (rows, buckets):
+    with _staged(batch.withColumn(BUCKET, bucket), stored) as (rows, buckets):
         if not buckets:
             return log.write(None, apply, marks or {})
         table = read_or_none(spark, path)
         whole = rows if table is None else table
+        if merged is None and keep is None:  # every batch row counts as it is: only the rows it replaces are looked up
+            changes = rows.select(*whole.columns, F.lit("after").alias(CHANGE))
+            if table is not None:
+                other = rows.select(*[F.col(k).alias(f"__{k}") for k in keys])
+                old = table.filter(F.col(BUCKET).isin(buckets)).join(other, _same(keys, "__"), "left_semi")
+                changes = changes.unionByName(old.withColumn(CHANGE, F.lit("before")))
+            return log.write(changes, apply, marks or {})
         row = F.struct(*[F.col(c) for c in whole.columns])
         new = rows.select(*[F.col(k).alias(f"__{k}") for k in keys], row.alias("n"))
         if table is None:
@@ -162,7 +178,7 @@ def merge_logged(
         o, n = F.col("o"), F.col("n")
         if keep is not None:
             paired = paired.filter(o.isNull() | keep(o, n))
-        after = F.when(n.isNotNull(), merged(o, n))
+        after = F.when(n.isNotNull(), n if merged is None else merged(o, n))
         both = F.array(
             F.when(o.isNotNull(), F.struct(F.lit("before").alias(CHANGE), o.alias("v"))),
             F.when(after.isNotNull(), F.struct(F.lit("after").alias(CHANGE), after.alias("v"))),
@@ -172,8 +188,11 @@ def merge_logged(
 
 
 @contextlib.contextmanager
-def _staged(df: DataFrame) -> Iterator[tuple[DataFrame, list[int]]]:
-    """``df`` as a table for the time of one block, and its buckets."""
+def _staged(df: DataFrame, stored: bool = False) -> Iterator[tuple[DataFrame, list[int]]]:
+    """``df`` as a table for the time of one block, and its buckets; as it is where it comes from ``stored`` files."""
+    if stored:
+        yield df, sorted(touched_buckets(df))
+        return
     path = scratch_dir(df.sparkSession, "batch")
     try:
         yield _written(df, path)
@@ -189,6 +208,7 @@ def upsert_logged(
     bucket: Column,
     newer_by: Sequence[str] | None = None,
     marks: dict | None = None,
+    stored: bool = False,
 ) -> int:
     """Upsert like ``tables.upsert_table``, leaving a feed of the rows that were replaced or added. Null keys are left out."""
 
@@ -196,15 +216,21 @@ def upsert_logged(
         return F.struct(*[x.getField(c) for c in newer_by])
 
     keep = None if newer_by is None else lambda o, n: rank(n) >= rank(o)
-    return merge_logged(spark, path, updates.dropna(subset=list(keys)), keys, bucket, lambda o, n: n, marks, keep)
+    return merge_logged(spark, path, updates.dropna(subset=list(keys)), keys, bucket, None, marks, keep, stored)
 
 
-def _replace(rows: DataFrame, path: str, state: str | None, buckets: list[int]) -> None:
-    """Rewrite the partitions of ``rows``; touched buckets that get no (open) rows any more are deleted."""
+def _replace(rows: DataFrame, path: str, state: str | None, buckets: list[int], number: int) -> None:
+    """Rewrite the partitions of ``rows``; touched buckets that get no (open) rows any more are deleted.
+
+    The rows of a bucket are brought together first, so that no task leaves a small file in each. A large write to few buckets
+    has no need of that shuffle: what every task holds of a bucket is a file of good size.
+    """
+    changed = folder_bytes(rows.sparkSession, f"{path}/_changes/{number:010d}")
+    gather = len(buckets) > FEW_BUCKETS or changed < LARGE_BYTES * len(buckets)
     columns = [BUCKET] if state is None else [STATE, BUCKET]
     mine = F.lit(True) if state is None else F.col(STATE) == state
     seen = Observation()
-    replace_partitions(rows.observe(seen, F.collect_set(F.when(mine, F.col(BUCKET))).alias("buckets")), path, columns, gather=True)
+    replace_partitions(rows.observe(seen, F.collect_set(F.when(mine, F.col(BUCKET))).alias("buckets")), path, columns, gather, COMPRESSION)
     for b in set(buckets) - set(seen.get["buckets"]):
         delete_folder(rows.sparkSession, f"{path}/{'' if state is None else f'{STATE}={state}/'}{BUCKET}={b}")
 
@@ -222,19 +248,21 @@ def snapshot_logged(
     refresh: Sequence[str] = (),
     hard_deletes: str = "ignore",
     marks: dict | None = None,
+    stored: bool = False,
 ) -> int:
     """Type-2 history of a batch (at most one row per key) that logs the versions it opens, closes and refreshes.
 
     Only buckets with changed versions are rewritten; versions closed by one write lie in a partition of their own.
+    A ``stored`` batch is not written first, as in :func:`merge_logged`.
 
     With ``hard_deletes="close"`` the batch is the whole population, and keys missing from it are closed at ``as_of``. A
     digest per bucket (rows, and two order-free sums of hashes of the keys and what opens a version) is compared with that of
     the batch before: buckets with the same digest hold neither changes nor deleted keys, and are not opened.
     """
     log = ChangeLog(spark, path)
-    apply = functools.partial(_apply_versions, path)
+    apply = functools.partial(_apply_versions, path, keys)
     log.finish(apply)
-    with _staged(source.dropna(subset=list(keys)).withColumn(BUCKET, bucket)) as (batch, buckets):
+    with _staged(source.dropna(subset=list(keys)).withColumn(BUCKET, bucket), stored) as (batch, buckets):
         digest = None
         if hard_deletes == "close":
             digest = _digests(batch, [*keys, *([updated_at] if strategy == "timestamp" else check_cols)])
@@ -264,7 +292,7 @@ def append_history_logged(
     and of rows with one key and time the one with the largest hash counts.
     """
     log = ChangeLog(spark, path)
-    apply = functools.partial(_apply_versions, path)
+    apply = functools.partial(_apply_versions, path, keys)
     log.finish(apply)
     one = dedup_latest(rows.dropna(subset=[*keys, updated_at]), [*keys, updated_at], [], null_keys="drop")
     with _staged(one.withColumn(BUCKET, bucket)) as (batch, buckets):
@@ -289,7 +317,7 @@ def _open_versions(spark: SparkSession, path: str, buckets: list[int]) -> DataFr
     return None if table is None else table.filter(F.col(BUCKET).isin(buckets) & (F.col(STATE) == OPEN)).drop(STATE)
 
 
-def _apply_versions(path: str, changes: DataFrame, buckets: list[int], number: int) -> None:
+def _apply_versions(path: str, keys: Sequence[str], changes: DataFrame, buckets: list[int], number: int) -> None:
     ended = F.col(CHANGE).isin("closed", "passed")
     live = changes.filter(~ended).withColumn(STATE, F.lit(OPEN))
     shut = changes.filter(ended).withColumn(STATE, F.lit(f"write-{number:010d}"))
@@ -297,8 +325,9 @@ def _apply_versions(path: str, changes: DataFrame, buckets: list[int], number: i
     table = read_or_none(changes.sparkSession, path)
     if table is not None:
         mine = table.filter(F.col(BUCKET).isin(buckets) & (F.col(STATE) == OPEN))
-        after = _without(mine, changes, ["scd_id"]).unionByName(after.select(*mine.columns))
-    _replace(after, path, OPEN, buckets)
+        # a changed key's open version is among the changes, or there is none any more
+        after = _without(mine, changes, keys).unionByName(after.select(*mine.columns))
+    _replace(after, path, OPEN, buckets, number)
 
 
 def _digests(batch: DataFrame, columns: Sequence[str]) -> dict[str, str]:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.scd2 import scd2_apply
+from strata.plans.daily import Options, Warehouse
 from strata.sources import changes, tables, versions
 from strata.sources.changes import ChangeLog, merge_logged, snapshot_logged, upsert_logged
 
@@ -171,3 +172,32 @@ def test_a_table_is_never_missing(spark, tmp_path):
     versions.overwrite_table(spark.range(1).toDF("k"), path)
     left = sorted(p.name for p in (tmp_path / "t" / "_versions").iterdir() if p.is_dir())
     assert left == ["0000000003", "0000000004"]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_what_a_feed_holds_is_not_written_again(spark, tmp_path, monkeypatch, large):
+    """One write's changes go on without a window and without a copy; a large write is not shuffled once more by bucket."""
+    w, key, staged = Warehouse(spark, str(tmp_path / "w"), Options(buckets=3)), "k", []
+    real, plain = changes._written, changes.replace_partitions
+    gathered = []
+    monkeypatch.setattr(changes, "_written", lambda df, path: staged.append(path) or real(df, path))
+    monkeypatch.setattr(changes, "replace_partitions", lambda df, path, by, gather, *more: gathered.append(gather) or plain(df, path, by, gather, *more))
+    if large:
+        monkeypatch.setattr(changes, "LARGE_BYTES", 1)
+    for at, records in enumerate(([(1, 1, 10), (2, 1, 20), (3, 1, 30)], [(2, 2, 21), (4, 2, 40)]), 1):
+        w.upsert("source", batch(spark, *records), key, ["updated_at"])
+        rows_now, mark = w.latest("source", "copy", [key], [])
+        assert "Window" not in rows_now._jdf.queryExecution().executedPlan().toString() and mark == {"source": at}
+        staged.clear()
+        w.upsert("copy", rows_now, key, marks=mark, stored=True)
+        snapshot_logged(spark, w.path("history"), rows_now, [key], w.bucket(key), "timestamp", "updated_at", stored=True)
+        assert len(staged) == 2 and all("/_changes/" in p for p in staged)
+    assert rows(w.read("copy"), "k", "v") == [(1, 10), (2, 21), (3, 30), (4, 40)]
+    assert rows(ChangeLog(spark, w.path("copy")).since(1), "change", "k", "v") == [("after", 2, 21), ("after", 4, 40), ("before", 2, 20)]
+    assert rows(w.read("history").filter("valid_to is null"), "k", "v") == [(1, 10), (2, 21), (3, 30), (4, 40)]
+    assert rows(w.read("history").filter("valid_to is not null"), "k", "v", "valid_to") == [(2, 20, 2)]
+    assert gathered == [not large] * 6
+    # several writes at once are compared
+    w.upsert("source", batch(spark, (2, 3, 22)), key, ["updated_at"])
+    w.upsert("source", batch(spark, (2, 4, 23)), key, ["updated_at"])
+    assert rows(w.latest("source", "copy", [key], [])[0], "k", "v") == [(2, 23)]
