@@ -6,9 +6,13 @@ events -> issues and change logs, part -> releases.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import written
+
 URL_PREFIX = "https://api.github.com/repos/"
 
 
@@ -157,6 +161,24 @@ class Tables:
         )
 
 
+class Kept(Tables):
+    """The same, for queries that read issues and pull requests many times: those are computed once and written."""
+
+    @cached_property
+    def kept_issues(self) -> DataFrame:
+        return written(super().a_issues(), "a-issues")
+
+    @cached_property
+    def kept_prs(self) -> DataFrame:
+        return written(super().a_prs(), "a-prs")
+
+    def a_issues(self) -> DataFrame:
+        return self.kept_issues
+
+    def a_prs(self) -> DataFrame:
+        return self.kept_prs
+
+
 A_REPOS = """
 a_repos as (
   select cast(n_nationkey as bigint) as repository_id, r_name as owner_login, n_name as repo_name,

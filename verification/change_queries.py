@@ -14,7 +14,7 @@ from strata.plans.daily import Options, Warehouse
 from strata.session import scratch_dir, written
 from strata.sources import bronze, changes, tables, versions
 from strata.streaming.landing import add_versions
-from verification.analogues import A_ISSUES, A_RELEASES, A_REPOS, ISSUE_CHECKS, STAR, Tables, failing
+from verification.analogues import A_ISSUES, A_RELEASES, A_REPOS, ISSUE_CHECKS, STAR, Kept, Tables, failing
 from verification.model_queries import CONTRIBUTIONS, HEALTH, HEALTH_MEDIANS, SERIES, USERS, Star, as_of, rounded
 from verification.registry import query
 from verification.report_queries import REPO
@@ -27,7 +27,8 @@ class Days:
     come as well."""
 
     def __init__(self, t: Tables, prs: bool = True, facts: bool = True, kpi_state: bool = False):
-        self.t, self.star = t, Star(t)
+        self.t = t = Kept(t.spark, t.dir)
+        self.star = Star(t)
         self.w = Warehouse(t.spark, scratch_dir(t.spark, "days"), Options(buckets=2))
         self.waiting: list[DataFrame] = []
         self.facts = facts
