@@ -55,3 +55,13 @@ def test_reports_keep_their_order(spark, sf_dir, name):
 
 def test_increments_are_not_empty(spark, sf_dir):
     assert QUERIES["hwm_filter"](spark, sf_dir).count() > 0
+
+
+def test_kept_views_are_computed_once(spark, sf_dir):
+    """What the export's tables are made of is written once: none of them goes back to the lines."""
+    from verification.analogues import Kept
+    from verification.model_queries import Star
+
+    star = Star(Kept(spark, sf_dir))
+    for df in (star.prs, star.users, star.build_fact_prs(), star.build_fact_issues()):
+        assert not [f for f in df.inputFiles() if "lineitem" in f or "events" in f]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.plans import reports
 from strata.session import scratch_dir
 from strata.sources import tables
-from verification.analogues import A_RELEASES, STAR, Tables
+from verification.analogues import A_RELEASES, STAR, Kept, Tables
 from verification.model_queries import (
     COMPLEXITY,
     CONTRIBUTIONS,
@@ -41,7 +41,7 @@ union all select 'kpi_pr_complexity', repo_id, pr_size_bucket, pr_id, total_line
 @query(EXPORTED)
 def kpi_export_roundtrip(t: Tables) -> DataFrame:
     """All four tables written and read back."""
-    star, path, none = Star(t), scratch_dir(t.spark, "export"), F.lit(None)
+    star, path, none = Star(Kept(t.spark, t.dir)), scratch_dir(t.spark, "export"), F.lit(None)
     exported = {
         "kpi_repo_health": (star.health, none, "total_issues", "total_prs", HEALTH_MEDIANS[0]),
         "kpi_time_series": (star.series, "month_year", "issues_opened", "prs_opened", HEALTH_MEDIANS[1]),
