@@ -100,7 +100,8 @@ def load_resource(
     raw = scan_raw(spark, raw_path)
     if raw.isEmpty():
         return None
-    return replace_partitions(parse_bronze(raw, ingest_ts, ingestion_date), bronze_path, ["_ingestion_date"])
+    lines = parse_bronze(raw, ingest_ts, ingestion_date)
+    return replace_partitions(lines, bronze_path, ["_ingestion_date"], compression="zstd")
 
 
 def load_all(

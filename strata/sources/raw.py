@@ -23,13 +23,23 @@ def wrap_envelope(
     http_status: int = 200,
     rate_limit_remaining: int | None = None,
     payload: Sequence[str] | None = None,
+    gather: bool = False,
 ) -> DataFrame:
-    """One JSON line per record: ``{"data": record, "lineage": {...}}``, plus the columns that place the file."""
+    """One JSON line per record: ``{"data": record, "lineage": {...}}``, plus the columns that place the file.
+
+    ``gather`` brings the records of a folder together and in order before they become lines, which are many times as long.
+    """
     payload = list(payload or df.columns)
 
     def text(v: str | Column) -> Column:
         return F.lit(v) if isinstance(v, str) else v
 
+    day, slug = text(ingestion_date), repo_slug(repo)
+    if gather:
+        df = df.withColumns({"__day": day, "__slug": slug})
+        df = df.hint("rebalance", "__day", "__slug").sortWithinPartitions("__day", "__slug")
+        day, slug = F.col("__day"), F.col("__slug")
+
     lineage = F.struct(
         F.lit(run_id).alias("extraction_run_id"),
         F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("ingestion_timestamp"),
@@ -45,19 +55,19 @@ def wrap_envelope(
     body = F.struct(F.struct(*payload).alias("data"), lineage.alias("lineage"))
     return df.select(
         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
-        text(ingestion_date).alias("ingestion_date"),
-        repo_slug(repo).alias("repo_slug"),
+        day.alias("ingestion_date"),
+        slug.alias("repo_slug"),
     )
 
 
-def write_raw(df: DataFrame, path: str, max_records: int = 500_000) -> None:
+def write_raw(df: DataFrame, path: str, max_records: int = 500_000, gathered: bool = False) -> None:
     """Land enveloped lines under ``ingestion_date=D/repo_slug=R``, at most ``max_records`` per part.
 
     A rerun replaces the folders it writes. The rebalance brings a repository's lines together to avoid small
-    files, and AQE splits a repository that is far larger than the rest over several tasks.
+    files, and AQE splits a repository that is far larger than the rest over several tasks. Lines enveloped with ``gather`` are together already (``gathered``).
     """
     (
-        df.hint("rebalance", "ingestion_date", "repo_slug")
+        (df if gathered else df.hint("rebalance", "ingestion_date", "repo_slug"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)

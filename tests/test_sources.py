@@ -137,3 +137,15 @@ def test_scratch_scope_deletes_what_it_made(spark):
         path = written(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")
         assert os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_records_are_gathered_before_they_become_lines(spark, tmp_path):
+    df = spark.range(95).select("id", F.when(F.col("id") < 90, "o/hot").otherwise("o/cold").alias("repo"))
+    given = df, "run", "/e", "2024-03-01", F.col("repo"), "u", at("2024-03-01")
+    lines = raw.wrap_envelope(*given, gather=True)
+    plan = lines._jdf.queryExecution().analyzed().toString()
+    assert plan.index("to_json") < plan.index("RebalancePartitions")  # the shuffle lies below the lines
+    raw.write_raw(lines, str(tmp_path / "a"), max_records=20, gathered=True)
+    raw.write_raw(raw.wrap_envelope(*given), str(tmp_path / "b"), max_records=20)
+    one, two = (sorted(map(tuple, spark.read.text(str(tmp_path / n)).collect())) for n in "ab")
+    assert one == two and len(one) == 95

@@ -102,8 +102,8 @@ def bronze_load_summary(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "landing")
     landed = {"issues": (t.events, "event_type"), "pull_requests": (t.orders, "o_orderpriority"), "releases": (t.part, "p_type")}
     for resource, (df, repo) in landed.items():
-        lines = raw.wrap_envelope(df, "run-1", resource, "2024-02-01", F.col(repo), resource, now())
-        raw.write_raw(lines, f"{root}/raw/{resource}")
+        lines = raw.wrap_envelope(df, "run-1", resource, "2024-02-01", F.col(repo), resource, now(), gather=True)
+        raw.write_raw(lines, f"{root}/raw/{resource}", gathered=True)
     t.events.filter("false").select("event_type").write.text(f"{root}/raw/languages/ingestion_date=2024-02-01")
     loaded = bronze.load_all(t.spark, f"{root}/raw", f"{root}/bronze", "2024-02-01", now())
     return loaded.select("resource", "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"), "status")
