@@ -10,6 +10,13 @@ def _folder(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def mounted_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the machine's own functions open it; none where only Hadoop reaches it."""
+    fs, at = _folder(spark, path)
+    full = fs.makeQualified(at).toUri()
+    return full.getPath() if full.getScheme() == "file" else None
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, at = _folder(spark, path)
     return fs.exists(at)

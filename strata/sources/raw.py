@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.payloads import payload_checksum
 from strata.functions.scalars import repo_slug
 from strata.schemas import PR_DETAIL_NODE
+from strata.sources.files import mounted_path
+from strata.sources.parts import write_parts
+
+SMALL_PART = 5_000  # lines; above it the cost of a file is small beside that of its lines
 
 
 def wrap_envelope(
@@ -65,10 +69,15 @@ def write_raw(df: DataFrame, path: str, max_records: int = 500_000, gathered: bo
 
     A rerun replaces the folders it writes. The rebalance brings a repository's lines together to avoid small
     files, and AQE splits a repository that is far larger than the rest over several tasks. Lines enveloped with ``gather`` are together already (``gathered``).
+    Small parts on a mounted file system are written by :mod:`strata.sources.parts`, without Hadoop's cost per file.
     """
+    lines = df if gathered else df.hint("rebalance", "ingestion_date", "repo_slug")
+    mounted = mounted_path(df.sparkSession, path) if max_records <= SMALL_PART else None
+    if mounted:
+        write_parts(lines if gathered else lines.sortWithinPartitions("ingestion_date", "repo_slug"), mounted, max_records)
+        return
     (
-        (df if gathered else df.hint("rebalance", "ingestion_date", "repo_slug"))
-        .write.mode("overwrite")
+        lines.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)
         .partitionBy("ingestion_date", "repo_slug")
@@ -76,6 +85,19 @@ def write_raw(df: DataFrame, path: str, max_records: int = 500_000, gathered: bo
     )
 
 
+def part_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed part: its lines (``n``) beside the columns of its folder.
+
+    Parts are read whole, so they should be small; that costs less a file than the text reader and needs no grouping by
+    file. An empty part gives no row.
+    """
+    text = F.col("content").cast("string")
+    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    unended = ~F.endswith(text, F.lit("\n"))
+    parts = spark.read.format("binaryFile").load(path)
+    return parts.select("ingestion_date", "repo_slug", (ends + unended.cast("int")).alias("n"))
+
+
 def normalize_pr_details(df: DataFrame, col: str) -> DataFrame:
     """Nested pull-request nodes to flat detail records; null or unparsable nodes are dropped."""
     node = df.select(F.from_json(col, PR_DETAIL_NODE).alias("n")).filter(

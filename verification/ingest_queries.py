@@ -162,9 +162,7 @@ from events group by all""")
 def raw_write_roundtrip(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "parts")
     raw.write_raw(enveloped_events(t), path, max_records=20)
-    lines = t.spark.read.text(path).withColumn("part", F.input_file_name())
-    per_part = lines.groupBy("ingestion_date", "repo_slug", "part").agg(F.count(F.lit(1)).alias("n"))
-    folders = per_part.groupBy("ingestion_date", "repo_slug").agg(
+    folders = raw.part_lines(t.spark, path).groupBy("ingestion_date", "repo_slug").agg(
         F.sum("n").alias("n_lines"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("parts")
     )
     least = F.ceil(F.col("n_lines") / 20)
