@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strata.session import setting
 from strata.sources import files, raw
 
 LINE = "value string, ingestion_date string, repo_slug string"
@@ -85,3 +86,19 @@ def test_only_mounted_paths_are_opened_directly(spark, tmp_path):
     df = spark.createDataFrame([(str(i), "2024-03-01", "o") for i in range(30)], LINE)
     raw.write_raw(df, "viewfs://parts/in/x", max_records=20)  # through Spark's writer
     assert sorted(r.n for r in raw.part_lines(spark, "viewfs://parts/in/x").collect()) == [10, 20]
+
+
+def test_a_task_reads_many_parts_and_the_setting_is_given_back(spark, tmp_path):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("value"), F.lit("2024-03-01").alias("ingestion_date"), F.lit("o").alias("repo_slug"))
+    raw.write_raw(df, str(tmp_path / "raw"), max_records=2)
+    key, before = "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.openCostInBytes")
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "16m"):
+        got = raw.part_lines(spark, str(tmp_path / "raw"))
+        assert len(got.inputFiles()) <= 16  # a task leaves one file; 1,000 parts at 4 MB each would be 250 tasks
+    assert got.count() == 1000 and got.agg(F.sum("n")).first()[0] == 2000
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "1m")
+    with setting(spark, key, "2m"):
+        assert spark.conf.get(key) == "2m"
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
