@@ -33,6 +33,12 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
 
 
+def folder_files(spark: SparkSession, path: str) -> int:
+    """Number of files below a folder, counted without a list of them."""
+    fs, at = _folder(spark, path)
+    return fs.getContentSummary(at).getFileCount()
+
+
 def newest_partition(spark: SparkSession, path: str, col: str) -> str | None:
     """Largest value of a partition column by the folder names alone."""
     fs, at = _folder(spark, path)

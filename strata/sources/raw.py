@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from strata.functions.payloads import payload_checksum
 from strata.functions.scalars import repo_slug
 from strata.schemas import PR_DETAIL_NODE
-from strata.session import setting, written
-from strata.sources.files import mounted_path
+from strata.session import scratch_dir, setting
+from strata.sources.files import folder_files, mounted_path, names
 from strata.sources.parts import write_parts
 
 SMALL_PART = 5_000  # lines; above it the cost of a file is small beside that of its lines
 MOUNTED_OPEN = "64k"  # what could be read while a file is opened
+LISTED = 100_000  # parts that the driver lists at a time, some 1.5 KB each
 
 
 def wrap_envelope(
@@ -92,17 +94,35 @@ def part_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Parts are read whole, so they should be small; that costs less a file than the text reader and needs no grouping by
     file. An empty part gives no row. On a mounted file system opening a file is cheap, so that a task takes hundreds
-    of parts; Spark's own estimate is made for remote ones and gives it 4 to 32.
+    of parts; Spark's own estimate is made for remote ones and gives it 4 to 32. Dates are read a few at a time, since
+    the driver lists every part of a read.
     """
     text = F.col("content").cast("string")
     ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     unended = ~F.endswith(text, F.lit("\n"))
-    parts = spark.read.format("binaryFile").load(path)
-    sizes = parts.select("ingestion_date", "repo_slug", (ends + unended.cast("int")).alias("n"))
-    if not mounted_path(spark, path):
-        return sizes
-    with setting(spark, "spark.sql.files.openCostInBytes", MOUNTED_OPEN):
-        return written(sizes, "part-lines")
+    rows = [F.col(c).cast("string").alias(c) for c in ("ingestion_date", "repo_slug")] + [(ends + unended.cast("int")).alias("n")]
+    dates = [f"{path}/{name}" for name in names(spark, path) if name.startswith("ingestion_date=")]
+    out = scratch_dir(spark, "part-lines")
+    cheap = setting(spark, "spark.sql.files.openCostInBytes", MOUNTED_OPEN) if mounted_path(spark, path) else nullcontext()
+    with cheap:
+        for some in _few_parts(spark, dates):
+            parts = spark.read.option("basePath", path).format("binaryFile").load(some)
+            parts.select(*rows).write.mode("append").parquet(out)
+    schema = "ingestion_date string, repo_slug string, n int"
+    return spark.read.schema(schema).parquet(out) if dates else spark.createDataFrame([], schema)
+
+
+def _few_parts(spark: SparkSession, folders: Sequence[str]) -> Iterator[list[str]]:
+    """Folders in groups of at most ``LISTED`` files, or of one folder that has more."""
+    some, held = [], 0
+    for folder in folders:
+        files = folder_files(spark, folder)
+        if some and held + files > LISTED:
+            yield some
+            some, held = [], 0
+        some, held = [*some, folder], held + files
+    if some:
+        yield some
 
 
 def normalize_pr_details(df: DataFrame, col: str) -> DataFrame:

@@ -60,7 +60,7 @@ def test_a_failed_write_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "raw")
     good = spark.createDataFrame([("a", "2024-03-01", "o")], LINE)
     raw.write_raw(good, path, max_records=20)
-    bad = spark.range(0, 50, 1, 2).select(F.when(F.col("id") == 49, F.raise_error(F.lit("stop"))).otherwise("b").alias("value"),
+    bad = spark.range(0, 50, 1, 1).select(F.when(F.col("id") == 49, F.raise_error(F.lit("stop"))).otherwise("b").alias("value"),
         F.lit("2024-03-01").alias("ingestion_date"), F.lit("o").alias("repo_slug"))
     with pytest.raises(Exception, match="stop"):
         raw.write_raw(bad, path, max_records=20, gathered=True)
@@ -102,3 +102,21 @@ def test_a_task_reads_many_parts_and_the_setting_is_given_back(spark, tmp_path):
         assert spark.conf.get(key) == "2m"
     assert spark.conf.get(key) == "1m"
     spark.conf.unset(key)
+
+
+def test_dates_are_read_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    day = F.concat(F.lit("2024-03-0"), (F.col("id") % 5 + 1).cast("string")).alias("ingestion_date")
+    raw.write_raw(spark.range(100).select(F.col("id").cast("string").alias("value"), day, F.lit("o").alias("repo_slug")), path, max_records=4)
+    whole = sorted(map(tuple, raw.part_lines(spark, path).collect()))
+    dates = [f"{path}/{name}" for name in files.names(spark, path)]
+    monkeypatch.setattr(raw, "LISTED", 12)
+    assert [len(some) for some in raw._few_parts(spark, dates)] == [2, 2, 1]
+    assert sorted(map(tuple, raw.part_lines(spark, path).collect())) == whole and len(whole) == 25
+    monkeypatch.setattr(raw, "LISTED", 1)
+    assert [len(some) for some in raw._few_parts(spark, dates)] == [1] * 5
+
+
+def test_nothing_landed_gives_no_part(spark, tmp_path):
+    raw.write_raw(spark.createDataFrame([], LINE), str(tmp_path / "raw"), max_records=4)
+    assert raw.part_lines(spark, str(tmp_path / "raw")).collect() == []
