@@ -303,6 +303,8 @@ def _placed(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _with(found: DataFrame, links: DataFrame) -> DataFrame:
     """``found`` after further links: only the components that they touch are joined."""
+    if links.isEmpty():
+        return found
     of = found.select("node", "component")
     ends = links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     into = components(ends).toDF("component", "into")

@@ -34,14 +34,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def tidy() -> None:
+    """Give unused memory of this process back."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidied(fn: Callable) -> Callable:
     """``fn`` over batches, after which its worker gives unused memory back: it may stay idle beside other work."""
 
     def run(batches: Iterator) -> Iterator:
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        tidy()
 
     return run
 

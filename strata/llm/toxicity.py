@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import FOLDS, MOST_LABELS, held_out, training_documents
-from strata.llm.ship import fold, ship, tidied
+from strata.llm.ship import fold, ship, tidied, tidy
 from strata.llm.text import slices, word_hashes
 from strata.session import written
 
@@ -250,7 +250,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, n_tokens and the segments of every row of ``docs``."""
-    found = score(docs, fit(docs, labels))
+    model = fit(docs, labels)
+    tidy()  # the counts came to the driver, which goes on
+    found = score(docs, model)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return found.select("doc_id", held_out(), "score", predicted, "n_tokens", "segments")
 
@@ -259,6 +261,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     spark = docs.sparkSession
     model = fit(docs, labels)
+    tidy()
     if model is None:
         return docs
     held = spark.sparkContext.broadcast(model)

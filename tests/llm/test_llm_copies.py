@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.llm import exact_dedup, hyperminhash, near_dedup, substring_dedup
 from strata.llm.components import components
 from strata.llm.ship import documents
+from strata.session import setting
 
 
 def rows(df, *columns):
@@ -68,6 +69,29 @@ def test_no_links_no_components(spark):
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
+def test_links_of_several_chunks_become_one_result(spark):
+    rng = random.Random(4)
+    links = [(k, k + 1) for k in range(200)] + [(1000 + rng.randrange(90), 1000 + rng.randrange(90)) for _ in range(60)]
+    table = spark.createDataFrame(links, "a long, b long").repartition(3)
+    want = rows(components(table), "node", "component")
+    assert rows(components(table, most=7), "node", "component") == want
+    assert dict(want)[200] == 0 and [c for n, c in want if n <= 200] == [0] * 201
+
+
+def test_few_links_cost_the_driver_one_table(spark, monkeypatch):
+    """A chain of links took three tables a round, whose plans stay in the driver; small partitions aren't always joined."""
+    from strata.llm import components as module
+
+    made = []
+    write = module.written
+    monkeypatch.setattr(module, "written", lambda df, label: made.append(label) or write(df, label))
+    got = components(spark.createDataFrame([(k, k + 1) for k in range(500)], "a long, b long"))
+    assert got.filter("component = 0").count() == 501 and len(made) == 1
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = components(spark.createDataFrame([(k, k + 1) for k in range(500)], "a long, b long"))
+    assert got.filter("component = 0").count() == 501 and len(made) == 3
+
+
 def family(seed, n, size, edits, base_id=0, noise=True):
     """Copies of a text, each with some words changed, drifting, so that links form chains; and other texts."""
     rng = random.Random(seed)
